@@ -189,8 +189,9 @@ def score_with_table(df: DataFrame, key: str, clean: str, lexicon: DataFrame) ->
     marked = words.join(lexicon, "word", "left").where(
         F.col("valence").isNotNull() | F.col("boost").isNotNull() | F.col("negates") | (F.col("word") == "but"))
     in_post = W.partitionBy(key).orderBy("pos")
+    valence, boost = F.col("valence").cast("double"), F.col("boost").cast("double")
     code = F.struct(
-        "pos", F.col("valence").alias("v"), F.col("boost").alias("b"),
+        "pos", valence.alias("v"), boost.alias("b"),
         F.coalesce("negates", F.lit(False)).alias("n"))
 
     def back(distance: int) -> Column:
@@ -200,7 +201,7 @@ def score_with_table(df: DataFrame, key: str, clean: str, lexicon: DataFrame) ->
         return F.coalesce(*hits)
 
     placed = marked.select(
-        key, "pos", "valence",
+        key, "pos", valence.alias("valence"),
         *[back(d).alias(f"back{d}") for d in (1, 2, 3)],
         F.min(F.when(F.col("word") == "but", F.col("pos") + 1)).over(W.partitionBy(key)).alias("but_at"),
     ).where(F.col("valence").isNotNull())

@@ -6,20 +6,22 @@ model families, whose number is fixed by the caller; rows never pass through the
 
 from __future__ import annotations
 
+import json
 import math
+import re
 from collections.abc import Iterable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 import numpy as np
 from pyspark import keyword_only
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import LinearSVC, LogisticRegression, RandomForestClassifier
-from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import MinMaxScaler, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
 from pyspark.ml.param.shared import HasInputCol, HasOutputCol
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import ParamGridBuilder
 from pyspark.ml.util import DefaultParamsReadable, DefaultParamsWritable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -28,6 +30,8 @@ from ..operators.indicators import FEATURES, KEY
 
 LABEL = "Target"
 FAMILIES = ("lg", "svm", "dt")
+PARALLEL_FITS = 4
+ROWS_PER_TASK = 100_000
 
 # The full grids.
 FULL_GRIDS = {
@@ -63,18 +67,17 @@ class RandomFourierFeatures(Transformer, HasInputCol, HasOutputCol, DefaultParam
         dims, inputs = self.getOrDefault(self.dims), self.getOrDefault(self.inputs)
         weights = draw.normal(0.0, math.sqrt(2.0 * self.getOrDefault(self.gamma)), (dims, inputs))
         shifts = draw.uniform(0.0, 2.0 * math.pi, dims)
-        # plain arithmetic on the elements of one array column
-        x = [F.col("_x")[i] for i in range(inputs)]
+        rows = [{"w": w.tolist(), "b": float(b)} for w, b in zip(weights, shifts)]
+        projection = F.from_json(F.lit(json.dumps(rows)), "array<struct<w:array<double>,b:double>>")
+        scale = F.lit(math.sqrt(2.0 / dims))
 
-        def projection(row: np.ndarray, shift: float) -> Column:
-            angle = F.lit(float(shift))
-            for w, xi in zip(row, x):
-                angle = angle + F.lit(float(w)) * xi
-            return F.cos(angle) * F.lit(math.sqrt(2.0 / dims))
+        def feature(row: Column) -> Column:
+            products = F.zip_with(row["w"], F.col("_x"), lambda w, x: w * x)
+            return F.cos(F.aggregate(products, row["b"], lambda total, p: total + p)) * scale
 
-        features = F.array(*[projection(weights[d], shifts[d]) for d in range(dims)])
         arrays = dataset.withColumn("_x", vector_to_array(F.col(self.getInputCol())))
-        return arrays.withColumn(self.getOutputCol(), array_to_vector(features)).drop("_x")
+        return arrays.withColumn(
+            self.getOutputCol(), array_to_vector(F.transform(projection, feature))).drop("_x")
 
 
 def with_features(rows: DataFrame, columns: Iterable[str] = FEATURES) -> DataFrame:
@@ -98,13 +101,13 @@ class Search:
 
 
 def prediction_column(symbol: str, family: str) -> str:
-    return f"{symbol}|{family}"
+    return "p_" + re.sub(r"\W", "_", f"{symbol}_{family}")
 
 
 def search_space(symbol: str, family: str, rows: int, grids: dict = SMALL_GRIDS) -> Search:
     """Scaler and classifier of one family. ``rows`` turns C into Spark's per-row penalty."""
     column = prediction_column(symbol, family)
-    scaled = f"scaled|{column}"
+    scaled = f"scaled_{column}"
     scaler = MinMaxScaler(inputCol="features", outputCol=scaled)
     grid = grids[family]
     common = {"labelCol": "label", "predictionCol": column}
@@ -116,8 +119,8 @@ def search_space(symbol: str, family: str, rows: int, grids: dict = SMALL_GRIDS)
         build.addGrid(model.elasticNetParam, [1.0 if p == "l1" else 0.0 for p in grid["penalty"]])
         return Search(Pipeline(stages=[scaler, model]), build.build())
     if family == "svm":
-        kernel = RandomFourierFeatures(inputCol=scaled, outputCol=f"kernel|{column}")
-        model = LinearSVC(featuresCol=f"kernel|{column}", rawPredictionCol="", maxIter=50, **common)
+        kernel = RandomFourierFeatures(inputCol=scaled, outputCol=f"kernel_{column}")
+        model = LinearSVC(featuresCol=f"kernel_{column}", rawPredictionCol="", maxIter=50, **common)
         build.addGrid(kernel.gamma, [float(g) for g in grid["gamma"]])
         build.addGrid(model.regParam, penalties)
         return Search(Pipeline(stages=[scaler, kernel, model]), build.build())
@@ -133,17 +136,33 @@ def search_space(symbol: str, family: str, rows: int, grids: dict = SMALL_GRIDS)
     raise ValueError(f"unknown family {family}")
 
 
-def accuracy_of(column: str) -> MulticlassClassificationEvaluator:
-    return MulticlassClassificationEvaluator(labelCol="label", predictionCol=column, metricName="accuracy")
+def accuracy_of(predictions: DataFrame, column: str) -> float:
+    right = (F.col(column) == F.col("label")).cast("double")
+    return predictions.agg(F.avg(right).alias("accuracy")).first()["accuracy"]
 
 
-def grid_search(rows: DataFrame, symbol: str, family: str, grids: dict = SMALL_GRIDS, folds: int = 5,
-                fold_column: str = "inner_fold", parallelism: int = 2) -> CrossValidatorModel:
-    """Best setting by cross-validated accuracy, refitted on all rows given."""
+def grid_scores(rows: DataFrame, column: str, space: Search, folds: int, fold_column: str = "inner_fold",
+                parallelism: int = PARALLEL_FITS) -> list[float]:
+    """Mean held-out accuracy of every setting of the grid."""
+    def score(task: tuple[dict, int]) -> float:
+        setting, fold = task
+        model = space.estimator.fit(rows.where(F.col(fold_column) != fold), setting)
+        return accuracy_of(model.transform(rows.where(F.col(fold_column) == fold)), column)
+
+    tasks = [(setting, fold) for setting in space.grid for fold in range(folds)]
+    with ThreadPoolExecutor(parallelism) as pool:
+        scores = list(pool.map(score, tasks))
+    return [sum(scores[i:i + folds]) / folds for i in range(0, len(scores), folds)]
+
+
+def grid_search(rows: DataFrame, symbol: str, family: str, grids: dict = SMALL_GRIDS, folds: int = 5) -> PipelineModel:
+    """The setting with the best cross-validated accuracy, refitted on all rows given."""
     space = search_space(symbol, family, rows.count(), grids)
-    return CrossValidator(
-        estimator=space.estimator, estimatorParamMaps=space.grid, numFolds=folds, foldCol=fold_column,
-        evaluator=accuracy_of(prediction_column(symbol, family)), parallelism=parallelism).fit(rows)
+    best = space.grid[0]
+    if len(space.grid) > 1:
+        scores = grid_scores(rows, prediction_column(symbol, family), space, folds)
+        best = space.grid[max(range(len(scores)), key=scores.__getitem__)]
+    return space.estimator.fit(rows, best)
 
 
 def nested_accuracy(rows: DataFrame, symbol: str, family: str, grids: dict = SMALL_GRIDS,
@@ -153,28 +172,34 @@ def nested_accuracy(rows: DataFrame, symbol: str, family: str, grids: dict = SMA
     out = []
     for fold in range(folds):
         chosen = grid_search(rows.where(F.col("outer_fold") != fold), symbol, family, grids, folds)
-        held_out = chosen.transform(rows.where(F.col("outer_fold") == fold))
-        out.append(accuracy_of(column).evaluate(held_out))
+        out.append(accuracy_of(chosen.transform(rows.where(F.col("outer_fold") == fold)), column))
     return out
 
 
 def symbol_rows(build: DataFrame, symbol: str, keys: Iterable[str], folds: int = 5) -> DataFrame:
     """Feature rows of one symbol with inner and outer folds."""
+    keys = list(keys)
     rows = with_features(build.where(F.col(KEY) == symbol))
     inner = with_folds(rows, keys, folds, "inner_fold", salt=1)
-    return with_folds(inner, keys, folds, "outer_fold", salt=2)
+    folded = with_folds(inner, keys, folds, "outer_fold", salt=2)
+    # many passes over few rows: do not run each pass in more tasks than the rows fill
+    return folded.coalesce(max(1, math.ceil(build.where(F.col(KEY) == symbol).count() / ROWS_PER_TASK)))
 
 
 def train_all(build: DataFrame, symbols: Iterable[str], keys: Iterable[str], families: Iterable[str] = FAMILIES,
               grids: dict = SMALL_GRIDS, folds: int = 5) -> dict[tuple[str, str], PipelineModel]:
-    """One model per symbol and family."""
-    models = {}
-    for symbol in symbols:
-        rows = symbol_rows(build, symbol, list(keys), folds).persist()
-        for family in families:
-            models[symbol, family] = grid_search(rows, symbol, family, grids, folds).bestModel
-        rows.unpersist()
-    return models
+    """One model per symbol and family; symbols side by side, as a scheduler has room for them."""
+    keys, families = list(keys), list(families)
+
+    def train(symbol: str) -> list[tuple[tuple[str, str], PipelineModel]]:
+        rows = symbol_rows(build, symbol, keys, folds).persist()
+        try:
+            return [((symbol, f), grid_search(rows, symbol, f, grids, folds)) for f in families]
+        finally:
+            rows.unpersist()
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        return dict(pair for found in pool.map(train, symbols) for pair in found)
 
 
 def model_path(folder: str, symbol: str, family: str) -> str:
@@ -182,9 +207,13 @@ def model_path(folder: str, symbol: str, family: str) -> str:
 
 
 def save_models(models: dict[tuple[str, str], PipelineModel], folder: str) -> None:
-    for (symbol, family), model in models.items():
+    def save(item: tuple) -> None:
+        (symbol, family), model = item
         model.write().overwrite().save(model_path(folder, symbol, family))
 
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        list(pool.map(save, models.items()))
+
 
 def load_models(folder: str, keys: Iterable[tuple[str, str]]) -> dict[tuple[str, str], PipelineModel]:
     return {(s, f): PipelineModel.load(model_path(folder, s, f)) for s, f in keys}
@@ -201,11 +230,12 @@ def predict_wide(rows: DataFrame, models: dict[tuple[str, str], PipelineModel])
 def predict_long(rows: DataFrame, models: dict[tuple[str, str], PipelineModel]) -> DataFrame:
     """One row per input row and model: (model_symbol, family, prediction)."""
     wide = predict_wide(rows, models)
-    columns = [prediction_column(*key) for key in models]
-    long = wide.unpivot(rows.columns, columns, "_model", "prediction")
-    names = F.split("_model", r"\|")
-    return long.select(*rows.columns, names[0].alias("model_symbol"), names[1].alias("family"),
-                       F.col("prediction").cast("int").alias("prediction"))
+    cells = [
+        F.struct(F.lit(symbol).alias("model_symbol"), F.lit(family).alias("family"),
+                 F.col(prediction_column(symbol, family)).cast("int").alias("prediction"))
+        for symbol, family in models
+    ]
+    return wide.select(*rows.columns, F.inline(F.array(*cells)))
 
 
 def accuracy(predictions: DataFrame, label: str = LABEL) -> DataFrame:

@@ -6,44 +6,44 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def _struct(*fields: tuple[str, T.DataType]) -> T.StructType:
+def struct_of(*fields: tuple[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(name, kind, True) for name, kind in fields])
 
 
 _S, _I, _L, _D = T.StringType(), T.IntegerType(), T.LongType(), T.DoubleType()
 
 # Message value on the wire.
-POST_MESSAGE = _struct(
+POST_MESSAGE = struct_of(
     ("key", _S), ("text", _S), ("created", _S), ("searchTerm", _S),
     ("likeCount", _I), ("retweetCount", _I), ("userFollowersCount", _I),
 )
 
 # Scored posts at rest; the column order is the order in the CSV files.
-SCORED_POST = _struct(
+SCORED_POST = struct_of(
     ("t_key", _S), ("created", _S), ("search_term", _S),
     ("id", _L), ("processed_text", _S), ("polarity", _D),
 )
 
-POST_DUMP = _struct(
+POST_DUMP = struct_of(
     ("tweet_id", _L), ("writer", _S), ("post_date", _L), ("body", _S),
     ("comment_num", _I), ("retweet_num", _I), ("like_num", _I),
 )
 
-POST_TICKER = _struct(("tweet_id", _L), ("ticker_symbol", _S))
+POST_TICKER = struct_of(("tweet_id", _L), ("ticker_symbol", _S))
 
-COMPANY = _struct(("ticker_symbol", _S), ("company_name", _S))
+COMPANY = struct_of(("ticker_symbol", _S), ("company_name", _S))
 
-COMPANY_VALUES = _struct(
+COMPANY_VALUES = struct_of(
     ("ticker_symbol", _S), ("day_date", T.DateType()), ("open_value", _D), ("high_value", _D),
     ("low_value", _D), ("close_value", _D), ("volume", _L),
 )
 
-DAILY_BARS = _struct(
+DAILY_BARS = struct_of(
     ("Date", T.DateType()), ("Open", _D), ("High", _D), ("Low", _D),
     ("Close", _D), ("Adjusted_close", _D), ("Volume", _L),
 )
 
-DAILY_POLARITY = _struct(
+DAILY_POLARITY = struct_of(
     ("date", T.DateType()), ("search_term", _S), ("count", _L), ("agg_polarity", _D),
     ("positive_count", _L), ("negative_count", _L), ("neutral_count", _L),
 )
@@ -83,7 +83,7 @@ def _literal(value: object) -> str:
         return "null"
     if isinstance(value, str):
         return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
-    return repr(value)
+    return f"{value!r}D" if isinstance(value, float) else repr(value)
 
 
 def inline_table(spark: SparkSession, columns: tuple[str, ...], rows: tuple) -> DataFrame:

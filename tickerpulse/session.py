@@ -58,7 +58,7 @@ def spread_small(df: DataFrame) -> DataFrame:
     """Use all cores on a small scan; a no-op on anything above ``SPREAD_BELOW_BYTES``."""
     if df.isStreaming:
         return df
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
     if size > SPREAD_BELOW_BYTES:
         return df
     return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

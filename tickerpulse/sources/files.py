@@ -38,6 +38,15 @@ def split_lines(lines: DataFrame, schema: T.StructType, header_mark: str, column
     return lines.where(~F.col(column).contains(header_mark)).select(*fields)
 
 
+def csv_writer(df: DataFrame, mode: str = "errorifexists"):
+    """CSV with header; quotes are doubled, as other tools expect, and blanks at the ends trimmed."""
+    return df.write.mode(mode).option("header", True).option("escape", '"')
+
+
+def write_scored_posts(scored: DataFrame, path: str, mode: str = "append") -> None:
+    csv_writer(scored.select(*schemas.SCORED_POST.fieldNames()), mode).csv(path)
+
+
 def read_scored_posts(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.SCORED_POST)
 
@@ -81,12 +90,12 @@ def write_daily_polarity(daily: DataFrame, path: str, mode: str = "errorifexists
                          single_file: bool = False) -> None:
     """CSV with header. ``single_file`` is for this small daily result only."""
     out = daily.coalesce(1) if single_file else daily
-    out.write.mode(mode).option("header", True).csv(path)
+    csv_writer(out, mode).csv(path)
 
 
 def write_split(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
     """Training and testing rows as CSV in ``split=<side>/symbol=<symbol>`` folders."""
-    rows.write.mode(mode).option("header", True).partitionBy("split", "symbol").csv(path)
+    csv_writer(rows, mode).partitionBy("split", "symbol").csv(path)
 
 
 def with_mock_polarity(prices: DataFrame, seed: int = 0) -> DataFrame:

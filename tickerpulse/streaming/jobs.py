@@ -20,7 +20,7 @@ def scored_stream(records: DataFrame, lexicon: Lexicon, weighted: bool = True) -
 def start_csv(scored: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds") -> StreamingQuery:
     """Append scored posts to CSV files with exactly-once file commits."""
     writer = (
-        scored.writeStream.outputMode("append").format("csv").option("header", True)
+        scored.writeStream.outputMode("append").format("csv").option("header", True).option("escape", '"')
         .option("path", path).option("checkpointLocation", checkpoint)
     )
     return _trigger(writer, every).start()

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.text import joined_row
+from ..sources.files import csv_writer
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -22,7 +23,7 @@ def skip_empty(sink: BatchSink) -> BatchSink:
 def csv_batches(path: str) -> BatchSink:
     """CSV with header in one folder per batch."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").option("header", True).csv(f"{path}/batch={batch_id}")
+        csv_writer(batch, "overwrite").csv(f"{path}/batch={batch_id}")
     return skip_empty(write)
 
 
