@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 import zlib
-from collections.abc import Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
+from typing import ClassVar
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,6 +23,8 @@ BOOST = 0.293
 class Lexicon:
     """``words``: valence per word; ``boosters``: signed step per word; ``negators``: words."""
 
+    SLOT_TYPE: ClassVar[str] = "array<map<string,struct<v:double,b:double,n:boolean>>>"
+
     words: Mapping[str, float]
     boosters: Mapping[str, float] = field(default_factory=dict)
     negators: frozenset[str] = frozenset()
@@ -56,22 +59,26 @@ class Lexicon:
             for w in sorted(self.vocabulary())
         ]
 
-    def finder(self):
+    def size(self) -> int:
+        return max(1, len(self.vocabulary()))
+
+    def slots(self) -> list[dict]:
+        """The words in small maps, addressed by a checksum of the word."""
+        out: list[dict] = [{} for _ in range(self.size())]
+        for word, valence, boost, negates in self.rows():
+            out[zlib.crc32(word.encode()) % self.size()][word] = {"v": valence, "b": boost, "n": negates}
+        return out
+
+    def finder(self) -> Callable[[Column], Column]:
         """A function from a word column to struct(v, b, n), null for unknown words.
 
-        The words sit in one constant array of small maps, addressed by a checksum of the word,
-        so a look-up costs the same whatever the size of the lexicon.
+        The slots are one constant of the query, so a look-up costs the same whatever the size
+        of the lexicon.
         """
-        size = max(1, len(self.vocabulary()))
-        slots: list[dict] = [{} for _ in range(size)]
-        for word, valence, boost, negates in self.rows():
-            slots[zlib.crc32(word.encode()) % size][word] = {"v": valence, "b": boost, "n": negates}
-        table = F.from_json(
-            F.lit(json.dumps(slots)), "array<map<string,struct<v:double,b:double,n:boolean>>>"
-        )
+        table = F.from_json(F.lit(json.dumps(self.slots())), self.SLOT_TYPE)
 
         def find(word: Column) -> Column:
-            slot = F.pmod(F.crc32(word.cast("binary")), F.lit(size)).cast("int")
+            slot = F.pmod(F.crc32(word.cast("binary")), F.lit(self.size())).cast("int")
             return F.try_element_at(F.get(table, slot), word)
 
         return find

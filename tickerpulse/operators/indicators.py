@@ -42,7 +42,8 @@ def _block_length(spans: Sequence[int]) -> int:
 
 def _ema(chunked: DataFrame, column: str, spans: dict[str, int], block: int,
          keys: Sequence[str]) -> DataFrame:
-    """Exponential means of a column inside chunks that carry enough earlier rows.
+    """Exponential means of a column inside chunks that carry enough earlier rows, cut into blocks
+    of ``block`` rows.
 
     The recurrence y = a*x + (1-a)*y_prev is solved per block of rows: a running sum scaled by
     powers of (1-a) gives the mean with nothing carried in, and the last values of the few
@@ -50,7 +51,6 @@ def _ema(chunked: DataFrame, column: str, spans: dict[str, int], block: int,
     """
     rn = F.col("rn")
     place = rn % F.lit(block)
-    chunked = chunked.withColumn("_block", F.floor(rn / F.lit(block)))
     in_block = W.partitionBy(*keys, "_chunk", "_block").orderBy("rn").rowsBetween(W.unboundedPreceding, 0)
     blocks = W.partitionBy(*keys, "_chunk").orderBy("_block")
     local, full = {}, {}
@@ -67,7 +67,7 @@ def _ema(chunked: DataFrame, column: str, spans: dict[str, int], block: int,
             weight = F.pow(F.lit(keep), place + F.lit(1 + block * (back - 1)))
             terms = terms + F.coalesce(end, F.lit(0.0)) * weight
         full[name] = terms
-    return chunked.withColumns(local).withColumns(full).drop("_block", *local)
+    return chunked.withColumns(local).withColumns(full).drop(*local)
 
 
 def with_ema(prices: DataFrame, spans: dict[str, int], column: str = "close",
@@ -78,13 +78,13 @@ def with_ema(prices: DataFrame, spans: dict[str, int], column: str = "close",
     """
     rows = numbered(prices.where(F.col(column).isNotNull()))
     reach = max(memory_rows(s) for s in spans.values())
-    chunked = in_chunks(rows, before=reach, chunk=chunk)
-    out = _ema(chunked, column, spans, _block_length(list(spans.values())), [KEY])
+    block = _block_length(list(spans.values()))
+    chunked = in_chunks(rows, [KEY], before=reach, chunk=chunk, block=block)
+    out = _ema(chunked, column, spans, block, [KEY])
     return own_rows(out).drop("rn", "n_rows")
 
 
-def _macd(chunked: DataFrame, column: str, short: int, long: int, signal: int) -> DataFrame:
-    block = _block_length([short, long, signal])
+def _macd(chunked: DataFrame, column: str, short: int, long: int, signal: int, block: int) -> DataFrame:
     means = _ema(chunked, column, {"_short": short, "_long": long}, block, [KEY])
     line = means.withColumn("MACD", F.col("_short") - F.col("_long")).drop("_short", "_long")
     return _ema(line, "MACD", {"Signal_Line": signal}, block, [KEY])
@@ -98,14 +98,15 @@ def with_macd(prices: DataFrame, column: str = "close", short: int = 12, long: i
               signal: int = 9, chunk: int = CHUNK_ROWS) -> DataFrame:
     """Add MACD (short minus long mean) and Signal_Line (mean of MACD)."""
     rows = numbered(prices.where(F.col(column).isNotNull()))
-    chunked = in_chunks(rows, before=macd_reach(long, signal), chunk=chunk)
-    return own_rows(_macd(chunked, column, short, long, signal)).drop("rn", "n_rows")
+    block = _block_length([short, long, signal])
+    chunked = in_chunks(rows, [KEY], before=macd_reach(long, signal), chunk=chunk, block=block)
+    return own_rows(_macd(chunked, column, short, long, signal, block)).drop("rn", "n_rows")
 
 
 def with_sma(prices: DataFrame, period: int = 30, column: str = "close",
              chunk: int = CHUNK_ROWS) -> DataFrame:
     """Add SMA, the mean of the last ``period`` rows."""
-    chunked = in_chunks(numbered(prices), before=period - 1, chunk=chunk)
+    chunked = in_chunks(numbered(prices), [KEY], before=period - 1, chunk=chunk)
     window = chunk_window([KEY])
     out = chunked.withColumn("SMA", _mean_of_last(F.col(column), period, window))
     return own_rows(out).drop("rn", "n_rows")
@@ -131,14 +132,14 @@ def _rsi(chunked: DataFrame, column: str, period: int) -> DataFrame:
 def with_rsi(prices: DataFrame, period: int = 14, column: str = "close",
              chunk: int = CHUNK_ROWS) -> DataFrame:
     """Add RSI from simple means of the ups and downs of the last ``period`` rows."""
-    chunked = in_chunks(numbered(prices), before=period, chunk=chunk)
+    chunked = in_chunks(numbered(prices), [KEY], before=period, chunk=chunk)
     return own_rows(_rsi(chunked, column, period)).drop("rn", "n_rows")
 
 
 def with_target(prices: DataFrame, ahead: int = 7, column: str = "close",
                 chunk: int = CHUNK_ROWS) -> DataFrame:
     """Add Target: 1 if the value ``ahead`` rows later is higher, else 0 (also at the end)."""
-    chunked = in_chunks(numbered(prices), before=0, after=ahead, chunk=chunk)
+    chunked = in_chunks(numbered(prices), [KEY], before=0, after=ahead, chunk=chunk)
     later = F.lead(column, ahead).over(chunk_window([KEY]))
     out = chunked.withColumn("Target", F.when(later > F.col(column), 1).otherwise(0))
     return own_rows(out).drop("rn", "n_rows")
@@ -147,7 +148,7 @@ def with_target(prices: DataFrame, ahead: int = 7, column: str = "close",
 def with_delta(prices: DataFrame, column: str = "close", key: str = KEY, day: str = DAY,
                chunk: int = CHUNK_ROWS) -> DataFrame:
     """Add the change against the previous row, 0 on the first."""
-    chunked = in_chunks(numbered(prices, [key], day), before=1, chunk=chunk)
+    chunked = in_chunks(numbered(prices, [key], day), [key], before=1, chunk=chunk)
     change = F.col(column) - F.lag(column).over(chunk_window([key]))
     out = chunked.withColumn("delta_close_value",
                              F.when(F.col("rn") == 0, F.lit(0.0)).otherwise(change))
@@ -191,9 +192,9 @@ VERIFY_RANGE = ("2021-07-24", "2021-08-29")
 def indicator_frame(prices: DataFrame, column: str = "close", chunk: int = CHUNK_ROWS) -> DataFrame:
     """All indicators in one chunk layout: MACD, Signal_Line, RSI, SMA(30), EMA(20)."""
     rows = numbered(prices.where(F.col(column).isNotNull()))
-    chunked = in_chunks(rows, before=macd_reach(26, 9), chunk=chunk)
-    out = _macd(chunked, column, 12, 26, 9)
-    out = _ema(out, column, {"EMA": 20}, _block_length([26]), [KEY])
+    block = _block_length([26])
+    chunked = in_chunks(rows, [KEY], before=macd_reach(26, 9), chunk=chunk, block=block)
+    out = _ema(_macd(chunked, column, 12, 26, 9, block), column, {"EMA": 20}, block, [KEY])
     out = _rsi(out, column, 14)
     out = out.withColumn("SMA", _mean_of_last(F.col(column), 30, chunk_window([KEY])))
     return own_rows(out).drop("rn", "n_rows")

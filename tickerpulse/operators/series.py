@@ -47,11 +47,13 @@ def month_bucket(day: str = "dt") -> Column:
     return F.trunc(F.col(day).cast("date"), "month")
 
 
-def in_chunks(numbered: DataFrame, before: int, after: int = 0, chunk: int = CHUNK_ROWS) -> DataFrame:
+def in_chunks(numbered: DataFrame, keys: Sequence[str], before: int, after: int = 0, chunk: int = CHUNK_ROWS,
+              block: int | None = None) -> DataFrame:
     """Give every row its chunk, and copies of it to the chunks that look back or ahead to it.
 
     A chunk holds ``chunk`` rows of its own plus up to ``before`` and ``after`` copies; ``_own``
-    tells them apart.
+    tells them apart. ``_block`` numbers runs of ``block`` rows (the chunk length if not given),
+    and every window sorts by it first, so that one sort serves them all.
     """
     rn = F.col("rn")
     first = F.greatest(F.floor((rn - F.lit(after)) / F.lit(chunk)), F.lit(0))
@@ -59,13 +61,16 @@ def in_chunks(numbered: DataFrame, before: int, after: int = 0, chunk: int = CHU
     # no chunk starts beyond the end of the series
     last = F.least(last, F.floor((F.col("n_rows") - F.lit(1)) / F.lit(chunk)))
     copies = numbered.withColumn("_chunk", F.explode(F.sequence(first, last)))
-    return copies.withColumn("_own", F.col("_chunk") == F.floor(rn / F.lit(chunk)))
+    placed = copies.withColumns({
+        "_own": F.col("_chunk") == F.floor(rn / F.lit(chunk)), "_block": F.floor(rn / F.lit(block or chunk))})
+    # stated outright: a plan already partitioned by the keys alone would otherwise be taken as is
+    return placed.repartition(*[F.col(k) for k in keys], F.col("_chunk"))
 
 
 def own_rows(chunked: DataFrame) -> DataFrame:
     """Drop the copies."""
-    return chunked.where("_own").drop("_own", "_chunk")
+    return chunked.where("_own").drop("_own", "_chunk", "_block")
 
 
 def chunk_window(keys: Sequence[str]) -> W:
-    return W.partitionBy(*keys, "_chunk").orderBy("rn")
+    return W.partitionBy(*keys, "_chunk").orderBy("_block", "rn")

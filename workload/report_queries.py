@@ -226,9 +226,11 @@ EDA_CTES = (*NAMES, q.COMPOUND_RAW, q.EDA)
 
 
 def eda_posts(spark, sf):
-    named = J.attach_company(v.posts(spark, sf), v.tickers(spark, sf), v.companies(spark), "line")
+    """Labelled posts with company and day. Posts are scored before the join, so no text is shuffled."""
+    labelled = P.with_compound(v.posts(spark, sf), v.LEXICON).drop("text")
+    named = J.attach_company(labelled, v.tickers(spark, sf), v.companies(spark), "line")
     day = timeparse.day_of_epoch(F.col("created"))
-    return P.with_compound(named, v.LEXICON).withColumns({
+    return named.withColumns({
         "day_date": timeparse.day_string(F.col("created")), "year": timeparse.year_of(day),
         "day_passed": timeparse.days_passed(day)})
 

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickerpulse.functions import sentiment, text, timeparse
+from tickerpulse.functions.named import register_functions
 from tickerpulse.operators import enrich, posts as P
 from tickerpulse.schemas import POST_DUMP
 from tickerpulse.sources import files
@@ -152,6 +153,16 @@ def _(spark, sf):
     return P.score_posts(v.posts(spark, sf), v.LEXICON).select("t_key", F.round("polarity", 4).alias("polarity"))
 
 
+@query("m1_functions_by_name", sql(q.POSTS, q.COMPOUND_CLEAN, select=f"""
+  SELECT t_key, processed_text, round({q.WEIGHTED}, 4) AS polarity FROM cleaned JOIN compound USING (t_key)"""))
+def _(spark, sf):
+    register_functions(spark, v.LEXICON)
+    return spark.sql("""
+      select t_key, processed_text,
+        round(computePolarity(processed_text, like_count, retweet_count, followers_count), 4) as polarity
+      from (select *, cleanTextUdf(text) as processed_text from {posts})""", posts=v.posts(spark, sf))
+
+
 FLAGS = f"""{q.LABEL} AS sentiment,
   CASE WHEN compound > 0.05 THEN 1.0::DOUBLE ELSE 0 END AS positive,
   CASE WHEN compound < -0.05 THEN 1.0::DOUBLE ELSE 0 END AS negative,
