@@ -33,7 +33,7 @@ def split_lines(lines: DataFrame, schema: T.StructType, header_mark: str, column
     """
     parts = F.split(F.col(column), ",")
     fields = [
-        F.trim(F.get(parts, F.lit(i))).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)
+        F.btrim(F.get(parts, F.lit(i)), F.lit(" \t\r\n")).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)
     ]
     return lines.where(~F.col(column).contains(header_mark)).select(*fields)
 

@@ -52,7 +52,7 @@ def dump_lines(spark, sf) -> DataFrame:
 
 @query("s7_csv_line_split", sql(q.POSTS, select="""
   SELECT tweet_id, writer, created AS post_date,
-    trim(replace(replace(translate(text, chr(10) || chr(13), '  '), ',', ''), '"', '')) AS body,
+    trim(replace(replace(translate(text, chr(10) || chr(13), '  '), ',', ''), '"', ''), ' ' || chr(9)) AS body,
     0 AS comment_num, retweet_count AS retweet_num, like_count AS like_num FROM posts"""))
 def _(spark, sf):
     return files.split_lines(dump_lines(spark, sf), POST_DUMP, "tweet_id")
