@@ -76,9 +76,9 @@ def test_distinct_is_by_all_columns(spark):
 
 
 def test_hot_copies_collapse_before_the_shuffle(spark):
-    rows = scored(spark, [("a", str(DAY), "T", 0, "x", 1.0)])
-    hot = rows.crossJoin(spark.range(5000)).drop("id_")  # one record delivered 5000 times
-    hot = hot.select(rows["t_key"], "created", "search_term", rows["id"], "processed_text", "polarity")
+    row = scored(spark, [("a", str(DAY), "T", 0, "x", 1.0)])
+    # one record delivered 5000 times
+    hot = row.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(5000)))).drop("again")
     assert daily.roll_up_at_rest(hot).first()["count"] == 1
     plan = rollup.distinct_rows(hot)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("HashAggregate") == 2  # once before and once after the exchange

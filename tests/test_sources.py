@@ -58,8 +58,22 @@ def test_rollup_write_refuses_to_overwrite(spark, tmp_path):
 
 
 def test_mock_polarity(spark):
-    values = {r.Polarity for r in files.with_mock_polarity(spark.range(500), seed=1).collect()}
-    assert values == {0.0, 1.0, 2.0, 3.0, 4.0, 5.0}
+    draw = files.with_mock_polarity(spark.range(500), ["id"], seed=1)
+    assert {r.Polarity for r in draw.collect()} == {0.0, 1.0, 2.0, 3.0, 4.0, 5.0}
+    again = files.with_mock_polarity(spark.range(500).repartition(7), ["id"], seed=1)
+    assert draw.exceptAll(again).isEmpty()
+
+
+def test_scored_table_prunes_days_and_columns(spark, tmp_path):
+    day = 86_400
+    rows = spark.createDataFrame(
+        [(str(i), str(i * day), "T", 0, "text", float(i)) for i in range(10)], SCORED_POST)
+    files.write_scored_table(rows, f"{tmp_path}/t")
+    kept = files.read_scored_table(spark, f"{tmp_path}/t", "1970-01-03", "1970-01-05").where("polarity > 2")
+    assert sorted(r.t_key for r in kept.collect()) == ["3", "4"]
+    plan = kept.select("t_key")._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThan(polarity,2.0)" in plan and "PartitionFilters: [isnotnull(date" in plan
+    assert "ReadSchema: struct<t_key:string,polarity:double>" in plan
 
 
 def test_kafka_options():

@@ -12,11 +12,11 @@ def distinct_rows(scored: DataFrame) -> DataFrame:
     """Whole-row distinct of scored posts, without their text.
 
     Text takes part through its SHA-256 digest, so equal rows are still found by all columns
-    while the shuffle carries 64 characters instead of the text.
+    while the shuffle carries 32 bytes instead of the text.
     """
     return scored.select(
         "t_key", "created", "search_term", "id", "polarity",
-        F.sha2(F.col("processed_text"), 256).alias("text_digest"),
+        F.unhex(F.sha2(F.col("processed_text"), 256)).alias("text_digest"),
     ).distinct()
 
 

@@ -21,6 +21,10 @@ def build_session(app: str = "tickerpulse", master: str | None = None, **conf: s
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # state of long-running streams lives outside the JVM heap and is checkpointed by its changes
+        .config("spark.sql.streaming.stateStore.providerClass",
+                "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     if master:
         builder = builder.master(master)

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
+from ..functions.timeparse import day_of_epoch
 
 # The endings of per-symbol price files.
 SYMBOL_FILE = r"([^/]+)-(?:with-polarity|daily-stocks|historical-stocks)\.csv$"
@@ -51,6 +54,24 @@ def read_scored_posts(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.SCORED_POST)
 
 
+def write_scored_table(scored: DataFrame, path: str, mode: str = "append") -> None:
+    """Scored posts as Parquet in ``date=`` folders; a day with many posts gets several files."""
+    dated = scored.withColumn("date", day_of_epoch(F.col("created").cast("bigint")))
+    dated.hint("rebalance", "date").write.mode(mode).partitionBy("date").parquet(path)
+
+
+def read_scored_table(spark: SparkSession, path: str, first_day: str | None = None,
+                      last_day: str | None = None) -> DataFrame:
+    """Scored posts from the Parquet folders; days outside the range are not read."""
+    dated = T.StructType([*schemas.SCORED_POST.fields, T.StructField("date", T.DateType())])
+    rows = spark.read.schema(dated).parquet(path)
+    if first_day is not None:
+        rows = rows.where(F.col("date") >= F.lit(first_day).cast("date"))
+    if last_day is not None:
+        rows = rows.where(F.col("date") <= F.lit(last_day).cast("date"))
+    return rows
+
+
 def read_post_dump(spark: SparkSession, path: str, multi_line: bool = True) -> DataFrame:
     """The dump of raw posts, whose bodies may hold line breaks."""
     return read_csv(spark, path, schemas.POST_DUMP, multi_line)
@@ -94,10 +115,17 @@ def write_daily_polarity(daily: DataFrame, path: str, mode: str = "errorifexists
 
 
 def write_split(rows: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Training and testing rows as CSV in ``split=<side>/symbol=<symbol>`` folders."""
-    csv_writer(rows, mode).partitionBy("split", "symbol").csv(path)
+    """Training and testing rows as CSV in ``split=<side>/symbol=<symbol>`` folders.
+
+    Rows of a folder are brought together first, and large folders split over several tasks.
+    """
+    csv_writer(rows.hint("rebalance", "split", "symbol"), mode).partitionBy("split", "symbol").csv(path)
 
 
-def with_mock_polarity(prices: DataFrame, seed: int = 0) -> DataFrame:
-    """Add Polarity, a whole number from 0 to 5 as a double, drawn per row."""
-    return prices.withColumn("Polarity", F.floor(F.rand(seed) * 6).cast("double"))
+def with_mock_polarity(prices: DataFrame, keys: Sequence[str], seed: int = 0) -> DataFrame:
+    """Add Polarity, a whole number from 0 to 5 as a double.
+
+    Drawn from a hash of the keys, so that a recomputed task draws the same again.
+    """
+    draw = F.pmod(F.xxhash64(*[F.col(k) for k in keys], F.lit(seed)), F.lit(6))
+    return prices.withColumn("Polarity", draw.cast("double"))

@@ -231,12 +231,21 @@ def _(spark, sf):
   FROM prices"""))
 def _(spark, sf):
     p = F.col("Polarity")
-    mocked = files.with_mock_polarity(v.prices(spark, sf), seed=7)
+    mocked = files.with_mock_polarity(v.prices(spark, sf), KEYS, seed=7)
     return mocked.agg(
         F.count(F.lit(1)).alias("n"), F.count_if(p.between(0, 5) & (p == F.floor(p))).alias("whole_0_to_5"),
         F.count_distinct(p).alias("kinds"))
 
 
+@query("s8_parquet_days", sql(q.SCORED, select=f"""
+  SELECT t_key, search_term, polarity FROM scored
+  WHERE {q.day_of('created')} BETWEEN DATE '2024-01-05' AND DATE '2024-01-20'"""))
+def _(spark, sf):
+    path = scratch_path(spark, "scored-days")
+    files.write_scored_table(v.scored(spark, sf).withColumn("created", F.col("created").cast("string")), path)
+    return files.read_scored_table(spark, path, "2024-01-05", "2024-01-20").select("t_key", "search_term", "polarity")
+
+
 # classifiers -------------------------------------------------------------------------------
 
 KEYS = ("symbol", "dt")
