@@ -7,13 +7,12 @@ text costs no more than any other row. Emoji and multi-word idioms are not cover
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from .lexicon import Lexicon
+from .text import let
 
 # Fixed values of the published method.
 DAMPING = (1.0, 0.95, 0.9)      # effect of a modifier 1, 2, 3 words back
@@ -24,14 +23,10 @@ EXCLAIM_STEP, EXCLAIM_MAX = 0.292, 4
 QUESTION_STEP, QUESTION_MANY = 0.18, 0.96
 ALPHA = 15.0
 LABEL_CUT = 0.05
+PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 
 
 
-def _let(value: Column, body: Callable[[Column], Column]) -> Column:
-    """Bind ``value`` to a name so that ``body`` can use it often but compute it once."""
-    return F.transform(F.array(value), body)[0]
-
-
 def _compound(total: Column) -> Column:
     # adding 0.0 turns a negative zero into zero
     return F.round(total / F.sqrt(total * total + F.lit(ALPHA)), 4) + F.lit(0.0)
@@ -80,27 +75,27 @@ def _word_total(codes: Column, but_at: Column, caps_step: Column | None) -> Colu
     return F.aggregate(F.transform(codes, score), F.lit(0.0), lambda a, b: a + b)
 
 
-def score_clean(clean: Column, lexicon: Lexicon) -> Column:
-    """Compound score in [-1, 1] of cleaned text (lower-case words split by blanks)."""
+def score_words(words: Column, lexicon: Lexicon) -> Column:
+    """Compound score in [-1, 1] of an array of lower-case words; null counts as empty."""
     find = lexicon.finder()
 
-    def of_words(words: Column) -> Column:
-        but_at = F.array_position(words, "but")
-        codes = F.transform(words, find)
-        return _let(F.struct(codes.alias("codes"), but_at.alias("but_at")),
-                    lambda s: _word_total(s["codes"], s["but_at"], None))
+    def of_words(given: Column) -> Column:
+        bound = F.struct(
+            F.transform(given, find).alias("codes"), F.array_position(given, "but").alias("but_at"))
+        return let(bound, lambda s: _word_total(s["codes"], s["but_at"], None))
 
-    words = F.filter(F.split(F.coalesce(clean, F.lit("")), " "), lambda w: w != "")
-    return _let(_let(words, of_words), _compound)
+    given = F.coalesce(words, F.array().cast("array<string>"))
+    return let(let(given, of_words), _compound)
 
 
-def _strip_punctuation(token: Column) -> Column:
-    bare = F.regexp_replace(token, r"^\p{Punct}+|\p{Punct}+$", "")
-    return F.when(F.length(bare) <= 2, token).otherwise(bare)
+def score_clean(clean: Column, lexicon: Lexicon) -> Column:
+    """``score_words`` of cleaned text (lower-case words split by blanks)."""
+    return score_words(F.filter(F.split(clean, " "), lambda w: w != ""), lexicon)
 
 
-def _is_caps(token: Column) -> Column:
-    return (token == F.upper(token)) & (token != F.lower(token))
+def _strip_punctuation(token: Column) -> Column:
+    return let(F.btrim(token, F.lit(PUNCTUATION)),
+               lambda bare: F.when(F.length(bare) <= 2, token).otherwise(bare))
 
 
 def _emphasis(text: Column) -> Column:
@@ -123,34 +118,29 @@ def score_raw(text: Column, lexicon: Lexicon) -> Column:
     text = F.coalesce(text, F.lit(""))
 
     def code(token: Column) -> Column:
-        def build(pair: Column) -> Column:
-            low, hit = pair["low"], pair["hit"]
-            return F.struct(
-                hit["v"].alias("v"), hit["b"].alias("b"),
-                (F.coalesce(hit["n"], F.lit(False)) | low.contains("n't")).alias("n"),
-                _is_caps(token).alias("c"),
-            )
-        return _let(F.lower(token), lambda low: _let(F.struct(low.alias("low"), find(low).alias("hit")), build))
-
-    def of_words(words: Column) -> Column:
-        shouted = F.size(F.filter(words, _is_caps))
+        return let(F.lower(token), lambda low: let(find(low), lambda hit: F.struct(
+            low.alias("low"), hit["v"].alias("v"), hit["b"].alias("b"),
+            (F.coalesce(hit["n"], F.lit(False)) | low.contains("n't")).alias("n"),
+            ((token != low) & (token == F.upper(token))).alias("c"))))
+
+    def of_codes(codes: Column) -> Column:
+        shouted = F.size(F.filter(codes, lambda c: c["c"]))
         # capitals only stand out among other words
-        caps_step = F.when((shouted > 0) & (shouted < F.size(words)), F.lit(CAPS_STEP)).otherwise(F.lit(0.0))
-        but_at = F.array_position(F.transform(words, F.lower), "but")
-        bound = F.struct(
-            F.transform(words, code).alias("codes"), but_at.alias("but_at"), caps_step.alias("caps"))
-        return _let(bound, lambda s: _word_total(s["codes"], s["but_at"], s["caps"]))
+        caps_step = F.when((shouted > 0) & (shouted < F.size(codes)), F.lit(CAPS_STEP)).otherwise(F.lit(0.0))
+        bound = F.struct(F.array_position(F.transform(codes, lambda c: c["low"]), "but").alias("but_at"),
+                         caps_step.alias("caps"))
+        return let(bound, lambda s: _word_total(codes, s["but_at"], s["caps"]))
 
     tokens = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    words = F.transform(tokens, _strip_punctuation)
+    codes = F.transform(F.transform(tokens, _strip_punctuation), code)
     added = _emphasis(text)
 
     def emphasised(s: Column) -> Column:
         total, mark = s["total"], s["mark"]
         return (F.when(total > 0, total + mark).when(total < 0, total - mark).otherwise(total))
 
-    total = _let(F.struct(_let(words, of_words).alias("total"), added.alias("mark")), emphasised)
-    return _let(total, _compound)
+    total = let(F.struct(let(codes, of_codes).alias("total"), added.alias("mark")), emphasised)
+    return let(total, _compound)
 
 
 def weighted_polarity(compound: Column, likes: Column, retweets: Column, followers: Column) -> Column:

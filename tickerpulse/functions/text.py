@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, SparkSession
 from pyspark.sql import functions as F
@@ -25,17 +25,51 @@ def remove_class(text: Column, name: str) -> Column:
     return text if pattern is None else F.regexp_replace(text, pattern, " ")
 
 
+# A run of three or more letters and digits with at least one letter, in lower-case text.
+KEPT_WORD = r"(?=[0-9]*[a-z])[a-z0-9]{3,}"
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """Bind ``value`` to a name so that ``body`` can use it often but compute it once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _lower_without_urls(text: Column) -> Column:
+    low = F.lower(text)
+    return F.when(low.contains("://"), F.regexp_replace(low, REMOVAL_PATTERNS["urls"], " ")).otherwise(low)
+
+
+def _kept_words(low: Column) -> Column:
+    return F.regexp_extract_all(low, F.lit(KEPT_WORD), F.lit(0))
+
+
+def _joined(low: Column, words: Column) -> Column:
+    """The words with one blank between them, and one at an end where something was removed."""
+    first, last = F.get(words, F.lit(0)), F.get(words, F.size(words) - 1)
+    lead = F.when(low.startswith(first), "").otherwise(" ")
+    trail = F.when(low.endswith(last), "").otherwise(" ")
+    empty = F.when(low == "", "").otherwise(" ")
+    return F.when(F.size(words) == 0, empty).otherwise(F.concat(lead, F.array_join(words, " "), trail))
+
+
+def clean_words(text: Column) -> Column:
+    """The words that ``clean_document`` keeps, as an array."""
+    return _kept_words(_lower_without_urls(text))
+
+
 def clean_document(text: Column) -> Column:
     """Lower-case words of three or more letters, blank-separated, without URLs and numbers.
 
-    Gives what applying the five classes in order gives, in four passes: whole runs of other
-    characters go at once, then numbers and short words together. Blanks at either end stay,
-    as do stop words.
+    Gives what applying the five classes in order gives, by picking out what stays instead of
+    replacing what goes. A blank stays at an end where something was removed, as do stop words.
     """
-    out = F.regexp_replace(F.lower(text), REMOVAL_PATTERNS["urls"], " ")
-    out = F.regexp_replace(out, r"[^a-z0-9]+", " ")
-    out = F.regexp_replace(out, r"\b(?:[0-9]+|[a-z0-9]{1,2})\b", " ")
-    return F.regexp_replace(out, REMOVAL_PATTERNS["whiteSpace"], " ")
+    return let(_lower_without_urls(text), lambda low: let(_kept_words(low), lambda w: _joined(low, w)))
+
+
+def clean_parts(text: Column) -> Column:
+    """struct(text, words): the cleaned document and its words from one pass."""
+    return let(_lower_without_urls(text), lambda low: let(_kept_words(low), lambda w: F.struct(
+        _joined(low, w).alias("text"), w.alias("words"))))
 
 
 def drop_stopwords(text: Column, stopwords: Sequence[str]) -> Column:

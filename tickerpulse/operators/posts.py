@@ -56,12 +56,12 @@ def flatten_search_page(pages: DataFrame, body: str = "body", term: str = "searc
 
 def score_posts(posts: DataFrame, lexicon: Lexicon, weighted: bool = True) -> DataFrame:
     """Posts to scored posts, in the column order of the files at rest."""
-    compound = sentiment.score_clean(F.col("processed_text"), lexicon)
+    compound = sentiment.score_words(F.col("_clean.words"), lexicon)
     polarity = compound if not weighted else sentiment.weighted_polarity(
         compound, F.col("like_count"), F.col("retweet_count"), F.col("followers_count"))
-    return posts.withColumn("processed_text", text.clean_document(F.col("text"))).select(
+    return posts.withColumn("_clean", text.clean_parts(F.col("text"))).select(
         "t_key", "created", "search_term", F.lit(0).cast("bigint").alias("id"),
-        "processed_text", polarity.alias("polarity"))
+        F.col("_clean.text").alias("processed_text"), polarity.alias("polarity"))
 
 
 def dated_polarity(scored: DataFrame, day: Callable[[Column], Column]) -> DataFrame:
@@ -71,8 +71,8 @@ def dated_polarity(scored: DataFrame, day: Callable[[Column], Column]) -> DataFr
 
 def with_compound(posts: DataFrame, lexicon: Lexicon, raw: bool = True) -> DataFrame:
     """Add ``compound``, its label and the three 1.0/0.0 label columns."""
-    score = sentiment.score_raw(F.col("text"), lexicon) if raw else sentiment.score_clean(
-        text.clean_document(F.col("text")), lexicon)
+    score = sentiment.score_raw(F.col("text"), lexicon) if raw else sentiment.score_words(
+        text.clean_words(F.col("text")), lexicon)
     labelled = posts.withColumn("compound", score).withColumn("sentiment", sentiment.label(F.col("compound")))
     flags = {name: (F.col("sentiment") == name).cast("double") for name in ("positive", "negative", "neutral")}
     return labelled.withColumns(flags)

@@ -129,8 +129,8 @@ def _(spark, sf):
 
 @query("f5_sentiment_clean", sql(q.POSTS, q.COMPOUND_CLEAN, select="SELECT t_key, compound FROM compound"))
 def _(spark, sf):
-    return v.posts(spark, sf).select("t_key", sentiment.score_clean(
-        text.clean_document(F.col("text")), v.LEXICON).alias("compound"))
+    return v.posts(spark, sf).select("t_key", sentiment.score_words(
+        text.clean_words(F.col("text")), v.LEXICON).alias("compound"))
 
 
 @query("f5_sentiment_raw", sql(q.POSTS, q.COMPOUND_RAW, select="SELECT t_key, compound FROM compound"))
