@@ -35,6 +35,10 @@ def test_train_save_load_predict(spark, rows, tmp_path):
     crossed = M.accuracy(long.where(F.col("symbol") != F.col("model_symbol"))).collect()
     assert all(r.accuracy < 0.3 for r in crossed)
     wide = M.rows_at(M.predict_wide(rows, loaded), 3).collect()
+    nested = M.predict_nested(rows, loaded, {"A.X": "tesla", "B-Y.CC": "bitcoin"})
+    (one,) = M.rows_at(nested, 3).where("symbol = 'A.X'").first().stock_predictions
+    assert set(one.asDict()) == {"tesla", "bitcoin"}
+    assert list(one.tesla.asDict()) == ["logistic regression", "support vector machine", "decission tree"]
     assert len(wide) == 2 and len(wide[0]) == len(rows.columns) + 6
 
 

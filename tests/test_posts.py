@@ -164,3 +164,12 @@ def test_shares_leave_out_nulls(spark):
     df = spark.createDataFrame([("a",), ("a",), ("b",), (None,)], "company_name string")
     got = {r.company_name: round(r.percent, 4) for r in E.share(df, "company_name").collect()}
     assert got == {"a": 66.6667, "b": 33.3333}
+
+
+def test_flagship_shuffles_twice_and_never_text(spark):
+    posts = spark.createDataFrame([("1", "good", 1, "T", 1, 1, 1)], "t_key string, text string, created long, "
+                                  "search_term string, like_count int, retweet_count int, followers_count int")
+    plan = daily.score_and_roll_up(posts, LEX)._jdf.queryExecution().executedPlan().toString()
+    shuffles = [line for line in plan.splitlines() if "Exchange " in line]
+    assert len(shuffles) == 2 and not any("text#" in line for line in shuffles)
+    assert "Python" not in plan and "Join" not in plan

@@ -97,3 +97,37 @@ def test_cut_lineage_writes_to_the_shared_folder(spark):
     assert "Range" not in out._jdf.queryExecution().optimizedPlan().toString()
     assert out.agg(F.sum("x")).first()[0] == 90
     assert session.scratch_path(spark, "a").startswith(session.shared_dir(spark))
+
+
+class _Conf:
+    def __init__(self, folder):
+        self.folder = folder
+
+    def get(self, _, default):
+        return self.folder or default
+
+
+class _Context:
+    folder = None
+
+    def __init__(self, master):
+        self.master = master
+
+    def getCheckpointDir(self):
+        return self.folder
+
+    def setCheckpointDir(self, folder):
+        self.folder = folder
+
+
+class _Session:
+    def __init__(self, master, folder=None):
+        self.conf, self.sparkContext = _Conf(folder), _Context(master)
+
+
+def test_shared_folder_is_the_configured_one():
+    assert session.shared_dir(_Session("spark://m", "s3://bucket/ck/")) == "s3://bucket/ck"
+    with pytest.raises(RuntimeError):
+        session.shared_dir(_Session("spark://m"))
+    local = _Session("local[2]")
+    assert session.shared_dir(local) == session.shared_dir(local) != ""

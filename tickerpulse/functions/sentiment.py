@@ -7,6 +7,8 @@ text costs no more than any other row. Emoji and multi-word idioms are not cover
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -26,7 +28,6 @@ LABEL_CUT = 0.05
 PUNCTUATION = r"""!"#$%&'()*+,-./:;<=>?@[\]^_`{|}~"""
 
 
-
 def _compound(total: Column) -> Column:
     # adding 0.0 turns a negative zero into zero
     return F.round(total / F.sqrt(total * total + F.lit(ALPHA)), 4) + F.lit(0.0)
@@ -60,19 +61,21 @@ def _but_factor(index: Column, but_at: Column) -> Column:
     )
 
 
-def _word_total(codes: Column, but_at: Column, caps_step: Column | None) -> Column:
-    """Sum of the word scores; ``codes`` holds struct(v, b, n[, c]) or null per word."""
+def _word_total(hits: Column, previous: Callable[[Column], Column], but_at: Column,
+                caps: Column | None = None, caps_step: Column | None = None) -> Column:
+    """Sum of the word scores. ``hits`` holds struct(v, b, n) or null per word, ``previous`` gives
+    the same with ``c`` for the word at a place, ``caps`` tells which words are in capitals."""
 
-    def score(code: Column, i: Column) -> Column:
-        valence = code["v"]
-        if caps_step is not None:
+    def score(hit: Column, i: Column) -> Column:
+        valence = hit["v"]
+        if caps is not None:
             shout = F.when(valence > 0, caps_step).otherwise(-caps_step)
-            valence = F.when(code["c"], valence + shout).otherwise(valence)
-        previous = [F.get(codes, i - F.lit(d)) for d in (1, 2, 3)]
-        scored = _modified(valence, previous, caps_step) * _but_factor(i, but_at)
-        return F.when(code["v"].isNull(), F.lit(0.0)).otherwise(scored)
+            valence = F.when(F.get(caps, i), valence + shout).otherwise(valence)
+        before = [previous(i - F.lit(d)) for d in (1, 2, 3)]
+        scored = _modified(valence, before, caps_step) * _but_factor(i, but_at)
+        return F.when(hit["v"].isNull(), F.lit(0.0)).otherwise(scored)
 
-    return F.aggregate(F.transform(codes, score), F.lit(0.0), lambda a, b: a + b)
+    return F.aggregate(F.transform(hits, score), F.lit(0.0), lambda a, b: a + b)
 
 
 def score_words(words: Column, lexicon: Lexicon) -> Column:
@@ -81,8 +84,8 @@ def score_words(words: Column, lexicon: Lexicon) -> Column:
 
     def of_words(given: Column) -> Column:
         bound = F.struct(
-            F.transform(given, find).alias("codes"), F.array_position(given, "but").alias("but_at"))
-        return let(bound, lambda s: _word_total(s["codes"], s["but_at"], None))
+            F.transform(given, find).alias("hits"), F.array_position(given, "but").alias("but_at"))
+        return let(bound, lambda s: _word_total(s["hits"], lambda i: F.get(s["hits"], i), s["but_at"]))
 
     given = F.coalesce(words, F.array().cast("array<string>"))
     return let(let(given, of_words), _compound)
@@ -93,9 +96,11 @@ def score_clean(clean: Column, lexicon: Lexicon) -> Column:
     return score_words(F.filter(F.split(clean, " "), lambda w: w != ""), lexicon)
 
 
-def _strip_punctuation(token: Column) -> Column:
-    return let(F.btrim(token, F.lit(PUNCTUATION)),
-               lambda bare: F.when(F.length(bare) <= 2, token).otherwise(bare))
+def _stripped(tokens: Column) -> Column:
+    """Tokens without punctuation at their ends; what would be left with two letters or fewer
+    (an emoticon, say) stays as it is."""
+    bare = F.transform(tokens, lambda t: F.btrim(t, F.lit(PUNCTUATION)))
+    return F.zip_with(tokens, bare, lambda t, b: F.when(F.length(b) <= 2, t).otherwise(b))
 
 
 def _emphasis(text: Column) -> Column:
@@ -117,29 +122,36 @@ def score_raw(text: Column, lexicon: Lexicon) -> Column:
     find = lexicon.finder()
     text = F.coalesce(text, F.lit(""))
 
-    def code(token: Column) -> Column:
-        return let(F.lower(token), lambda low: let(find(low), lambda hit: F.struct(
-            low.alias("low"), hit["v"].alias("v"), hit["b"].alias("b"),
-            (F.coalesce(hit["n"], F.lit(False)) | low.contains("n't")).alias("n"),
-            ((token != low) & (token == F.upper(token))).alias("c"))))
+    def of_words(words: Column) -> Column:
+        return let(F.struct(words.alias("words"), F.transform(words, F.lower).alias("low")), looked_up)
 
-    def of_codes(codes: Column) -> Column:
-        shouted = F.size(F.filter(codes, lambda c: c["c"]))
+    def looked_up(s: Column) -> Column:
+        caps = F.zip_with(s["words"], s["low"], lambda w, low: (w != low) & (w == F.upper(w)))
+        hits = F.transform(s["low"], find)
+        return let(F.struct(s["low"].alias("low"), hits.alias("hits"), caps.alias("caps")), summed)
+
+    def summed(s: Column) -> Column:
+        shouted = F.size(F.filter(s["caps"], lambda c: c))
         # capitals only stand out among other words
-        caps_step = F.when((shouted > 0) & (shouted < F.size(codes)), F.lit(CAPS_STEP)).otherwise(F.lit(0.0))
-        bound = F.struct(F.array_position(F.transform(codes, lambda c: c["low"]), "but").alias("but_at"),
-                         caps_step.alias("caps"))
-        return let(bound, lambda s: _word_total(codes, s["but_at"], s["caps"]))
+        step = F.when((shouted > 0) & (shouted < F.size(s["caps"])), F.lit(CAPS_STEP)).otherwise(F.lit(0.0))
+
+        def previous(i: Column) -> Column:
+            hit = F.get(s["hits"], i)
+            negates = F.coalesce(hit["n"], F.lit(False)) | F.get(s["low"], i).contains("n't")
+            return F.struct(hit["v"].alias("v"), hit["b"].alias("b"), negates.alias("n"),
+                            F.get(s["caps"], i).alias("c"))
+
+        bound = F.struct(F.array_position(s["low"], "but").alias("but_at"), step.alias("caps_step"))
+        return let(bound, lambda t: _word_total(s["hits"], previous, t["but_at"], s["caps"], t["caps_step"]))
 
     tokens = F.filter(F.split(text, r"\s+"), lambda w: w != "")
-    codes = F.transform(F.transform(tokens, _strip_punctuation), code)
     added = _emphasis(text)
 
     def emphasised(s: Column) -> Column:
         total, mark = s["total"], s["mark"]
         return (F.when(total > 0, total + mark).when(total < 0, total - mark).otherwise(total))
 
-    total = let(F.struct(let(codes, of_codes).alias("total"), added.alias("mark")), emphasised)
+    total = let(F.struct(let(let(tokens, _stripped), of_words).alias("total"), added.alias("mark")), emphasised)
     return let(total, _compound)
 
 

@@ -82,13 +82,17 @@ def join_day_scores(day_scores: DataFrame, prices: DataFrame) -> DataFrame:
 
 
 def unmatched_days(day_scores: DataFrame, prices: DataFrame) -> DataFrame:
-    """Rows of the full outer join on ``day_date`` that have no partner, marked with their side."""
-    left = day_scores.withColumn("_in_left", F.lit(True))
-    right = prices.withColumn("_in_right", F.lit(True))
-    both = left.join(right, "day_date", "full_outer")
-    side = F.when(F.col("_in_right").isNull(), F.lit("left_only")).when(
-        F.col("_in_left").isNull(), F.lit("right_only"))
-    return both.withColumn("_merge", side).where(F.col("_merge").isNotNull()).drop("_in_left", "_in_right")
+    """What a full outer join on ``day_date`` leaves without a partner, marked with its side.
+
+    Two anti joins give the same rows, and unlike a full outer join they can be broadcast or
+    split where one day holds most of the prices. The second needs the days only, so nothing
+    that goes into the scores is computed for it.
+    """
+    days = prices.select("day_date").distinct()
+    left = day_scores.join(days, "day_date", "left_anti").withColumn("_merge", F.lit("left_only"))
+    right = prices.join(day_scores.select("day_date"), "day_date", "left_anti").withColumn(
+        "_merge", F.lit("right_only"))
+    return left.unionByName(right, allowMissingColumns=True)
 
 
 def derived_prices(prices: DataFrame) -> DataFrame:

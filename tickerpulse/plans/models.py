@@ -30,6 +30,8 @@ from ..operators.indicators import FEATURES, KEY
 
 LABEL = "Target"
 FAMILIES = ("lg", "svm", "dt")
+# Names of the families in the nested result.
+FAMILY_NAMES = {"lg": "logistic regression", "svm": "support vector machine", "dt": "decission tree"}
 PARALLEL_FITS = 4
 ROWS_PER_TASK = 100_000
 
@@ -238,6 +240,20 @@ def predict_long(rows: DataFrame, models: dict[tuple[str, str], PipelineModel])
     return wide.select(*rows.columns, F.inline(F.array(*cells)))
 
 
+def predict_nested(rows: DataFrame, models: dict[tuple[str, str], PipelineModel],
+                   names: dict[str, str]) -> DataFrame:
+    """Rows with ``stock_predictions``: an array of one struct that holds, per company name, the
+    prediction of each family. ``names`` gives the company name of a symbol."""
+    def company(symbol: str) -> Column:
+        return F.struct(*[
+            F.col(prediction_column(symbol, f)).cast("int").alias(FAMILY_NAMES[f])
+            for s, f in models if s == symbol])
+
+    symbols = list(dict.fromkeys(symbol for symbol, _ in models))
+    nested = F.array(F.struct(*[company(s).alias(names[s]) for s in symbols]))
+    return predict_wide(rows, models).select(*rows.columns, nested.alias("stock_predictions"))
+
+
 def accuracy(predictions: DataFrame, label: str = LABEL) -> DataFrame:
     """Share of right predictions per model."""
     right = (F.col("prediction") == F.col(label)).cast("double")

@@ -10,7 +10,7 @@ from tickerpulse.operators import enrich as J
 from tickerpulse.operators import indicators as I
 from tickerpulse.operators import rollup
 from tickerpulse.plans import models, training
-from tickerpulse.schemas import struct_of
+from tickerpulse.schemas import INSTRUMENTS, struct_of
 from tickerpulse.session import cut_lineage, scratch_path
 from tickerpulse.sources import files
 from pyspark.sql import types as T
@@ -340,8 +340,10 @@ def _(spark, sf):
 def _(spark, sf):
     build, verify = frames(spark, sf)
     fitted = models.train_all(build, SYMBOLS, KEYS, models.FAMILIES, TINY, folds=2)
-    wide = models.predict_wide(verify, fitted)
-    return dated(wide.drop(*I.FEATURES))
+    terms = {row[0]: row[2] for row in INSTRUMENTS if row[0]}
+    nested = models.predict_nested(verify, fitted, terms)
+    return dated(nested.select("symbol", "dt", "Index", "Target",
+                               F.to_json("stock_predictions").alias("stock_predictions")))
 
 
 @query("m11_row_by_index", sql(*FRAME_CTES, f"""verify AS (
