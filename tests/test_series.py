@@ -108,6 +108,13 @@ def test_numbering_equals_a_plain_sort(spark, pairs, width):
     assert all(r.n_rows == sum(p[0] == r.k for p in pairs) for r in out)
 
 
+def test_minute_bars(spark):
+    c = walk(3000, 11)
+    rows = [("A", dt.datetime(2020, 1, 1) + dt.timedelta(minutes=i), x) for i, x in enumerate(c)]
+    df = spark.createDataFrame(rows, "symbol string, dt timestamp, close double")
+    same(column(I.with_sma(df, chunk=500), "SMA", "A"), pd.Series(c).rolling(30).mean())
+
+
 def test_ema_stays_between_extremes(spark):
     c = walk(400, 9)
     ema = column(I.with_ema(prices(spark, {"A": c}), {"EMA": 20}, chunk=50), "EMA", "A")

@@ -45,7 +45,8 @@ def test_clean_equals_the_five_steps(spark):
 
 @settings(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(st.lists(st.text(max_size=60), min_size=1, max_size=20))
-def test_clean_is_idempotent_after_trim(spark, values):
+def test_clean_any_text(spark, values):
+    assert run(spark, values, text.clean_document) == run(spark, values, five_steps)
     once = run(spark, values, lambda c: F.trim(text.clean_document(c)))
     assert run(spark, once, lambda c: F.trim(text.clean_document(c))) == once
 

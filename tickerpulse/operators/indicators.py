@@ -1,6 +1,7 @@
 """Technical indicators, targets and splits over price series.
 
-Input: one row per (symbol, dt). Every function works on all symbols at once.
+Input: one row per (symbol, dt), where dt is a date or, for finer bars, a timestamp. Every function
+works on all symbols at once.
 """
 
 from __future__ import annotations
@@ -12,7 +13,7 @@ from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .series import CHUNK_ROWS, chunk_window, in_chunks, month_bucket, number_rows, own_rows
+from .series import CHUNK_ROWS, calendar_bucket, chunk_window, in_chunks, number_rows, own_rows
 
 KEY, DAY = "symbol", "dt"
 
@@ -21,7 +22,7 @@ HALVINGS = 64
 
 
 def numbered(prices: DataFrame, keys: Sequence[str] = (KEY,), day: str = DAY) -> DataFrame:
-    return number_rows(prices, keys, [day], month_bucket(day))
+    return number_rows(prices, keys, [day], calendar_bucket(prices, day))
 
 
 def _mean_of_last(column: Column, n: int, window: WindowSpec) -> Column:

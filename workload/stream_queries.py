@@ -8,8 +8,8 @@ from pyspark.sql import functions as F
 from tickerpulse.functions import text
 from tickerpulse.operators import posts as P
 from tickerpulse.schemas import SCORED_POST
-from tickerpulse.session import scratch_path, spread_small
-from tickerpulse.sources import files, stream
+from tickerpulse.session import scratch_path
+from tickerpulse.sources import stream
 from tickerpulse.streaming import jobs, sinks
 
 from . import sql as q
@@ -194,7 +194,7 @@ def event_stream(spark, sf) -> DataFrame:
     events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(sf)
     return events.select(
         F.col("event_id").cast("string").alias("t_key"), F.timestamp_seconds(v.event_seconds()).alias("ts"),
-        v._pick(F.col("event_type"), v.EVENT_TERMS).alias("search_term"))
+        v.pick(F.col("event_type"), v.EVENT_TERMS).alias("search_term"))
 
 
 @query("r6_term_counts_stream", sql(q.SCORED, """windows AS (

@@ -8,6 +8,8 @@ tickers    (post id, ticker) rows in file order, from events; ids repeat
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,11 +39,10 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
-def _pick(column: Column, choices: dict) -> Column:
-    out = F.when(F.lit(False), F.lit(None))
-    for key, value in choices.items():
-        out = out.when(column == key, F.lit(value))
-    return out
+def pick(column: Column, choices: dict) -> Column:
+    """The choice that ``column`` names, else null."""
+    (key, value), *rest = choices.items()
+    return reduce(lambda out, kv: out.when(column == kv[0], F.lit(kv[1])), rest, F.when(column == key, F.lit(value)))
 
 
 def posts(spark: SparkSession, sf: str) -> DataFrame:
@@ -53,7 +54,7 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
         F.concat("text", F.lit(" #"), "lang", F.lit(" #"), "source", F.lit(" https://x.example/"),
                  doc.cast("string")).alias("text"),
         (788918400 + (doc % 2400) * 86400 + (doc * 7919) % 86400).alias("created"),
-        _pick(term, dict(enumerate(POST_TERMS))).alias("search_term"),
+        pick(term, dict(enumerate(POST_TERMS))).alias("search_term"),
         (F.col("n_chars") % 50).cast("int").alias("like_count"),
         (doc % 7).cast("int").alias("retweet_count"),
         (F.col("n_chars") % 1000).cast("int").alias("followers_count"),
@@ -75,7 +76,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
         F.round(F.col("value") - 25, 2))
     return e.select(
         F.col("event_id").cast("string").alias("t_key"), event_seconds().alias("created"),
-        _pick(F.col("event_type"), EVENT_TERMS).alias("search_term"), F.lit(0).cast("bigint").alias("id"),
+        pick(F.col("event_type"), EVENT_TERMS).alias("search_term"), F.lit(0).cast("bigint").alias("id"),
         F.concat("event_type", F.lit(" "), "props").alias("processed_text"), polarity.alias("polarity"),
     )
 
@@ -84,7 +85,7 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
     o = table(spark, sf, "orders")
     price = F.col("o_totalprice")
     return o.groupBy(
-        _pick(F.col("o_orderpriority"), PRICE_SYMBOLS).alias("symbol"),
+        pick(F.col("o_orderpriority"), PRICE_SYMBOLS).alias("symbol"),
         F.col("o_orderdate").cast("date").alias("dt"),
     ).agg(
         F.min_by(price, "o_orderkey").alias("open"), F.max(price).alias("high"), F.min(price).alias("low"),
@@ -95,7 +96,7 @@ def prices(spark: SparkSession, sf: str) -> DataFrame:
 def company_values(spark: SparkSession, sf: str) -> DataFrame:
     p = prices(spark, sf)
     return p.select(
-        _pick(F.col("symbol"), SYMBOL_TICKERS).alias("ticker_symbol"), F.col("dt").alias("day_date"),
+        pick(F.col("symbol"), SYMBOL_TICKERS).alias("ticker_symbol"), F.col("dt").alias("day_date"),
         F.col("open").alias("open_value"), F.col("high").alias("high_value"), F.col("low").alias("low_value"),
         F.col("close").alias("close_value"), "volume",
     )
@@ -105,7 +106,7 @@ def tickers(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events")
     raw = {**EVENT_TERMS, "signup": "GOOGL"}
     return e.select(F.col("user_id").alias("tweet_id"),
-                    _pick(F.col("event_type"), raw).alias("ticker_symbol"), F.col("event_id").alias("line"))
+                    pick(F.col("event_type"), raw).alias("ticker_symbol"), F.col("event_id").alias("line"))
 
 
 def companies(spark: SparkSession) -> DataFrame:
