@@ -52,7 +52,8 @@ def test_nested_accuracy_and_grid(rows):
     one = M.symbol_rows(rows, "A.X", ["symbol", "dt"], folds=3).cache()
     space = M.search_space("A.X", "lg", one.count(), M.SMALL_GRIDS)
     scores = M.grid_scores(one, M.prediction_column("A.X", "lg"), space, folds=3)
-    assert len(scores) == len(space.grid) and all(0.5 < s <= 1 for s in scores)
+    # a heavy penalty leaves little more than the majority class
+    assert len(scores) == len(space.grid) and scores[0] < 0.7 < 0.9 < scores[1] <= 1
     assert all(s > 0.8 for s in M.nested_accuracy(one, "A.X", "lg", GRID, folds=2))
 
 
@@ -65,7 +66,7 @@ def test_folds_depend_on_the_keys_only(rows):
 
 def test_full_grids_have_the_stated_sizes():
     sizes = {f: len(M.search_space("A", f, 10, M.FULL_GRIDS).grid) for f in M.FAMILIES}
-    assert sizes == {"lg": 18, "svm": 48, "dt": 144}
+    assert sizes == {"lg": 18, "svm": 48, "dt": 96}
 
 
 def test_kernel_features_approximate_rbf(spark):

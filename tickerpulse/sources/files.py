@@ -54,6 +54,17 @@ def read_scored_posts(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, schemas.SCORED_POST)
 
 
+def read_split(spark: SparkSession, path: str, side: str, schema: T.StructType) -> DataFrame:
+    """The training or the testing rows of ``write_split``; the other folders are not read.
+
+    ``schema`` lists the file's columns, without split and symbol.
+    """
+    folders = [T.StructField("split", T.StringType()), T.StructField("symbol", T.StringType())]
+    rows = spark.read.schema(T.StructType([*schema.fields, *folders])).option("header", True).option(
+        "escape", '"').csv(path)
+    return rows.where(F.col("split") == side).drop("split")
+
+
 def write_scored_table(scored: DataFrame, path: str, mode: str = "append") -> None:
     """Scored posts as Parquet in ``date=`` folders; a day with many posts gets several files."""
     dated = scored.withColumn("date", day_of_epoch(F.col("created").cast("bigint")))
@@ -77,6 +88,29 @@ def read_post_dump(spark: SparkSession, path: str, multi_line: bool = True) -> D
     return read_csv(spark, path, schemas.POST_DUMP, multi_line)
 
 
+def with_line_order(scan: DataFrame) -> DataFrame:
+    """Add ``line``, which sorts rows of a text scan as they stand in their files.
+
+    Within a block of a file, rows are numbered by the one task that reads it.
+    """
+    place = F.struct(F.col("_metadata.file_path"), F.col("_metadata.file_block_start"),
+                     F.monotonically_increasing_id().alias("row"))
+    return scan.withColumn("line", place)
+
+
+def read_post_tickers(spark: SparkSession, path: str) -> DataFrame:
+    """(tweet_id, ticker_symbol, line) in file order."""
+    return with_line_order(read_csv(spark, path, schemas.POST_TICKER))
+
+
+def read_companies(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, schemas.COMPANY)
+
+
+def read_company_values(spark: SparkSession, path: str) -> DataFrame:
+    return read_csv(spark, path, schemas.COMPANY_VALUES)
+
+
 def symbol_from_path(path: Column, pattern: str = SYMBOL_FILE) -> Column:
     return F.url_decode(F.regexp_extract(path, pattern, 1))
 
@@ -88,6 +122,12 @@ def read_symbol_files(spark: SparkSession, path: str, schema: T.StructType = sch
     return scan.withColumn("symbol", symbol_from_path(F.col("_metadata.file_path"), pattern))
 
 
+def as_prices(bars: DataFrame) -> DataFrame:
+    """Provider bars under the names the series operators use: symbol, dt, open, ..., volume."""
+    renamed = bars.withColumnsRenamed({c: c.lower() for c in bars.columns})
+    return renamed.withColumnRenamed("date", "dt")
+
+
 def latest_file(spark: SparkSession, path: str, glob: str = "*.csv") -> str | None:
     """The last file in name order. Only the listing is read, not the files."""
     listing = (

@@ -10,7 +10,7 @@ from tickerpulse.operators import eda as E
 from tickerpulse.operators import enrich as J
 from tickerpulse.operators import posts as P
 from tickerpulse.operators import rollup
-from tickerpulse.plans import daily
+from tickerpulse.plans import daily, exploration, replay
 from tickerpulse.schemas import TERM_TARGETS, TOTAL_TARGET, instruments
 
 from . import sql as q
@@ -157,6 +157,14 @@ def _(spark, sf):
     return J.attach_ticker(v.posts(spark, sf).select("tweet_id", "created"), v.tickers(spark, sf), "line")
 
 
+@query("s7_replay_records", sql(q.POSTS, q.TICKERS, LAST_TICKER, select="""
+  SELECT t_key, replace(replace(text, ',', ''), '"', '') AS text, CAST(created AS VARCHAR) AS created,
+    coalesce(ticker_symbol, '') AS search_term, like_count, retweet_count, 0 AS followers_count
+  FROM posts LEFT JOIN last_ticker USING (tweet_id)"""))
+def _(spark, sf):
+    return P.decode_posts(replay.replay_records(v.dump(spark, sf), v.tickers(spark, sf)))
+
+
 NAMES = (q.POSTS, q.TICKERS, q.INSTRUMENTS_SQL, q.COMPANIES)
 
 
@@ -226,13 +234,15 @@ EDA_CTES = (*NAMES, q.COMPOUND_RAW, q.EDA)
 
 
 def eda_posts(spark, sf):
-    """Labelled posts with company and day. Posts are scored before the join, so no text is shuffled."""
-    labelled = P.with_compound(v.posts(spark, sf), v.LEXICON).drop("text")
-    named = J.attach_company(labelled, v.tickers(spark, sf), v.companies(spark), "line")
-    day = timeparse.day_of_epoch(F.col("created"))
-    return named.withColumns({
-        "day_date": timeparse.day_string(F.col("created")), "year": timeparse.year_of(day),
-        "day_passed": timeparse.days_passed(day)})
+    return exploration.processed_posts(v.dump(spark, sf), v.tickers(spark, sf), v.companies(spark), v.LEXICON)
+
+
+@query("e5_processed_posts", sql(*EDA_CTES, select="""
+  SELECT tweet_id, writer, created AS post_date, text AS body, company_name, compound, sentiment, day_date FROM eda"""))
+def _(spark, sf):
+    out = exploration.processed_posts(
+        v.dump(spark, sf), v.tickers(spark, sf), v.companies(spark), v.LEXICON, keep_text=True)
+    return out.select("tweet_id", "writer", "post_date", "body", "company_name", "compound", "sentiment", "day_date")
 
 
 @query("a8_post_share_per_company", sql(*NAMES, """named AS (

@@ -63,6 +63,14 @@ def posts(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def dump(spark: SparkSession, sf: str) -> DataFrame:
+    """The posts in the layout of the raw dump."""
+    return posts(spark, sf).select(
+        "tweet_id", "writer", F.col("created").alias("post_date"), F.col("text").alias("body"),
+        F.lit(0).alias("comment_num"), F.col("retweet_count").alias("retweet_num"),
+        F.col("like_count").alias("like_num"))
+
+
 def event_seconds(column: str = "ts") -> Column:
     """Whole epoch seconds of a zone-less timestamp, whatever the session time zone."""
     return F.timestamp_diff("SECOND", F.lit("1970-01-01 00:00:00").cast("timestamp_ntz"),
