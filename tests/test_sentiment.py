@@ -1,6 +1,5 @@
 import math
 import random
-import re
 import string
 
 import pytest
@@ -150,3 +149,11 @@ def test_english_default(spark):
     texts = ["great profit", "not great", "terrible loss", "the price"]
     a, b, c, d = scores(spark, texts, lambda col: S.score_raw(col, L.english()))
     assert a > 0 > b and c < 0 and d == 0
+
+
+def test_lexicon_file(spark, tmp_path):
+    (tmp_path / "words.txt").write_text('good\t1.9\t0.9\t[2, 2]\n:)\t2.0\t1.1\t[2]\n"quoted\t1.0\nbroken\n')
+    lex = Lexicon.from_file(spark, str(tmp_path / "words.txt"))
+    assert lex.words == {"good": 1.9, ":)": 2.0, '"quoted': 1.0} and "not" in lex.negators
+    good, smile = scores(spark, ["very good", "price :)"], lambda c: S.score_raw(c, lex))
+    assert good == brute(["very", "good"], lex) and smile > 0

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Mapping
 from dataclasses import dataclass, field
 from typing import ClassVar
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # A lexicon up to this many words is carried inside the query as a literal; a larger one is
@@ -53,6 +53,20 @@ class Lexicon:
             [r.word for r in rows if r.negates],
         )
 
+    @classmethod
+    def from_file(cls, spark: SparkSession, path: str, boosters: Mapping[str, float] | None = None,
+                  negators: Iterable[str] | None = None) -> "Lexicon":
+        """Read tab-separated lines of word, valence and anything else, the usual form of published
+        lexicons. Boosters and negators default to those of ``english``."""
+        lines = spark.read.option("sep", "\t").option("quote", "").schema("word string, valence double").csv(path)
+        known = lines.where("word is not null and valence is not null").limit(MAX_INLINE_WORDS + 1).collect()
+        if len(known) > MAX_INLINE_WORDS:
+            raise ValueError(f"over {MAX_INLINE_WORDS} words: use score_with_table")
+        usual = english()
+        return cls.of({r.word: r.valence for r in known},
+                      usual.boosters if boosters is None else boosters,
+                      usual.negators if negators is None else negators)
+
     def rows(self) -> list[tuple]:
         return [
             (w, self.words.get(w), self.boosters.get(w), w in self.negators)

@@ -34,9 +34,10 @@ def split_lines(lines: DataFrame, schema: T.StructType, header_mark: str, column
     For bodies without commas (see functions.text.sanitize_body). Fields that do not fit their
     type give null.
     """
-    parts = F.split(F.col(column), ",")
+    parts, blanks = F.split(F.col(column), ","), F.lit(" \t\r\n")
     fields = [
-        F.btrim(F.get(parts, F.lit(i)), F.lit(" \t\r\n")).try_cast(f.dataType).alias(f.name) for i, f in enumerate(schema.fields)
+        F.btrim(F.get(parts, F.lit(i)), blanks).try_cast(f.dataType).alias(f.name)
+        for i, f in enumerate(schema.fields)
     ]
     return lines.where(~F.col(column).contains(header_mark)).select(*fields)
 
