@@ -52,7 +52,7 @@ def test_clean_any_text(spark, values):
 
 
 def test_long_runs_do_not_overflow(spark):
-    junk = "!" * 200_000 + " 1" * 100_000 + " word" * 50_000
+    junk = "!" * 200_000 + " 1" * 100_000 + " word" * 50_000 + " " + "7" * 1_000_000
     (out,) = run(spark, [junk], text.clean_document)
     assert out.split() == ["word"] * 50_000
 

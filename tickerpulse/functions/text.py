@@ -25,8 +25,9 @@ def remove_class(text: Column, name: str) -> Column:
     return text if pattern is None else F.regexp_replace(text, pattern, " ")
 
 
-# A run of three or more letters and digits with at least one letter, in lower-case text.
-KEPT_WORD = r"(?=[0-9]*[a-z])[a-z0-9]{3,}"
+# A whole run of three or more letters and digits with at least one letter, in lower-case text.
+# Nothing is tried from inside a run, so long runs of digits take linear time.
+KEPT_WORD = r"(?<![a-z0-9])(?=[0-9]*+[a-z])[a-z0-9]{3,}"
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
