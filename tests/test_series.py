@@ -58,11 +58,12 @@ def test_indicators_equal_pandas(spark, chunk):
         same(column(rsi, "RSI", symbol), pandas_rsi(c), 1e-7)
 
 
-def test_wide_spans(spark):
-    data = {"A": walk(700, 5)}
-    out = I.with_ema(prices(spark, data), {"E3": 3, "E200": 200}, chunk=64)
-    for name, span in (("E3", 3), ("E200", 200)):
-        same(column(out, name, "A"), pd.Series(data["A"]).ewm(span=span, adjust=False).mean())
+@pytest.mark.parametrize("spans", [(3, 200), (1, 26), (2, 500), (1,)])
+def test_mixed_spans(spark, spans):
+    data = {"A": walk(2500, 5)}
+    out = I.with_ema(prices(spark, data), {f"E{s}": s for s in spans}, chunk=700)
+    for span in spans:
+        same(column(out, f"E{span}", "A"), pd.Series(data["A"]).ewm(span=span, adjust=False).mean())
 
 
 def test_flat_and_rising_series(spark):

@@ -19,6 +19,8 @@ KEY, DAY = "symbol", "dt"
 
 # A value this many halvings old no longer changes a double.
 HALVINGS = 64
+# Powers up to e to this stay well inside the range of a double.
+LARGEST_POWER = 500.0
 
 
 def numbered(prices: DataFrame, keys: Sequence[str] = (KEY,), day: str = DAY) -> DataFrame:
@@ -31,14 +33,23 @@ def _mean_of_last(column: Column, n: int, window: WindowSpec) -> Column:
     return F.when(F.count(column).over(frame) == n, F.avg(column).over(frame))
 
 
+def _forgetting(span: int) -> float:
+    """How much weight, as a logarithm, a value loses per row."""
+    return -math.log(1.0 - 2.0 / (span + 1))
+
+
 def memory_rows(span: int) -> int:
     """Rows after which an exponential mean of this span has forgotten a value."""
-    keep = 1.0 - 2.0 / (span + 1)
-    return math.ceil(HALVINGS * math.log(2) / -math.log(keep)) if keep > 0 else 1
+    return math.ceil(HALVINGS * math.log(2) / _forgetting(span)) if span > 1 else 0
 
 
 def _block_length(spans: Sequence[int]) -> int:
-    return max(1, math.ceil(memory_rows(max(spans)) / 4))
+    """A quarter of the longest memory, or less where powers of the shortest would overflow."""
+    spans = [s for s in spans if s > 1]
+    if not spans:
+        return 1
+    longest = math.ceil(memory_rows(max(spans)) / 4)
+    return max(1, min(longest, math.floor(LARGEST_POWER / _forgetting(min(spans)))))
 
 
 def _ema(chunked: DataFrame, column: str, spans: dict[str, int], block: int,
@@ -56,6 +67,9 @@ def _ema(chunked: DataFrame, column: str, spans: dict[str, int], block: int,
     blocks = W.partitionBy(*keys, "_chunk").orderBy("_block")
     local, full = {}, {}
     for name, span in spans.items():
+        if span == 1:
+            full[name] = F.col(column)
+            continue
         alpha = 2.0 / (span + 1)
         keep = 1.0 - alpha
         start = F.when(rn == 0, F.col(column)).otherwise(F.col(column) * F.lit(alpha))
