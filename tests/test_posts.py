@@ -69,6 +69,15 @@ def test_rollup_signs_and_redelivery(spark):
     assert [tuple(r) for r in out] == [(dt.date(2015, 1, 1), "T", 4, 1.0, 1, 1, 1)]
 
 
+def test_rollup_reads_every_encoding_of_created(spark):
+    written = [str(DAY), "2015-01-01T21:22:54Z", "Thu Jan 01 10:00:00 +0000 2015", "garbage"]
+    rows = scored(spark, [(str(i), c, "T", 0, "x", 1.0) for i, c in enumerate(written)])
+    got = {r.date: r["count"] for r in daily.roll_up_at_rest(rows).collect()}
+    assert got == {dt.date(2015, 1, 1): 3, None: 1}
+    numbers = rows.where("t_key = 0").withColumn("created", F.col("created").cast("int"))
+    assert daily.roll_up_at_rest(numbers).first().date == dt.date(2015, 1, 1)
+
+
 def test_distinct_is_by_all_columns(spark):
     rows = [("a", "1", "T", 0, "x", 2.0), ("a", "1", "T", 0, "y", 2.0), ("a", "1", "T", 0, None, 2.0),
             ("a", "1", "T", 0, None, 2.0)]

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 DAY_SECONDS = 86_400
 FIRST_DAY = "2015-01-01"
@@ -24,11 +25,23 @@ def parse_iso(text: Column) -> Column:
     return F.try_to_timestamp(text, F.lit("yyyy-MM-dd'T'HH:mm:ssX"))
 
 
-def parse_created(text: Column) -> Column:
-    """Epoch seconds, ISO text or ``Thu Feb 01 10:00:00 +0000 2018``; else null."""
+def created_seconds(text: Column) -> Column:
+    """Epoch seconds of text that holds epoch seconds, ISO text or
+    ``Thu Feb 01 10:00:00 +0000 2018``; else null."""
     provider = F.try_to_timestamp(F.substring(text, 5, 64), F.lit("MMM dd HH:mm:ss Z yyyy"))
-    epoch = F.timestamp_seconds(text.try_cast("bigint"))
-    return F.coalesce(epoch, parse_iso(text), provider)
+    return F.coalesce(text.try_cast("bigint"), F.unix_seconds(parse_iso(text)), F.unix_seconds(provider))
+
+
+def parse_created(text: Column) -> Column:
+    """The same as a timestamp."""
+    return F.timestamp_seconds(created_seconds(text))
+
+
+def seconds_of(df: DataFrame, column: str = "created") -> Column:
+    """Epoch seconds of a column that holds them as numbers or in one of the text encodings."""
+    if isinstance(df.schema[column].dataType, T.StringType):
+        return created_seconds(F.col(column))
+    return F.col(column).cast("bigint")
 
 
 def days_passed(day: Column, start: str = FIRST_DAY) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.timeparse import day_of_epoch
+from ..functions.timeparse import day_of_epoch, seconds_of
 
 
 def distinct_rows(scored: DataFrame) -> DataFrame:
@@ -23,12 +23,12 @@ def distinct_rows(scored: DataFrame) -> DataFrame:
 def daily_polarity(scored: DataFrame) -> DataFrame:
     """Posts, summed polarity and counts by sign per (date, search_term).
 
-    A null polarity counts as a post and under no sign. The aggregate is combined before the
+    A null polarity counts as a post and under no sign; a time that cannot be read gives a null date. The aggregate is combined before the
     shuffle, so a frequent term or day sends one row per task.
     """
     polarity = F.col("polarity")
     return (
-        scored.groupBy(day_of_epoch(F.col("created").cast("bigint")).alias("date"), "search_term")
+        scored.groupBy(day_of_epoch(seconds_of(scored)).alias("date"), "search_term")
         .agg(
             F.count("t_key").alias("count"),
             F.sum("polarity").alias("agg_polarity"),

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import schemas
-from ..functions.timeparse import day_of_epoch
+from ..functions.timeparse import day_of_epoch, seconds_of
 
 # The endings of per-symbol price files.
 SYMBOL_FILE = r"([^/]+)-(?:with-polarity|daily-stocks|historical-stocks)\.csv$"
@@ -68,7 +68,7 @@ def read_split(spark: SparkSession, path: str, side: str, schema: T.StructType)
 
 def write_scored_table(scored: DataFrame, path: str, mode: str = "append") -> None:
     """Scored posts as Parquet in ``date=`` folders; a day with many posts gets several files."""
-    dated = scored.withColumn("date", day_of_epoch(F.col("created").cast("bigint")))
+    dated = scored.withColumn("date", day_of_epoch(seconds_of(scored)))
     dated.hint("rebalance", "date").write.mode(mode).partitionBy("date").parquet(path)
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.lexicon import Lexicon
-from ..functions.timeparse import parse_created
+from ..functions.timeparse import seconds_of
 from ..operators.posts import decode_posts, quarantined, score_posts, usable
 from .sinks import BatchSink, fan_out
 
@@ -50,7 +50,7 @@ def _trigger(writer, every: str | None):
 
 
 def with_event_time(posts: DataFrame, column: str = "created") -> DataFrame:
-    return posts.withColumn("ts", parse_created(F.col(column).cast("string")))
+    return posts.withColumn("ts", F.timestamp_seconds(seconds_of(posts, column)))
 
 
 def term_counts(posts: DataFrame, width: str = "1 day", late: str = "1 day") -> DataFrame:
