@@ -39,16 +39,29 @@ def test_scored_csv_in_nested_folders(spark, tmp_path):
     assert files.read_scored_posts(spark, str(tmp_path)).orderBy("t_key").collect() == rows.collect()
 
 
-def test_latest_rollup_only(spark, tmp_path):
-    head = "date,search_term,count,agg_polarity,positive_count,negative_count,neutral_count\n"
-    (tmp_path / "part-1.csv").write_text(head + "2020-01-01,T,1,0.5,1,0,0\n")
-    (tmp_path / "part-2.csv").write_text(head + "2020-01-02,T,2,0.5,1,1,0\n2020-01-03,T,,0.5,1,1,0\n")
-    (tmp_path / "part-3.txt").write_text("other")
+HEAD = "date,search_term,count,agg_polarity,positive_count,negative_count,neutral_count\n"
+
+
+def test_latest_rollup_file(spark, tmp_path):
+    (tmp_path / "daily-1.csv").write_text(HEAD + "2020-01-01,T,1,0.5,1,0,0\n")
+    (tmp_path / "daily-2.csv").write_text(HEAD + "2020-01-02,T,2,0.5,1,1,0\n2020-01-03,T,,0.5,1,1,0\n")
+    (tmp_path / "daily-3.txt").write_text("other")
     assert files.read_daily_polarity(spark, f"{tmp_path}/*.csv").count() == 2
     (row,) = files.read_daily_polarity(spark, str(tmp_path), latest_only=True).collect()
     assert row.date == dt.date(2020, 1, 2)
 
 
+def test_latest_rollup_of_several_parts(spark, tmp_path):
+    for run, parts in (("run=1", 1), ("run=2", 3)):
+        (tmp_path / run).mkdir()
+        for i in range(parts):
+            (tmp_path / run / f"part-{i}.csv").write_text(HEAD + f"2020-01-0{i + 1},{run},1,0.5,1,0,0\n")
+    rows = files.read_daily_polarity(spark, str(tmp_path), latest_only=True).collect()
+    assert [r.search_term for r in rows] == ["run=2"] * 3
+    (tmp_path / "empty").mkdir()
+    assert files.read_daily_polarity(spark, f"{tmp_path}/empty", latest_only=True).isEmpty()
+
+
 def test_rollup_write_refuses_to_overwrite(spark, tmp_path):
     df = spark.range(1)
     files.write_daily_polarity(df, f"{tmp_path}/out", single_file=True)
@@ -131,3 +144,8 @@ def test_shared_folder_is_the_configured_one():
         session.shared_dir(_Session("spark://m"))
     local = _Session("local[2]")
     assert session.shared_dir(local) == session.shared_dir(local) != ""
+
+
+def test_shuffle_partitions_follow_the_data():
+    sizes = [session.shuffle_partitions(n) for n in (0, 10 * 2**40, 10**18)]
+    assert sizes == [200, 81_920, 100_000]

@@ -13,7 +13,22 @@ from pyspark.sql import DataFrame, SparkSession
 SPREAD_BELOW_BYTES = 256 * 1024 * 1024
 
 
-def build_session(app: str = "tickerpulse", master: str | None = None, **conf: str) -> SparkSession:
+# A shuffle partition of this size sorts and aggregates in memory on an ordinary executor core.
+SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
+
+
+def shuffle_partitions(shuffled_bytes: int) -> int:
+    """Partitions to start a shuffle of this size with; AQE merges those that turn out small."""
+    return min(max(200, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)), 100_000)
+
+
+def build_session(app: str = "tickerpulse", master: str | None = None,
+                  shuffled_bytes: int | None = None, **conf: str) -> SparkSession:
+    """A session with the settings the operators count on.
+
+    ``shuffled_bytes`` is the largest shuffle to be expected (the flagship: some 150 bytes per
+    post). AQE only splits partitions of joins and writes, so aggregates need enough from the start.
+    """
     builder = (
         SparkSession.builder.appName(app)
         .config("spark.ui.enabled", "false")
@@ -27,6 +42,9 @@ def build_session(app: str = "tickerpulse", master: str | None = None, **conf: s
                 "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
         .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
+    if shuffled_bytes is not None:
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.initialPartitionNum",
+                                 str(shuffle_partitions(shuffled_bytes)))
     if master:
         builder = builder.master(master)
     for key, value in conf.items():

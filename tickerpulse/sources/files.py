@@ -129,19 +129,26 @@ def as_prices(bars: DataFrame) -> DataFrame:
     return renamed.withColumnRenamed("date", "dt")
 
 
-def latest_file(spark: SparkSession, path: str, glob: str = "*.csv") -> str | None:
-    """The last file in name order. Only the listing is read, not the files."""
+def latest_output(spark: SparkSession, path: str, glob: str = "*.csv") -> str | None:
+    """The last file in name order, or its whole folder if it is one part of a distributed write.
+
+    Only the listing is read, not the files.
+    """
     listing = (
         spark.read.format("binaryFile").option("recursiveFileLookup", True)
         .option("pathGlobFilter", glob).load(path)
     )
-    return listing.agg(F.max("path").alias("path")).first()["path"]
+    last = listing.agg(F.max("path").alias("path")).first()["path"]
+    if last is None:
+        return None
+    folder, _, name = last.rpartition("/")
+    return folder if name.startswith("part-") else last
 
 
 def read_daily_polarity(spark: SparkSession, path: str, latest_only: bool = False) -> DataFrame:
-    """Daily polarity files without incomplete rows; all of them or just the last one."""
+    """Daily polarity files without incomplete rows; all of them or just the latest rollup."""
     if latest_only:
-        last = latest_file(spark, path)
+        last = latest_output(spark, path)
         if last is None:
             return spark.createDataFrame([], schemas.DAILY_POLARITY)
         path = last

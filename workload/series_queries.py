@@ -202,8 +202,8 @@ DAILY_FULL = sql(q.SCORED, f"d AS ({q.daily('scored')})", select=f"SELECT {DAILY
 def _(spark, sf):
     path = scratch_path(spark, "rollups")
     d = rollup.daily_polarity(v.scored(spark, sf))
-    files.write_daily_polarity(d.withColumn("count", F.lit(0).cast("bigint")), f"{path}/run=1", single_file=True)
-    files.write_daily_polarity(d, f"{path}/run=2", single_file=True)
+    files.write_daily_polarity(d.withColumn("count", F.lit(0).cast("bigint")), f"{path}/run=1")
+    files.write_daily_polarity(d, f"{path}/run=2")
     return daily_out(files.read_daily_polarity(spark, path, latest_only=True))
 
 
@@ -326,14 +326,23 @@ def _(spark, sf):
                     F.count_distinct("fold").alias("folds"))
 
 
-@query("m9_saved_models")
+@query("m9_saved_models", sql(*FRAME_CTES, f"""models AS (
+  SELECT symbol AS model_symbol, family FROM (SELECT DISTINCT symbol FROM prices), (VALUES ('lg'), ('dt')) AS f(family)),
+verify AS (SELECT count(*) AS n FROM labelled WHERE dt >= DATE '{VERIFY[0]}' AND dt < DATE '{VERIFY[1]}')""",
+    recursive=True, select="""
+  SELECT model_symbol, family, CAST(n AS BIGINT) AS n, CAST(n AS BIGINT) AS same FROM models, verify"""))
 def _(spark, sf):
+    # the loaded models have to predict what the fitted ones do
     build, verify = frames(spark, sf)
     path = scratch_path(spark, "models")
     fitted = models.train_all(build, SYMBOLS, KEYS, ("lg", "dt"), TINY, folds=2)
     models.save_models(fitted, path)
     loaded = models.load_models(path, fitted)
-    return dated(models.predict_long(verify, loaded).select("symbol", "dt", "model_symbol", "family", "prediction"))
+    key = ["symbol", "dt", "model_symbol", "family"]
+    before = models.predict_long(verify, fitted).select(*key, "prediction")
+    after = models.predict_long(verify, loaded).select(*key, F.col("prediction").alias("again"))
+    return before.join(after, key).groupBy("model_symbol", "family").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") == F.col("again")).alias("same"))
 
 
 @query("m10_predictions_of_all_models")
