@@ -157,3 +157,11 @@ def test_lexicon_file(spark, tmp_path):
     assert lex.words == {"good": 1.9, ":)": 2.0, '"quoted': 1.0} and "not" in lex.negators
     good, smile = scores(spark, ["very good", "price :)"], lambda c: S.score_raw(c, lex))
     assert good == brute(["very", "good"], lex) and smile > 0
+
+
+def test_dashboard_dates_by_name(spark):
+    register_functions(spark, LEX)
+    df = spark.createDataFrame([("2021-10-26T21:22:54Z",), ("garbage",), (None,)], "created string")
+    got = spark.sql("select unix_seconds(STR_TO_DATE(created, '%Y-%m-%dT%H:%i:%sZ')) as s from {t}", t=df).collect()
+    assert [r.s for r in got] == [1635283374, None, None]
+    assert spark.sql("select STR_TO_DATE('03.02.2020', '%d.%m.%Y') = timestamp '2020-02-03' as x").first().x

@@ -1,4 +1,4 @@
-"""The two scalar functions by name, for SQL text.
+"""Scalar functions by name, for SQL text: cleaning, polarity, and the dashboards' date parser.
 
 They are SQL functions, which the optimizer replaces by their bodies, so nothing leaves the JVM.
 """
@@ -12,7 +12,10 @@ from pyspark.sql import SparkSession
 from .lexicon import Lexicon
 from .text import REMOVAL_PATTERNS
 
-CLEAN_NAME, POLARITY_NAME = "cleanTextUdf", "computePolarity"
+CLEAN_NAME, POLARITY_NAME, DATE_NAME = "cleanTextUdf", "computePolarity", "STR_TO_DATE"
+
+# The dashboards' date specifiers and what they are here.
+DATE_SPECIFIERS = {"%Y": "yyyy", "%m": "MM", "%d": "dd", "%H": "HH", "%i": "mm", "%s": "ss"}
 
 
 def _raw(pattern: str) -> str:
@@ -48,8 +51,19 @@ def _polarity_body(lexicon: Lexicon) -> str:
       * (coalesce(followersCount, 0) + 1D) * (coalesce(likeCount, 0) + 1D) * (coalesce(retweetCount, 0) + 1D)"""
 
 
+def _date_body() -> str:
+    # letters between the specifiers stand for themselves
+    pattern = "regexp_replace(format, r'(?<!%)([A-Za-z]+)', r\"'$1'\")"
+    for theirs, ours in DATE_SPECIFIERS.items():
+        pattern = f"replace({pattern}, '{theirs}', '{ours}')"
+    return f"try_to_timestamp(input, {pattern})"
+
+
 def register_functions(spark: SparkSession, lexicon: Lexicon) -> None:
-    """Make ``cleanTextUdf(text)`` and ``computePolarity(text, likes, retweets, followers)`` callable."""
+    """Make ``cleanTextUdf(text)``, ``computePolarity(text, likes, retweets, followers)`` and
+    ``STR_TO_DATE(text, format)`` callable."""
+    spark.sql(f"create or replace temporary function {DATE_NAME}(input string, format string) "
+              f"returns timestamp return {_date_body()}")
     spark.sql(f"create or replace temporary function {CLEAN_NAME}(input string) returns string "
               f"return {_clean_body('input')}")
     spark.sql(f"create or replace temporary function {POLARITY_NAME}(input string, likeCount int, "

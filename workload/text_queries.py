@@ -163,6 +163,16 @@ def _(spark, sf):
       from (select *, cleanTextUdf(text) as processed_text from {posts})""", posts=v.posts(spark, sf))
 
 
+@query("e4_dashboard_sql", sql(q.SCORED, select="SELECT created AS seconds, polarity FROM scored"))
+def _(spark, sf):
+    register_functions(spark, v.LEXICON)
+    tweets = v.scored(spark, sf).withColumn("created", iso_text(F.col("created")))
+    series = spark.sql("""
+      SELECT STR_TO_DATE(created, '%Y-%m-%dT%H:%i:%sZ') AS time, polarity FROM {tweets} ORDER BY created""",
+      tweets=tweets)
+    return series.select(F.unix_seconds("time").alias("seconds"), "polarity")
+
+
 FLAGS = f"""{q.LABEL} AS sentiment,
   CASE WHEN compound > 0.05 THEN 1.0::DOUBLE ELSE 0 END AS positive,
   CASE WHEN compound < -0.05 THEN 1.0::DOUBLE ELSE 0 END AS negative,
