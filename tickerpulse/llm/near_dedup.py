@@ -11,14 +11,14 @@ union of both. The steps:
    expectation), so they share one of the k - m + 1 rarest values of either: only those are listed,
    and values that a large part of the corpus retains drop out of all lists but those of documents
    made of little else.
-3. Every list links its members to its smallest one. The union sketch of each pair estimates the
-   similarity; pairs far below the threshold go. What the rest connects are provisional groups.
-4. Members of one list that lie in different groups are paired and filtered the same way.
-5. Every remaining pair is checked on the full sets. Where a pair of step 3 fails the check, pairs
-   that its group had spared are made up for. So within each list any two classes are compared, or
-   connected by links that hold.
-
-No list is cut, and no pair of documents within a group of copies is written out.
+3. Every list compares its members with one of them, the pivot: the one that has the fewest values
+   of its own, hence the likeliest original. Full sets give the exact distances; near ones connect.
+4. What is left are outsiders, members not connected with their pivot. They meet the other members
+   of their lists, except those whose distance to the pivot differs from their own by more than the
+   threshold allows: Jaccard distance is a metric, so these cannot be near. The union sketch of each
+   pair estimates the similarity, and full sets decide on what passes.
+
+So any two classes of one list are compared, ruled out, or connected by links that hold. No list is cut, and no pair of documents within a group of copies is written out.
 """
 
 from __future__ import annotations
@@ -98,7 +98,8 @@ def _needed(n: Column, k: int, similarity: tuple[int, int], spread: float) -> Co
 
 
 def _postings(classes: DataFrame, k: int, similarity: tuple[int, int], spread: float) -> DataFrame:
-    """(value, cls, n): each class in the lists of its rarest values that another class retains."""
+    """(value, cls, n, own): each class in the lists of its rarest values that another class retains;
+    own is the share of values that no other class retains."""
     held = classes.select("cls", "n", F.explode("sketch").alias("value"))
     counts = held.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     shared = held.join(counts, "value").groupBy("cls").agg(
@@ -107,8 +108,9 @@ def _postings(classes: DataFrame, k: int, similarity: tuple[int, int], spread: f
     # values that no other class retains come first in the order of rarity
     alone = total - F.size("rare")
     room = F.greatest(F.lit(0), total - _needed(F.col("n"), k, similarity, spread) + 1 - alone).cast("int")
-    listed = shared.withColumn("rare", F.slice("rare", F.lit(1), room))
-    return listed.select("cls", "n", F.explode("rare").alias("r")).select(F.col("r.value").alias("value"), "cls", "n")
+    listed = shared.select("cls", "n", (alone / total).alias("own"), F.slice("rare", F.lit(1), room).alias("rare"))
+    return listed.select("cls", "n", "own", F.explode("rare").alias("r")).select(
+        F.col("r.value").alias("value"), "cls", "n", "own")
 
 
 def _comparable(a: str, b: str, similarity: tuple[int, int]) -> Column:
@@ -142,10 +144,36 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
     return found.select("cls", "text").mapInArrow(run, "cls long, shingles array<long>").dropDuplicates(["cls"])
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """``pairs`` (a, b) with their exact distance and whether they are linked."""
     met = (pairs.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
            .select("a", "b", F.size(F.array_intersect("xa", "xb")).alias("i"), (F.size("xa") + F.size("xb")).alias("s")))
-    return met.withColumn("linked", F.col("i") * similarity[1] >= (F.col("s") - F.col("i")) * similarity[0])
+    union = F.col("s") - F.col("i")
+    return met.select("a", "b", (1 - F.col("i") / union).alias("distance"),
+                      (F.col("i") * similarity[1] >= union * similarity[0]).alias("linked"))
+
+
+def _outsider_pairs(members: DataFrame, groups: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """Pairs (a, b) to compare yet, from ``members`` (pivot, cls, n, values, distance). Distances are
+    dealt into windows as wide as two linked classes can differ: an outsider meets its own window and
+    the two beside it, not the crowd around the pivot."""
+    width = 1 - similarity[0] / similarity[1] + 1e-9
+    roots = groups.toDF("cls", "root")
+    marked = (members.join(roots, "cls", "left").join(roots.toDF("pivot", "pivot_root"), "pivot", "left")
+              .withColumn("root", F.coalesce("root", "cls")).withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
+              .withColumn("window", F.floor(F.col("distance") / width)))
+    marked = stage(marked, "members")
+    outside = marked.where("root <> pivot_root").select(
+        "pivot", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"),
+        F.col("values").alias("va"), F.col("distance").alias("da"),
+        F.explode(F.array(*[F.col("window") + i for i in (-1, 0, 1)])).alias("window"))
+    there = marked.select("pivot", "window", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"),
+                          F.col("values").alias("vb"), F.col("distance").alias("db"), "pivot_root")
+    met = outside.join(there, ["pivot", "window"]).where(
+        (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("pivot_root")) | (F.col("a") > F.col("b")))
+        & _comparable("na", "nb", similarity) & (F.abs(F.col("da") - F.col("db")) <= width)
+        & F.arrays_overlap("va", "vb"))
+    return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE,
@@ -157,7 +185,6 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE,
     of their group (null if it has none) and they are kept only when the group has no id. Rows with
     the same doc_id count as separate texts. Repeated rows get the same result once per row.
     """
-    spark = docs.sparkSession
     rows = stage(sketches(docs, k, size), "sketches")
     classes = stage(
         rows.where("n > 0").groupBy("digest", "n").agg(
@@ -166,48 +193,28 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE,
         .select(F.monotonically_increasing_id().alias("cls"), "*"), "classes")
     lists = stage(_postings(classes, k, similarity, spread), "lists")
 
-    heads = lists.groupBy("value").agg(F.min(F.struct("cls", "n")).alias("head"), F.count("*").alias("members")).where("members > 1")
-    stars = (lists.join(heads, "value")
-             .select(F.col("cls").alias("a"), F.col("head.cls").alias("b"), "n", F.col("head.n").alias("m"))
-             .where(_comparable("n", "m", similarity) & (F.col("a") != F.col("b"))).select("a", "b").distinct())
-    first = stage(_estimated(stars, classes, k, similarity, spread), "pairs")
-    grouped = connected(first)
-    second = stage(_estimated(_across(lists, grouped, similarity), classes, k, similarity, spread), "pairs")
-
-    pairs = first.unionByName(second).distinct()
-    wanted = (pairs.select(F.explode(F.array("a", "b")).alias("cls")).distinct().join(classes, "cls")
+    pivots = lists.groupBy("value").agg(F.min(F.struct("own", "cls")).alias("p"), F.count("*").alias("members"))
+    members = stage(
+        lists.join(pivots.where("members > 1").select("value", F.col("p.cls").alias("pivot")), "value")
+        .groupBy("pivot", "cls").agg(F.first("n").alias("n"), F.collect_set("value").alias("values")), "members")
+    wanted = (members.select("cls").distinct().join(classes, "cls")
               .select("cls", F.col("rep.doc_id").alias("rep_id"), F.col("rep.text_key").alias("rep_key")))
     sets = stage(_whole_sets(docs, wanted, size), "sets")
-    checked = stage(_verified(pairs, sets, similarity), "checked")
-    links = checked.where("linked").select("a", "b")
-    groups = connected(links)
-    failed = checked.where(~F.col("linked"))
-    if not failed.join(first, ["a", "b"], "left_semi").isEmpty():
-        # groups held together by a pair that failed: compare what they spared
-        loose = failed.join(first, ["a", "b"], "left_semi").join(grouped, F.col("a") == F.col("node")).select("root").distinct()
-        spared = lists.join(grouped.join(loose, "root", "left_semi").select(F.col("node").alias("cls")), "cls", "left_semi")
-        more = _across(spared, groups, similarity).join(checked, ["a", "b"], "left_anti")
-        third = _verified(_estimated(more, classes, k, similarity, spread), sets, similarity)
-        groups = connected(links.unionByName(third.where("linked").select("a", "b")))
+    stars = stage(_similar(members.select(F.col("cls").alias("a"), F.col("pivot").alias("b")), sets, similarity), "stars")
+    links = stars.where("linked").select("a", "b")
+    groups = stage(connected(links), "groups")
+
+    placed = members.join(stars.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "distance"), ["cls", "pivot"])
+    pairs = _estimated(_outsider_pairs(placed, groups, similarity), classes, k, similarity, spread)
+    more = _similar(pairs, sets, similarity).where("linked").select("a", "b")
+    groups = connected(groups.toDF("a", "b").unionByName(more))
 
     roots = groups.join(classes.select(F.col("cls").alias("node"), "smallest"), "node")
     named = roots.groupBy("root").agg(F.min("smallest").alias("named"))
     by_class = roots.join(named, "root").select(F.col("node").alias("cls"), "named")
     ids = classes.join(by_class, "cls", "left").select(
-        "digest", F.col("n").alias("m"), F.coalesce("named", "smallest").alias("component"))
-    out = rows.drop("sketch", "text_key").join(ids.withColumnRenamed("digest", "d"), (F.col("digest") == F.col("d")) & (F.col("n") == F.col("m")), "left")
+        F.col("digest").alias("d"), F.col("n").alias("m"), F.coalesce("named", "smallest").alias("component"))
+    out = rows.drop("sketch", "text_key").join(ids, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("m")), "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                       F.col("doc_id").eqNullSafe(component).alias("kept"))
-
-
-def _across(lists: DataFrame, groups: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs of classes that meet in a list but lie in different groups."""
-    marked = (lists.join(groups.toDF("cls", "root"), "cls", "left")
-              .withColumn("root", F.coalesce("root", "cls")))
-    open_lists = marked.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).where("lo <> hi").select("value")
-    marked = stage(marked.join(open_lists, "value", "left_semi"), "open-lists")
-    left = marked.select("value", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-    right = marked.select("value", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-    return (left.join(right, "value").where((F.col("a") > F.col("b")) & (F.col("ra") != F.col("rb")))
-            .where(_comparable("na", "nb", similarity)).select("a", "b").distinct())
