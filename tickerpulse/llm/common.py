@@ -10,10 +10,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StructField, StructType
 
 from ..session import scratch_path
 
 CHUNK_BYTES = 1 << 20  # text worked on at once inside a task; a longer text is a chunk of its own
+CHUNK_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -30,6 +32,20 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def with_columns(df: DataFrame, **kinds: DataType) -> StructType:
+    """The schema of ``df`` with further columns."""
+    return StructType([*df.schema.fields, *[StructField(name, kind) for name, kind in kinds.items()]])
+
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+    """``docs`` (doc_id, text) that carry one of at most ``rows`` labels, picked by a hash of the id,
+    with the columns of ``labels``. That bound is what allows the broadcast. Documents that repeat an
+    id come along; ids without a document are lost."""
+    order = [F.xxhash64("doc_id"), F.col("doc_id")]
+    picked = labels.where("doc_id is not null").dropDuplicates(["doc_id"]).orderBy(*order).limit(rows)
+    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+
+
 def crc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor
@@ -87,7 +103,7 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     lo = 0
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1
-        hi = min(max(hi, lo + 1), n)
+        hi = min(max(hi, lo + 1), lo + CHUNK_ROWS, n)
         yield lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         lo = hi
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import table
+from . import quality_model, toxicity
+from .common import crc_remainder, table
 from .near_dedup import near_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -14,10 +18,42 @@ ORACLES: dict[str, str] = {}
 
 
 def _query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[function.__name__] = function
-    return function
+    @functools.wraps(function)
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
+    return run
+
+
+def ship(spark: SparkSession) -> None:
+    """Python workers find this package where the driver runs it from, if it is not installed."""
+    home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
 
 
 @_query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@_query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    chain = toxicity.train(docs, table(spark, sf_dir, "labels"))
+    scored = toxicity.score(docs.select("doc_id", "text"), chain).drop("text")
+    return scored.select(
+        "doc_id", *[F.col("toxic_scores")[i].alias(f"p_{name}") for i, name in enumerate(chain.categories)], "rejected")
+
+
+@_query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    held_out = crc_remainder(F.col("doc_id"), 3) == 1
+    model = quality_model.train(docs, labels.where(~held_out))
+    scored = quality_model.score(docs.select("doc_id", "text"), model)
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("quality_score").alias("score"),
+                         (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
