@@ -178,7 +178,8 @@ def _outsider_pairs(members: DataFrame, groups: DataFrame, similarity: tuple[int
 
 def near_duplicates(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE,
                     similarity: tuple[int, int] = SIMILARITY, spread: float = SPREAD) -> DataFrame:
-    """doc_id, n_shingles, component_id (smallest doc_id linked, directly or through others), kept.
+    """doc_id, n_shingles, component_id (smallest doc_id linked, directly or through others), kept,
+    and text_key (xxhash64 of the text, null as empty; with doc_id it leads back to the row).
 
     Reads ``doc_id`` and ``text`` only. A null or empty text, or one of blanks, has no shingles and
     is linked with nothing. Rows without a doc_id take part; their component_id is the smallest id
@@ -214,7 +215,7 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE,
     by_class = roots.join(named, "root").select(F.col("node").alias("cls"), "named")
     ids = classes.join(by_class, "cls", "left").select(
         F.col("digest").alias("d"), F.col("n").alias("m"), F.coalesce("named", "smallest").alias("component"))
-    out = rows.drop("sketch", "text_key").join(ids, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("m")), "left")
+    out = rows.drop("sketch").join(ids, (F.col("digest") == F.col("d")) & (F.col("n") == F.col("m")), "left")
     component = F.when(F.col("n") > 0, F.col("component")).otherwise(F.col("doc_id"))
     return out.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key")

@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import quality_model, toxicity
+from . import decontaminate, packing, quality_model, toxicity
 from .common import crc_remainder, table
 from .near_dedup import near_duplicates
 
@@ -27,6 +27,13 @@ def _query(function: Callable[[SparkSession, str], DataFrame]) -> Callable[[Spar
     return run
 
 
+def tokenizer_file(name: str) -> str:
+    """Where a public vocabulary file lies."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
 def ship(spark: SparkSession) -> None:
     """Python workers find this package where the driver runs it from, if it is not installed."""
     home = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -40,6 +47,17 @@ def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@_query
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = packing.pieces(table(spark, sf_dir, "documents"), tokenizer_file("byte_bpe_50k.json"))
+    return packing.pack(cut)
+
+
+@_query
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @_query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
