@@ -14,9 +14,11 @@ union of both. The steps:
 3. Every list compares its members with one of them, the pivot: the one that has the fewest values
    of its own, hence the likeliest original. Full sets give the exact distances; near ones connect.
 4. What is left are outsiders, members not connected with their pivot. They meet the other members
-   of their lists, except those whose distance to the pivot differs from their own by more than the
-   threshold allows: Jaccard distance is a metric, so these cannot be near. The union sketch of each
-   pair estimates the similarity, and full sets decide on what passes.
+   of their lists, except those that the pivot rules out: Jaccard distance is a metric, so distances
+   to the pivot may differ by no more than linked classes do; and two classes have in common at most
+   what the one of them that has less of the pivot's shingles has of these, plus what they share
+   beyond the pivot. The union sketch of each pair left estimates the similarity, and full sets
+   decide on what passes.
 
 So any two classes of one list are compared, ruled out, or connected by links that hold. No list is cut, and no pair of documents within a group of copies is written out.
 """
@@ -145,16 +147,18 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``pairs`` (a, b) with their exact distance and whether they are linked."""
+    """``pairs`` (a, b) with the size of the intersection, the exact distance, whether they are
+    linked, and the shingles that only a has."""
     met = (pairs.join(sets.toDF("a", "xa"), "a").join(sets.toDF("b", "xb"), "b")
-           .select("a", "b", F.size(F.array_intersect("xa", "xb")).alias("i"), (F.size("xa") + F.size("xb")).alias("s")))
-    union = F.col("s") - F.col("i")
-    return met.select("a", "b", (1 - F.col("i") / union).alias("distance"),
+           .select("a", "b", F.size("xa").alias("n"), F.size("xb").alias("m"), F.array_except("xa", "xb").alias("own")))
+    met = met.withColumn("i", F.col("n") - F.size("own"))
+    union = F.col("n") + F.col("m") - F.col("i")
+    return met.select("a", "b", "i", "own", (1 - F.col("i") / union).alias("distance"),
                       (F.col("i") * similarity[1] >= union * similarity[0]).alias("linked"))
 
 
 def _outsider_pairs(members: DataFrame, groups: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """Pairs (a, b) to compare yet, from ``members`` (pivot, cls, n, values, distance). Distances are
+    """Pairs (a, b) to compare yet, from ``members`` (pivot, cls, n, values, distance, i, own). Distances are
     dealt into windows as wide as two linked classes can differ: an outsider meets its own window and
     the two beside it, not the crowd around the pivot."""
     width = 1 - similarity[0] / similarity[1] + 1e-9
@@ -165,14 +169,16 @@ def _outsider_pairs(members: DataFrame, groups: DataFrame, similarity: tuple[int
     marked = stage(marked, "members")
     outside = marked.where("root <> pivot_root").select(
         "pivot", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"),
-        F.col("values").alias("va"), F.col("distance").alias("da"),
+        F.col("values").alias("va"), F.col("distance").alias("da"), F.col("i").alias("ia"), F.col("own").alias("oa"),
         F.explode(F.array(*[F.col("window") + i for i in (-1, 0, 1)])).alias("window"))
     there = marked.select("pivot", "window", F.col("cls").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"),
-                          F.col("values").alias("vb"), F.col("distance").alias("db"), "pivot_root")
+                          F.col("values").alias("vb"), F.col("distance").alias("db"), "pivot_root", F.col("i").alias("ib"), F.col("own").alias("ob"))
+    most = F.least("ia", "ib") + F.size(F.array_intersect("oa", "ob"))
     met = outside.join(there, ["pivot", "window"]).where(
         (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("pivot_root")) | (F.col("a") > F.col("b")))
         & _comparable("na", "nb", similarity) & (F.abs(F.col("da") - F.col("db")) <= width)
-        & F.arrays_overlap("va", "vb"))
+        & F.arrays_overlap("va", "vb")
+        & (most * sum(similarity) >= (F.col("na") + F.col("nb")) * similarity[0]))
     return met.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
 
 
@@ -205,7 +211,7 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE,
     links = stars.where("linked").select("a", "b")
     groups = stage(connected(links), "groups")
 
-    placed = members.join(stars.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "distance"), ["cls", "pivot"])
+    placed = members.join(stars.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "distance", "i", "own"), ["cls", "pivot"])
     pairs = _estimated(_outsider_pairs(placed, groups, similarity), classes, k, similarity, spread)
     more = _similar(pairs, sets, similarity).where("linked").select("a", "b")
     groups = connected(groups.toDF("a", "b").unionByName(more))
