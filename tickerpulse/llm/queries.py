@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, packing, quality_model, toxicity
+from . import decontaminate, idfiles, packing, quality_model, toxicity, warc
 from .common import crc_remainder, table
 from .near_dedup import near_duplicates
 
@@ -42,6 +42,25 @@ def ship(spark: SparkSession) -> None:
         spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
 
 
+@_query
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    archives = warc.write(table(spark, sf_dir, "pages"))
+    return warc.read(archives, with_payload=False).drop("payload").select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to", "error")
+
+
+ORACLES["op1_warc"] = """
+with p as (select page_id, coalesce(html, '') as html, strlen(coalesce(html, '')) as payload_bytes,
+                  sha1(coalesce(html, '')) as payload_digest from pages),
+     q as (select *, case when payload_bytes >= 1000 then max(page_id) over (partition by payload_digest) end as stored from p)
+select page_id, payload_bytes, payload_digest,
+       case when stored is not null and page_id is distinct from stored then 'revisit' else 'response' end as record_type,
+       case when page_id is distinct from stored then stored end as refers_to,
+       cast(null as varchar) as error
+from q
+"""
+
+
 @_query
 def op2_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
@@ -58,6 +77,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@_query
+def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    files = idfiles.write(table(spark, sf_dir, "documents"), tokenizer_file("word_bpe_49k.json"))
+    return idfiles.read(files)
+
+
 @_query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
