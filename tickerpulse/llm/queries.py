@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import decontaminate, idfiles, packing, quality_model, toxicity, warc
+from . import context_tree, decontaminate, idfiles, packing, quality_model, repetition, toxicity, url_filter, warc
 from .common import crc_remainder, table
 from .near_dedup import near_duplicates
 
@@ -83,6 +83,33 @@ def op5_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return idfiles.read(files)
 
 
+@_query
+def op6_context_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return context_tree.score(table(spark, sf_dir, "documents"), crc_remainder(F.col("doc_id"), 10) == 0)
+
+
+@_query
+def op7_repetition(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repetition.judge(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("text")
+
+
+URL_RULES = [
+    url_filter.Rule("allow", "org", "/"),
+    url_filter.Rule("block", "example.org", "/es/"),
+    url_filter.Rule("block", "example.org", "/en/1"),
+    url_filter.Rule("allow", "com", "/fr/"),
+    url_filter.Rule("block", "com", "/de/"),
+]
+
+
+@_query
+def op8_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The labelled URLs are those that the rules decide."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url")
+    model = url_filter.train(url_filter.ruled(pages, URL_RULES))
+    return url_filter.judge(pages, URL_RULES, model).drop("url")
+
+
 @_query
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
