@@ -211,7 +211,7 @@ def pack(cut: DataFrame, room: int = ROOM, steps: int = STEPS) -> DataFrame:
 
     Sequences are filled without gaps from offset 0. Equal pieces are told apart by nothing; which
     of them goes where is left open. No pieces give no sequences."""
-    cut = cut.drop("sequence_id", "offset")
+    cut = stage(cut.drop("sequence_id", "offset"), "cut")
     names = cut.columns
     total = cut.count()
     buckets = max(1, -(-total // PIECES_PER_BUCKET))
