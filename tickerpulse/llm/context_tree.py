@@ -27,8 +27,8 @@ from .common import stage, text_chunks, words_of
 
 DEPTH = 4
 MARK = 255  # ends a text, and stands before its first byte; no byte of UTF-8
-BLOCK_BYTES = 24 << 20
-RUNS_PER_TASK = 100_000
+BLOCK_BYTES = 10 << 20
+RUNS_PER_TASK = 40_000
 
 _HALF = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, 4096) - 0.5))))  # ln of 1/2 * 3/2 * ... (n - 1/2)
 _WHOLE = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, 4096)))))  # ln n!
