@@ -184,8 +184,10 @@ def fit_chain(x: Sparse, marks: np.ndarray, categories: Sequence[str], fold: np.
 
 def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
     """Where the F-measure that counts precision twice is best, halfway in log-odds to the next
-    prediction below; DECISION at least."""
-    if not len(y) or not y.any() or y.all():
+    prediction below; DECISION at least. Without a toxic row to learn from, beyond any probability."""
+    if not y.any():
+        return 2.0
+    if y.all():
         return DECISION
     order = np.argsort(-p, kind="stable")
     hits = np.cumsum(y[order])
