@@ -11,14 +11,15 @@ union of both. The steps:
    expectation), so they share one of the k - m + 1 rarest values of either: only those are listed,
    and values that a large part of the corpus retains drop out of all lists but those of documents
    made of little else.
-3. Every list compares its members with one of them, the pivot: the one that has the fewest values
-   of its own, hence the likeliest original. Full sets give the exact distances; near ones connect.
+3. Every list compares its members with one of them, the pivot: the one whose values are retained by
+   the most classes on average, hence the likeliest original. Full sets give the exact distances; near ones connect.
 4. What is left are outsiders, members not connected with their pivot. They meet the other members
    of their lists, except those that the pivot rules out: Jaccard distance is a metric, so distances
    to the pivot may differ by no more than linked classes do; and two classes have in common at most
    what the one of them that has less of the pivot's shingles has of these, plus what they share
    beyond the pivot. The union sketch of each pair left estimates the similarity, and full sets
-   decide on what passes.
+   decide on what passes. For a few rounds only the outsider nearest to the pivot does this, as
+   the next pivot: what it connects need not be compared any more. Then all that are left do.
 
 So any two classes of one list are compared, ruled out, or connected by links that hold. No list is cut, and no pair of documents within a group of copies is written out.
 """
@@ -38,6 +39,7 @@ from .components import connected
 SHINGLE = 5
 SIMILARITY = (75, 100)  # links: 100 * intersection >= 75 * union
 SKETCH = 64
+ROUNDS = 1  # of pivots after the first, before outsiders meet everyone left to meet
 SPREAD = 5.0  # standard deviations allowed for when sketches stand for sets
 
 _SKETCHED = pa.schema([("doc_id", pa.int64()), ("text_key", pa.int64()), ("n", pa.int64()),
@@ -100,19 +102,19 @@ def _needed(n: Column, k: int, similarity: tuple[int, int], spread: float) -> Co
 
 
 def _postings(classes: DataFrame, k: int, similarity: tuple[int, int], spread: float) -> DataFrame:
-    """(value, cls, n, own): each class in the lists of its rarest values that another class retains;
-    own is the share of values that no other class retains."""
+    """(value, cls, n, typical): each class in the lists of its rarest values that another class
+    retains; typical is the mean number of classes that retain a value of its sketch."""
     held = classes.select("cls", "n", F.explode("sketch").alias("value"))
     counts = held.groupBy("value").agg(F.count("*").alias("df")).where("df > 1")
     shared = held.join(counts, "value").groupBy("cls").agg(
-        F.first("n").alias("n"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("rare"))
+        F.first("n").alias("n"), F.sum("df").alias("dfs"), F.sort_array(F.collect_list(F.struct("df", "value"))).alias("rare"))
     total = F.least("n", F.lit(k))
     # values that no other class retains come first in the order of rarity
     alone = total - F.size("rare")
     room = F.greatest(F.lit(0), total - _needed(F.col("n"), k, similarity, spread) + 1 - alone).cast("int")
-    listed = shared.select("cls", "n", (alone / total).alias("own"), F.slice("rare", F.lit(1), room).alias("rare"))
-    return listed.select("cls", "n", "own", F.explode("rare").alias("r")).select(
-        F.col("r.value").alias("value"), "cls", "n", "own")
+    listed = shared.select("cls", "n", ((F.col("dfs") + alone) / total).alias("typical"), F.slice("rare", F.lit(1), room).alias("rare"))
+    return listed.select("cls", "n", "typical", F.explode("rare").alias("r")).select(
+        F.col("r.value").alias("value"), "cls", "n", "typical")
 
 
 def _comparable(a: str, b: str, similarity: tuple[int, int]) -> Column:
@@ -157,17 +159,21 @@ def _similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
                       (F.col("i") * similarity[1] >= union * similarity[0]).alias("linked"))
 
 
-def _outsider_pairs(members: DataFrame, groups: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+def _outsider_pairs(members: DataFrame, groups: DataFrame, similarity: tuple[int, int], nearest: bool) -> DataFrame:
     """Pairs (a, b) to compare yet, from ``members`` (pivot, cls, n, values, distance, i, own). Distances are
     dealt into windows as wide as two linked classes can differ: an outsider meets its own window and
-    the two beside it, not the crowd around the pivot."""
+    the two beside it, not the crowd around the pivot. ``nearest``: only one outsider per pivot."""
     width = 1 - similarity[0] / similarity[1] + 1e-9
     roots = groups.toDF("cls", "root")
     marked = (members.join(roots, "cls", "left").join(roots.toDF("pivot", "pivot_root"), "pivot", "left")
               .withColumn("root", F.coalesce("root", "cls")).withColumn("pivot_root", F.coalesce("pivot_root", "pivot"))
               .withColumn("window", F.floor(F.col("distance") / width)))
     marked = stage(marked, "members")
-    outside = marked.where("root <> pivot_root").select(
+    outside = marked.where("root <> pivot_root")
+    if nearest:
+        one = outside.groupBy("pivot").agg(F.min(F.struct("distance", "cls")).alias("one"))
+        outside = outside.join(one.select("pivot", F.col("one.cls").alias("cls")), ["pivot", "cls"], "left_semi")
+    outside = outside.select(
         "pivot", F.col("cls").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"),
         F.col("values").alias("va"), F.col("distance").alias("da"), F.col("i").alias("ia"), F.col("own").alias("oa"),
         F.explode(F.array(*[F.col("window") + i for i in (-1, 0, 1)])).alias("window"))
@@ -175,7 +181,7 @@ def _outsider_pairs(members: DataFrame, groups: DataFrame, similarity: tuple[int
                           F.col("values").alias("vb"), F.col("distance").alias("db"), "pivot_root", F.col("i").alias("ib"), F.col("own").alias("ob"))
     most = F.least("ia", "ib") + F.size(F.array_intersect("oa", "ob"))
     met = outside.join(there, ["pivot", "window"]).where(
-        (F.col("ra") != F.col("rb")) & ((F.col("rb") == F.col("pivot_root")) | (F.col("a") > F.col("b")))
+        (F.col("ra") != F.col("rb")) & (F.lit(nearest) | (F.col("rb") == F.col("pivot_root")) | (F.col("a") > F.col("b")))
         & _comparable("na", "nb", similarity) & (F.abs(F.col("da") - F.col("db")) <= width)
         & F.arrays_overlap("va", "vb")
         & (most * sum(similarity) >= (F.col("na") + F.col("nb")) * similarity[0]))
@@ -200,7 +206,7 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE,
         .select(F.monotonically_increasing_id().alias("cls"), "*"), "classes")
     lists = stage(_postings(classes, k, similarity, spread), "lists")
 
-    pivots = lists.groupBy("value").agg(F.min(F.struct("own", "cls")).alias("p"), F.count("*").alias("members"))
+    pivots = lists.groupBy("value").agg(F.max(F.struct("typical", "cls")).alias("p"), F.count("*").alias("members"))
     members = stage(
         lists.join(pivots.where("members > 1").select("value", F.col("p.cls").alias("pivot")), "value")
         .groupBy("pivot", "cls").agg(F.first("n").alias("n"), F.collect_set("value").alias("values")), "members")
@@ -212,9 +218,10 @@ def near_duplicates(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE,
     groups = stage(connected(links), "groups")
 
     placed = members.join(stars.select(F.col("a").alias("cls"), F.col("b").alias("pivot"), "distance", "i", "own"), ["cls", "pivot"])
-    pairs = _estimated(_outsider_pairs(placed, groups, similarity), classes, k, similarity, spread)
-    more = _similar(pairs, sets, similarity).where("linked").select("a", "b")
-    groups = connected(groups.toDF("a", "b").unionByName(more))
+    for turn in range(ROUNDS + 1):
+        pairs = _estimated(_outsider_pairs(placed, groups, similarity, turn < ROUNDS), classes, k, similarity, spread)
+        more = stage(_similar(pairs, sets, similarity).where("linked").select("a", "b"), "links")
+        groups = stage(connected(groups.toDF("a", "b").unionByName(more)), "groups")
 
     roots = groups.join(classes.select(F.col("cls").alias("node"), "smallest"), "node")
     named = roots.groupBy("root").agg(F.min("smallest").alias("named"))
