@@ -20,6 +20,7 @@ the tasks, and all documents are queried against every block, so any number of i
 
 from __future__ import annotations
 
+from bisect import bisect_left
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -54,9 +55,9 @@ class Index(NamedTuple):
 
     items: list[Item]
     word: np.ndarray
-    at: np.ndarray
-    item: np.ndarray
-    weight: np.ndarray
+    at: list[int]
+    item: list[int]
+    weight: list[float]
     most: np.ndarray  # largest weight of each word
     blocks: list[dict[int, float]]  # by word: block of items -> largest weight in it
     longest: int
@@ -128,7 +129,7 @@ def build(rows: list[tuple[int, str | None]], statistics: tuple[int, float, dict
     often = np.zeros(len(items))
     np.add.at(often, item, np.where(np.repeat(rare, np.diff(at)), 0.0, weight))
     frequent = np.array([often[i:i + BLOCK].max() for i in range(0, len(items), BLOCK)])
-    return Index(items, word, at, item, weight, most, blocks, longest,
+    return Index(items, word, at.tolist(), item.tolist(), weight.tolist(), most, blocks, longest,
                  np.concatenate(([0], np.cumsum([len(p) for p in pairs]))).astype(np.int64),
                  np.array([b for p in pairs for b, _ in p], np.int64), np.array([x for p in pairs for _, x in p]), frequent)
 
@@ -140,16 +141,25 @@ def item_statistics(words: list[np.ndarray]) -> tuple[int, float, dict[int, int]
     return len(words), float(np.mean([len(x) for x in words])), dict(zip(code.tolist(), df.tolist()))
 
 
-def retrieve(index: Index, terms: np.ndarray, threshold: float) -> list[tuple[int, float]]:
+def retrieve(index: Index, terms: np.ndarray, threshold: float, block: int | None = None) -> list[tuple[int, float]]:
     """All (item, score) with a score of at least ``threshold`` for a query of distinct words (places
     in ``index.word``), by block-max WAND: lists are kept in the order of their next item; the pivot
     is the first item at which the largest weights of the lists up to it reach the threshold; it is
-    scored only if the largest weights of its block do, too, else the lists skip the block."""
+    scored only if the largest weights of its block do, too, else the lists skip the block. With
+    ``block`` given, among the items of that block."""
     slack = threshold - 1e-9
+    words = terms.tolist()
+    if block is not None:
+        words = [j for j in words if block in index.blocks[j]]
+        if sum([index.blocks[j][block] for j in words]) < slack:
+            return []
     lists = []  # [next item, word, place, end]
-    for j in terms.tolist():
-        lo, hi = int(index.at[j]), int(index.at[j + 1])
-        lists.append([int(index.item[lo]), j, lo, hi])
+    for j in words:
+        lo, hi = index.at[j], index.at[j + 1]
+        if block is not None:
+            lo = bisect_left(index.item, block * BLOCK, lo, hi)
+            hi = bisect_left(index.item, (block + 1) * BLOCK, lo, hi)
+        lists.append([index.item[lo], j, lo, hi])
     found = []
     while lists:
         lists.sort(key=lambda x: x[0])
@@ -187,10 +197,10 @@ def _advance(index: Index, lists: list[list[int]], count: int, target: int) -> l
     kept = []
     for entry in lists[:count]:
         if entry[0] < target:
-            entry[2] += int(np.searchsorted(index.item[entry[2]:entry[3]], target))
+            entry[2] = bisect_left(index.item, target, entry[2], entry[3])
             if entry[2] >= entry[3]:
                 continue
-            entry[0] = int(index.item[entry[2]])
+            entry[0] = index.item[entry[2]]
         kept.append(entry)
     return kept + lists[count:]
 
@@ -203,8 +213,9 @@ def _ragged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 
 def possible(index: Index, place: np.ndarray, known: np.ndarray, starts: np.ndarray, ends: np.ndarray,
-             threshold: float) -> np.ndarray:
-    """Passages starts[i]:ends[i] of words that may reach the threshold for some item of some block."""
+             threshold: float) -> list[tuple[int, int]]:
+    """(passage, block) of the passages starts[i]:ends[i] of words that may reach the threshold for some
+    item of the block."""
     rare = known & (np.diff(index.rare_at)[place] > 0)
     at = np.flatnonzero(rare)
     own = place[at]
@@ -213,7 +224,7 @@ def possible(index: Index, place: np.ndarray, known: np.ndarray, starts: np.ndar
     before = np.full(len(at), -1)
     same = own[order][1:] == own[order][:-1]
     before[order[1:][same]] = at[order[:-1][same]]
-    out = np.zeros(len(starts), bool)
+    out = []
     for lo in range(0, len(starts), 4096):
         s, e = starts[lo:lo + 4096], ends[lo:lo + 4096]
         which, passage = _ragged(np.searchsorted(at, s), np.searchsorted(at, e))
@@ -222,7 +233,8 @@ def possible(index: Index, place: np.ndarray, known: np.ndarray, starts: np.ndar
         posting, word = _ragged(index.rare_at[own[which]], index.rare_at[own[which] + 1])
         n = len(index.frequent)
         total = np.bincount(passage[word] * n + index.rare_block[posting], index.rare_most[posting], minlength=len(s) * n)
-        out[lo:lo + 4096] = (total.reshape(len(s), n) + index.frequent >= threshold - 1e-6).any(axis=1)
+        own_passage, block = np.nonzero(total.reshape(len(s), n) + index.frequent >= threshold - 1e-6)
+        out += zip((own_passage + lo).tolist(), block.tolist())
     return out
 
 
@@ -238,9 +250,11 @@ def query_texts(index: Index, words: Words, threshold: float, passage: int, step
     starts = words.first[text] + number * step
     ends = np.minimum(starts + passage, words.first[text + 1])
     best: dict[int, dict[int, float]] = {}
-    for k in np.flatnonzero(possible(index, place, known, starts, ends, threshold)):
-        terms = np.unique(place[starts[k]:ends[k]][known[starts[k]:ends[k]]])
-        for item, score in retrieve(index, terms, threshold):
+    terms, of = np.zeros(0, np.int64), -1
+    for k, block in possible(index, place, known, starts, ends, threshold):
+        if k != of:
+            terms, of = np.unique(place[starts[k]:ends[k]][known[starts[k]:ends[k]]]), k
+        for item, score in retrieve(index, terms, threshold, block):
             own = best.setdefault(int(text[k]), {})
             own[item] = max(own.get(item, 0.0), score)
     return best
