@@ -92,6 +92,17 @@ def test_table_form_gives_the_same(spark):
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-9)
 
 
+def test_table_form_with_repeated_posts_and_a_frequent_word(spark):
+    texts = ["very good", "good but bad", "", None, "good " * 300] * 20
+    df = spark.createDataFrame([(i % 7, t) for i, t in enumerate(texts)], "k int, t string")
+    table = spark.createDataFrame(LEX.rows(), "word string, valence double, boost double, negates boolean")
+    got = sorted((r.k, r.compound) for r in S.score_with_table(df, "k", "t", table).collect())
+    one = scores(spark, texts[:5], lambda c: S.score_clean(c, LEX))
+    want = sorted((i % 7, one[i % 5]) for i in range(len(texts)))
+    assert [k for k, _ in got] == [k for k, _ in want]
+    assert [c for _, c in got] == pytest.approx([c for _, c in want], abs=1e-9)
+
+
 def test_named_functions_give_the_same(spark):
     rnd = random.Random(5)
     rows = [(i, " ".join(rnd.choice(WORDS) for _ in range(12)), rnd.choice([None, 0, 3]), 2, 5) for i in range(200)]

@@ -174,3 +174,10 @@ def test_purge_drops_rows_that_look_past_the_end(spark):
 def test_drop_incomplete_takes_nan_for_null(spark):
     df = spark.createDataFrame([(1, 1.0), (2, float("nan")), (3, None)], "i int, x double")
     assert [r.i for r in I.drop_incomplete(df).collect()] == [1]
+
+
+def test_doubled_days_do_not_depend_on_partitioning(spark):
+    rows = [("A", dt.date(2020, 1, 1) + dt.timedelta(days=i // 2), float((i * 37) % 11), i) for i in range(80)]
+    df = spark.createDataFrame(rows, "symbol string, dt date, close double, volume long")
+    got = [sorted(map(tuple, I.with_delta(df.repartition(n)).collect())) for n in (1, 4, 32)]
+    assert got[0] == got[1] == got[2]

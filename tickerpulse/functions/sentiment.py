@@ -179,18 +179,22 @@ def sign_label(polarity: Column) -> Column:
     )
 
 
-def score_with_table(df: DataFrame, key: str, clean: str, lexicon: DataFrame) -> DataFrame:
+def score_with_table(df: DataFrame, key: str, clean: str, lexicon: DataFrame, salts: int = 8) -> DataFrame:
     """``score_clean`` for a lexicon too large to inline: (key, compound) for every row of ``df``.
 
-    ``lexicon`` is (word, valence, boost, negates), one row per word; ``key`` must be unique.
-    Only words that carry meaning leave the scan stage. The sort per post is bounded by the
-    length of that post.
+    ``lexicon`` is (word, valence, boost, negates), one row per word. Posts may repeat: scores are
+    worked out per text, and every row of ``df`` gets that of its own. Only words of the lexicon and
+    "but" survive the join; each word is dealt to ``salts`` places, so that a frequent one does not
+    end up in a single task. The sort per text is bounded by its length.
     """
-    words = df.select(key, F.posexplode(
-        F.filter(F.split(F.coalesce(F.col(clean), F.lit("")), " "), lambda w: w != "")).alias("pos", "word"))
-    marked = words.join(lexicon, "word", "left").where(
-        F.col("valence").isNotNull() | F.col("boost").isNotNull() | F.col("negates") | (F.col("word") == "but"))
-    in_post = W.partitionBy(key).orderBy("pos")
+    text = F.coalesce(F.col(clean), F.lit(""))
+    texts = df.select(key, text.alias("_text"), F.sha2(text, 256).alias("_digest"))
+    words = texts.select("_digest", F.posexplode(
+        F.filter(F.split("_text", " "), lambda w: w != "")).alias("pos", "word"))
+    telling = _with_but(lexicon).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salted = words.withColumn("_salt", F.pmod(F.xxhash64("_digest", "pos"), F.lit(salts)).cast("int"))
+    marked = salted.join(telling, ["word", "_salt"]).dropDuplicates(["_digest", "pos"])
+    in_post = W.partitionBy("_digest").orderBy("pos")
     valence, boost = F.col("valence").cast("double"), F.col("boost").cast("double")
     code = F.struct(
         "pos", valence.alias("v"), boost.alias("b"),
@@ -203,13 +207,22 @@ def score_with_table(df: DataFrame, key: str, clean: str, lexicon: DataFrame) ->
         return F.coalesce(*hits)
 
     placed = marked.select(
-        key, "pos", valence.alias("valence"),
+        "_digest", "pos", valence.alias("valence"),
         *[back(d).alias(f"back{d}") for d in (1, 2, 3)],
-        F.min(F.when(F.col("word") == "but", F.col("pos") + 1)).over(W.partitionBy(key)).alias("but_at"),
+        F.min(F.when(F.col("word") == "but", F.col("pos") + 1)).over(W.partitionBy("_digest")).alias("but_at"),
     ).where(F.col("valence").isNotNull())
     value = _modified(F.col("valence"), [F.col(f"back{d}") for d in (1, 2, 3)], None)
     scored = placed.select(
-        key, (value * _but_factor(F.col("pos"), F.coalesce("but_at", F.lit(0)))).alias("value"))
-    totals = scored.groupBy(key).agg(F.sum("value").alias("total"))
-    return df.select(key).join(totals, key, "left").select(
+        "_digest", (value * _but_factor(F.col("pos"), F.coalesce("but_at", F.lit(0)))).alias("value"))
+    totals = scored.groupBy("_digest").agg(F.sum("value").alias("total"))
+    return texts.select(key, "_digest").join(totals, "_digest", "left").select(
         key, _compound(F.coalesce("total", F.lit(0.0))).alias("compound"))
+
+
+def _with_but(lexicon: DataFrame) -> DataFrame:
+    """Words that carry meaning, "but" among them."""
+    rows = lexicon.select("word", "valence", "boost", "negates")
+    but = lexicon.sparkSession.range(1).select(F.lit("but").alias("word")).join(rows, "word", "left")
+    telling = rows.where((F.col("word") != "but") & (
+        F.col("valence").isNotNull() | F.col("boost").isNotNull() | F.col("negates")))
+    return telling.unionByName(but.select(rows.columns))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -36,8 +36,13 @@ def sentiment_share_of_rollup(daily: DataFrame, companies: DataFrame) -> DataFra
     return named.select("company_name", "sentiment", "percent")
 
 
+def _exact_sum(column: str) -> Column:
+    """Sum of scores, which have four decimals: exact, so that no order of summing decides a rank."""
+    return F.sum(F.col(column).cast("decimal(18,4)")).cast("double").alias(column)
+
+
 def score_per_writer(df: DataFrame) -> DataFrame:
-    return df.groupBy("writer").agg(F.sum("compound").alias("compound"))
+    return df.groupBy("writer").agg(_exact_sum("compound"))
 
 
 def worst_writers(df: DataFrame, n: int = 10) -> DataFrame:
@@ -48,7 +53,7 @@ def worst_writers(df: DataFrame, n: int = 10) -> DataFrame:
 def first_company_of_worst_writers(df: DataFrame, row_id: str, n: int = 10) -> DataFrame:
     """The n lowest-scored writers with the company of their first post, in one aggregate."""
     per_writer = df.groupBy("writer").agg(
-        F.sum("compound").alias("compound"), F.min_by("company_name", row_id).alias("company"))
+        _exact_sum("compound"), F.min_by("company_name", row_id).alias("company"))
     return per_writer.orderBy("compound", "writer").limit(n).select(F.col("writer").alias("author"), "company")
 
 
@@ -59,7 +64,7 @@ def companies_trolled(df: DataFrame, row_id: str, n: int = 10) -> DataFrame:
 
 
 def score_per_day(df: DataFrame) -> DataFrame:
-    return df.groupBy("day_date").agg(F.sum("compound").alias("compound"))
+    return df.groupBy("day_date").agg(_exact_sum("compound"))
 
 
 def posts_per_day_and_company(df: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, WindowSpec
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .series import CHUNK_ROWS, calendar_bucket, chunk_window, in_chunks, number_rows, own_rows
 
@@ -24,7 +25,11 @@ LARGEST_POWER = 500.0
 
 
 def numbered(prices: DataFrame, keys: Sequence[str] = (KEY,), day: str = DAY) -> DataFrame:
-    return number_rows(prices, keys, [day], calendar_bucket(prices, day))
+    """Rows numbered by day. Rows of the same key and day stand in the order of their other columns
+    (by name), whatever the partitioning; rows equal in all of them are interchangeable."""
+    ties = sorted(f.name for f in prices.schema.fields
+                  if f.name not in (*keys, day) and isinstance(f.dataType, T.AtomicType))
+    return number_rows(prices, keys, [day, *ties], calendar_bucket(prices, day))
 
 
 def _mean_of_last(column: Column, n: int, window: WindowSpec) -> Column:

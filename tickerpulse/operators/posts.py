@@ -86,6 +86,7 @@ def trending_hashtags(posts: DataFrame, top: int = 10) -> DataFrame:
 
 
 def word_counts(lines: DataFrame, column: str = "text") -> DataFrame:
-    """Count of each blank-separated word; on a stream, the running count."""
-    words = lines.select(F.explode(F.split(F.col(column), " ")).alias("word"))
+    """Count of each blank-separated word; on a stream, the running count. Blanks at either end, or
+    several in a row, make no empty words."""
+    words = lines.select(F.explode(F.split(F.col(column), " ")).alias("word")).where("word <> ''")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("count"))

@@ -8,18 +8,13 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-# Inputs smaller than this are spread over the cores before CPU-heavy text work:
-# a small file is often one row group, hence one task. Larger inputs are left alone.
-SPREAD_BELOW_BYTES = 256 * 1024 * 1024
-
-
 # A shuffle partition of this size sorts and aggregates in memory on an ordinary executor core.
 SHUFFLE_PARTITION_BYTES = 128 * 1024 * 1024
 
 
 def shuffle_partitions(shuffled_bytes: int) -> int:
     """Partitions to start a shuffle of this size with; AQE merges those that turn out small."""
-    return min(max(200, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES)), 100_000)
+    return max(200, -(-shuffled_bytes // SHUFFLE_PARTITION_BYTES))
 
 
 def build_session(app: str = "tickerpulse", master: str | None = None,
@@ -75,13 +70,3 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint()
-
-
-def spread_small(df: DataFrame) -> DataFrame:
-    """Use all cores on a small scan; a no-op on anything above ``SPREAD_BELOW_BYTES``."""
-    if df.isStreaming:
-        return df
-    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    if size > SPREAD_BELOW_BYTES:
-        return df
-    return df.repartition(df.sparkSession.sparkContext.defaultParallelism)

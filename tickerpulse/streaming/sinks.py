@@ -14,9 +14,15 @@ BatchSink = Callable[[DataFrame, int], None]
 
 
 def skip_empty(sink: BatchSink) -> BatchSink:
+    """Call ``sink`` for batches with rows. The batch is kept for both, so that asking whether it is
+    empty does not run a stateful query twice."""
     def write(batch: DataFrame, batch_id: int) -> None:
-        if not batch.isEmpty():
-            sink(batch, batch_id)
+        batch = batch.persist()
+        try:
+            if not batch.isEmpty():
+                sink(batch, batch_id)
+        finally:
+            batch.unpersist()
     return write
 
 

@@ -157,7 +157,7 @@ def _(spark, sf):
 
 @query("r4_running_word_counts", sql(q.POSTS, select=f"""
   SELECT word, CAST(count(*) AS BIGINT) AS count
-  FROM (SELECT unnest(string_split({q.clean('text')}, ' ')) AS word FROM posts) GROUP BY word"""))
+  FROM (SELECT unnest(string_split({q.clean('text')}, ' ')) AS word FROM posts) WHERE word <> '' GROUP BY word"""))
 def _(spark, sf):
     out = scratch_path(spark, "words")
     decoded = P.decode_posts(stream.read_record_files(spark, wire(spark, sf), files_per_trigger=4))

@@ -272,7 +272,7 @@ def _(spark, sf):
 
 @query("a18_word_counts", sql(q.POSTS, select=f"""
   SELECT word, CAST(count(*) AS BIGINT) AS count
-  FROM (SELECT unnest(string_split({q.clean('text')}, ' ')) AS word FROM posts) GROUP BY word"""))
+  FROM (SELECT unnest(string_split({q.clean('text')}, ' ')) AS word FROM posts) WHERE word <> '' GROUP BY word"""))
 def _(spark, sf):
     return P.word_counts(v.posts(spark, sf).select(text.clean_document(F.col("text")).alias("text")))
 

@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 
 from tickerpulse.functions.lexicon import Lexicon
 from tickerpulse.schemas import INSTRUMENTS, inline_table, instruments
-from tickerpulse.session import spread_small
 
 # The text is in invented words; these occur in it.
 LEXICON = Lexicon.of(
@@ -46,7 +45,7 @@ def pick(column: Column, choices: dict) -> Column:
 
 
 def posts(spark: SparkSession, sf: str) -> DataFrame:
-    d = spread_small(table(spark, sf, "documents"))
+    d = table(spark, sf, "documents")
     doc = F.col("doc_id")
     term = F.substring("source", 4, 9).cast("int") % 6
     return d.select(
