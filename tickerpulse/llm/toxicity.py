@@ -24,7 +24,7 @@ from .common import _BYTE_CODES, Words, labelled_sample, mix, powers, with_colum
 
 SEEN_IN = 3  # training rows a word must occur in to carry weight
 SIGNIFICANT = 3.5  # standard deviations from chance at which a word's rows tell of a category
-TRAIN_ROWS = 8_000
+TRAIN_ROWS = 6_000
 FOLDS = 5
 STEMS = (4, 5, 6)  # bytes of a word's beginning that are features of their own, for inflected forms
 DECISION = 0.5
@@ -58,8 +58,8 @@ class Sparse(NamedTuple):
     def within(self, vocabulary: np.ndarray) -> "Sparse":
         """Hashes replaced by their places in the sorted ``vocabulary``; others are left out."""
         if not len(vocabulary):
-            return Sparse(np.zeros(0, np.int64), self.cut * 0)
-        place = np.minimum(np.searchsorted(vocabulary, self.at), len(vocabulary) - 1)
+            return Sparse(np.zeros(0, np.int32), self.cut * 0)
+        place = np.minimum(np.searchsorted(vocabulary, self.at), len(vocabulary) - 1).astype(np.int32)
         known = vocabulary[place] == self.at
         return Sparse(place[known], np.concatenate(([0], np.cumsum(known)))[self.cut])
 
@@ -73,14 +73,14 @@ _LETTERS[[*range(48, 58), *range(97, 123), *range(128, 256)]] = True
 
 
 def features(column: pa.Array) -> Iterator[Sparse]:
-    """Hashes of the distinct words of each text, freed of signs, and of their beginnings."""
+    """Hashes (32 bits) of the distinct words of each text, freed of signs, and of their beginnings."""
     for lo, hi, w in word_chunks(column):
         codes = _bare(w)
         out, cut = [], [0]
         for i in range(hi - lo):
-            out.append(np.unique(codes[:, w.first[i]:w.first[i + 1]]))
+            out.append(np.unique(codes[:, w.first[i]:w.first[i + 1]].astype(np.uint32)))
             cut.append(cut[-1] + len(out[-1]))
-        yield Sparse(np.concatenate(out) if out else np.zeros(0, np.uint64), np.array(cut))
+        yield Sparse(np.concatenate(out) if out else np.zeros(0, np.uint32), np.array(cut))
 
 
 def _bare(w: Words) -> np.ndarray:
@@ -204,7 +204,7 @@ def train(docs: DataFrame, labels: DataFrame, seeds: dict[str, Sequence[str]] =
     """Fits the chain on the texts of ``docs`` that at most ``rows`` of ``labels`` (doc_id, toxic)
     speak of. Rows without an id or label are left out; with no rows at all nothing is toxic. Only
     hashed words reach the driver."""
-    words = {name: np.array(sorted(_hash_words(list_of)), np.uint64) for name, list_of in seeds.items()}
+    words = {name: np.array(sorted(_hash_words(list_of)), np.uint32) for name, list_of in seeds.items()}
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -218,19 +218,19 @@ def train(docs: DataFrame, labels: DataFrame, seeds: dict[str, Sequence[str]] =
     spread = F.xxhash64(F.coalesce("text", F.lit("")))
     picked = labelled_sample(docs, known, rows).select("text", "toxic", spread.alias("spread"))
     got = picked.mapInArrow(run, "words binary, toxic long, spread long").orderBy("spread", "toxic").limit(rows).collect()
-    at = [np.frombuffer(r.words, np.uint64) for r in got]
-    x = Sparse(np.concatenate(at) if at else np.zeros(0, np.uint64), np.concatenate(([0], np.cumsum([len(a) for a in at]))).astype(np.int64))
+    at = [np.frombuffer(r.words, np.uint32) for r in got]
+    x = Sparse(np.concatenate(at) if at else np.zeros(0, np.uint32), np.concatenate(([0], np.cumsum([len(a) for a in at]))).astype(np.int64))
     toxic = np.array([r.toxic > 0 for r in got], bool)
     fold = np.array([(r.spread >> 8) % folds for r in got], int)
     marks = [toxic & np.array([np.isin(a, hashed).any() for a in at], bool) for hashed in words.values()]
     return fit_chain(x, np.column_stack([*marks, toxic]) if got else np.zeros((0, len(words) + 1)),
-                     (*words, LAST), fold, np.concatenate([*words.values(), np.zeros(0, np.uint64)]), folds)
+                     (*words, LAST), fold, np.concatenate([*words.values(), np.zeros(0, np.uint32)]), folds)
 
 
 def _hash_words(words: Sequence[str]) -> set[int]:
     out: set[int] = set()
     for lo, hi, w in word_chunks(pa.array(list(words))):
-        out |= {int(c) for c in _bare(w)[0]}
+        out |= {int(c) for c in _bare(w)[0].astype(np.uint32)}
     return out
 
 
