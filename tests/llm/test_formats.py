@@ -166,6 +166,19 @@ def test_plan_places_every_piece_once(histogram):
     assert plan.sequences <= least * 1.5 + sum(n for k, n in histogram.items() if k > 16) + 1
 
 
+def test_best_fit_uses_up_equal_sequences():
+    """Every count of two lengths into the sequences that a third left open."""
+    for n, m in itertools.product(range(1, 9), range(1, 25)):
+        left = np.zeros(33, np.int64)
+        left[[20, 5, 2]] = [n, m, m]
+        found = collections.Counter()
+        for lengths, times in packing._best_fit(left, 32):
+            assert times > 0 and sum(lengths) <= 32
+            for length in lengths:
+                found[length] += times
+        assert found == {20: n, 5: m, 2: m}
+
+
 def test_least_squares_fit():
     counts = np.zeros(17)
     counts[[16, 10, 6, 4, 2]] = [5, 7, 9, 6, 3]

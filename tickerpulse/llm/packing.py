@@ -201,7 +201,8 @@ def _best_fit(left: np.ndarray, room: int) -> list[tuple[list[int], int]]:
                     open_[space - each * length].append((content + [length] * each, full))
                 if rest:
                     open_[space - rest * length].append((content + [length] * rest, 1))
-                open_[space].append((content, times - full - bool(rest)))
+                if times > full + bool(rest):
+                    open_[space].append((content, times - full - bool(rest)))
                 todo = 0
     return [entry for entries in open_ for entry in entries if entry[1]]
 
