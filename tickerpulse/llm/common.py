@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -14,7 +15,7 @@ from pyspark.sql.types import DataType, StructField, StructType
 
 from ..session import scratch_path
 
-CHUNK_BYTES = 1 << 20  # text worked on at once inside a task; a longer text is a chunk of its own
+CHUNK_BYTES = 1 << 18  # text worked on at once inside a task; a longer text is a chunk of its own
 CHUNK_ROWS = 512
 
 
@@ -46,6 +47,20 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
     return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:
+    """``run``, a function for ``mapInArrow``, that gives freed memory back to the system after its
+    last batch. Workers outlive their tasks, and what they hold is missing to the stages that follow."""
+
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+        if trim:
+            trim(0)
+
+    return tidied
+
+
 def crc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, text_chunks, words_of
+from .common import stage, text_chunks, tidy, words_of
 
 DEPTH = 4
 MARK = 255  # ends a text, and stands before its first byte; no byte of UTF-8
@@ -208,7 +208,7 @@ def blocks(docs: DataFrame, held_out: Column, depth: int, block_bytes: int = BLO
             yield _block_batch(part, k, now)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("_held"), F.spark_partition_id().alias("_part"))
-    return rows.mapInArrow(run, _BLOCKS)
+    return rows.mapInArrow(tidy(run), _BLOCKS)
 
 
 def _block_batch(part: int, k: int, block: _Block) -> pa.RecordBatch:
@@ -234,7 +234,7 @@ def _keys(made: DataFrame, key: str, count: str) -> DataFrame:
                         [pa.array(np.full(len(part), block)), pa.array(part), pa.array(counts[lo:lo + (1 << 16)])],
                         names=["block", "key", "n"])
 
-    return made.select("block", key, count).mapInArrow(run, "block long, key long, n long")
+    return made.select("block", key, count).mapInArrow(tidy(run), "block long, key long, n long")
 
 
 def model(totals: DataFrame, depth: int = DEPTH) -> DataFrame:

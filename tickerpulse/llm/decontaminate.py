@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, shingle_codes, word_chunks
+from .common import Words, shingle_codes, tidy, word_chunks
 
 K1, B = 1.2, 0.75
 PASSAGE, STEP = 120, 60  # words of a passage, and words from one to the next
@@ -294,7 +294,7 @@ def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, least
         block = chosen if parts == 1 else chosen.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
         index = build([tuple(r) for r in block.collect()], statistics)
         shared = spark.sparkContext.broadcast(index)
-        hits = texts.mapInArrow(_search(shared, threshold, least, passage, step), kind)
+        hits = texts.mapInArrow(tidy(_search(shared, threshold, least, passage, step)), kind)
         found = hits if part == 0 else found.unionByName(hits)
     return found
 
@@ -311,7 +311,7 @@ def _all_statistics(items: DataFrame) -> tuple[int, float, dict[int, int]]:
             head = np.concatenate([np.arange(len(o)) == 0 for o in own] or [np.zeros(0, bool)]).astype(int)
             yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(size), pa.array(head)], names=["code", "size", "head"])
 
-    by_word = items.mapInArrow(run, "code long, size long, head long").groupBy("code").agg(
+    by_word = items.mapInArrow(tidy(run), "code long, size long, head long").groupBy("code").agg(
         F.count("*").alias("df"), F.sum("size").alias("size"), F.sum("head").alias("items")).toPandas()
     n = int(by_word["items"].sum())
     codes = by_word["code"].to_numpy(np.int64).view(np.uint64).tolist()

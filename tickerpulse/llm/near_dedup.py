@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import shingle_codes, stage, word_chunks
+from .common import shingle_codes, stage, tidy, word_chunks
 from .components import connected
 
 SHINGLE = 5
@@ -85,7 +85,7 @@ def sketches(docs: DataFrame, k: int = SKETCH, size: int = SHINGLE) -> DataFrame
                 _lists([s[:k] for s in sets])], schema=_SKETCHED)
 
     return _keyed(docs).mapInArrow(
-        run, "doc_id long, text_key long, n long, digest binary, sketch array<long>")
+        tidy(run), "doc_id long, text_key long, n long, digest binary, sketch array<long>")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -145,7 +145,7 @@ def _whole_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
                                              schema=pa.schema([("cls", pa.int64()), ("shingles", pa.list_(pa.int64()))]))
 
     found = _keyed(docs).join(wanted, (F.col("text_key") == wanted["rep_key"]) & F.col("doc_id").eqNullSafe(wanted["rep_id"]))
-    return found.select("cls", "text").mapInArrow(run, "cls long, shingles array<long>").dropDuplicates(["cls"])
+    return found.select("cls", "text").mapInArrow(tidy(run), "cls long, shingles array<long>").dropDuplicates(["cls"])
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType
 
-from .common import stage, with_columns
+from .common import stage, tidy, with_columns
 from .tokens import encoder
 
 ROOM = 2048
@@ -63,7 +63,7 @@ def pieces(docs: DataFrame, tokenizer: str, room: int = ROOM, end: int | None =
                     rows, held = [[], [], [], [], [], []], 0
             yield _piece_batch(rows, with_ids)
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, kind)
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(tidy(run), kind)
 
 
 def _piece_batch(rows: list[list], with_ids: bool) -> pa.RecordBatch:
@@ -235,7 +235,7 @@ def pack(cut: DataFrame, room: int = ROOM, steps: int = STEPS) -> DataFrame:
                 [*[batch.column(c) for c in names], pa.array(sequence), pa.array(offset)],
                 names=[*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(run, with_columns(cut, sequence_id=LongType(), offset=LongType()))
+    return ranked.mapInArrow(tidy(run), with_columns(cut, sequence_id=LongType(), offset=LongType()))
 
 
 def fill(packed: DataFrame, room: int = ROOM) -> pd.Series:

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import labelled_sample, text_chunks, with_columns, words_of
+from .common import labelled_sample, text_chunks, tidy, with_columns, words_of
 
 POSITIVES = 4_000
 UNLABELLED = 8_000
@@ -163,7 +163,7 @@ def _taken(texts: DataFrame, rows: int) -> np.ndarray:
             yield pa.RecordBatch.from_arrays([pa.array(packed, pa.binary()), batch.column("spread")], names=["x", "spread"])
 
     hashed = texts.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("spread"))
-    got = hashed.mapInArrow(run, "x binary, spread long").orderBy("spread", "x").limit(rows).collect()
+    got = hashed.mapInArrow(tidy(run), "x binary, spread long").orderBy("spread", "x").limit(rows).collect()
     return np.array([np.frombuffer(r.x, np.float16) for r in got], np.float32).reshape(len(got), SHAPES + EXTRA)
 
 
@@ -193,4 +193,4 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
             scores = np.concatenate(found).astype(float) if found else np.zeros(0)
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(scores)], names=[*names, "quality_score"])
 
-    return docs.mapInArrow(run, with_columns(docs, quality_score=DoubleType()))
+    return docs.mapInArrow(tidy(run), with_columns(docs, quality_score=DoubleType()))

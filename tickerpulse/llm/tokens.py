@@ -19,7 +19,7 @@ _CUT = re.compile(r"(?<=\S) (?=[A-Za-z])")
 # Signs without the apostrophe, which joins letters in the vocabularies' patterns.
 _PLAIN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ0-9 \n.,:;!?()\[\]|*%$&#@/<>=+\"-]+")
 _PARTS = re.compile(r" ?[A-Za-zÀ-ÖØ-öø-ÿ0-9]+|(?: (?![A-Za-zÀ-ÖØ-öø-ÿ0-9])|[^A-Za-zÀ-ÖØ-öø-ÿ0-9 ])+")
-KEPT_PARTS = 800_000  # held by a worker; beyond them it starts anew, which changes no result
+KEPT_PARTS = 400_000  # held by a worker; beyond them it starts anew, which changes no result
 LONGEST_KEPT = 100  # characters; longer ones hardly recur
 PIECE = 1 << 20  # characters of a very long text that are split at a time
 _ENCODERS: dict[str, "Encoder"] = {}

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType
 
-from .common import _BYTE_CODES, Words, labelled_sample, mix, powers, with_columns, word_chunks
+from .common import _BYTE_CODES, Words, labelled_sample, mix, powers, tidy, with_columns, word_chunks
 
 SEEN_IN = 3  # training rows a word must occur in to carry weight
 SIGNIFICANT = 3.5  # standard deviations from chance at which a word's rows tell of a category
@@ -217,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, seeds: dict[str, Sequence[str]] =
     known = labels.select("doc_id", F.col("toxic").cast("long").alias("toxic")).where("toxic is not null")
     spread = F.xxhash64(F.coalesce("text", F.lit("")))
     picked = labelled_sample(docs, known, rows).select("text", "toxic", spread.alias("spread"))
-    got = picked.mapInArrow(run, "words binary, toxic long, spread long").orderBy("spread", "toxic").limit(rows).collect()
+    got = picked.mapInArrow(tidy(run), "words binary, toxic long, spread long").orderBy("spread", "toxic").limit(rows).collect()
     at = [np.frombuffer(r.words, np.uint32) for r in got]
     x = Sparse(np.concatenate(at) if at else np.zeros(0, np.uint32), np.concatenate(([0], np.cumsum([len(a) for a in at]))).astype(np.int64))
     toxic = np.array([r.toxic > 0 for r in got], bool)
@@ -256,4 +256,4 @@ def score(docs: DataFrame, chain: Chain) -> DataFrame:
                 [*batch.columns, scores, pa.array((found[:, -1] >= chain.threshold) & ~none)],
                 names=[*names, "toxic_scores", "rejected"])
 
-    return docs.mapInArrow(run, with_columns(docs, toxic_scores=ArrayType(DoubleType()), rejected=BooleanType()))
+    return docs.mapInArrow(tidy(run), with_columns(docs, toxic_scores=ArrayType(DoubleType()), rejected=BooleanType()))
