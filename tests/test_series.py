@@ -66,6 +66,18 @@ def test_mixed_spans(spark, spans):
         same(column(out, f"E{span}", "A"), pd.Series(data["A"]).ewm(span=span, adjust=False).mean())
 
 
+@pytest.mark.parametrize("first", [1e5, 1e20])
+def test_means_of_a_series_that_falls_far(spark, first):
+    closes = [first] + [1e-4] * 5000
+    df = prices(spark, {"A": closes})
+    out = I.with_ema(df, {"E2": 2, "E20": 20}, chunk=256)
+    for span in (2, 20):
+        want = [first]
+        for x in closes[1:]:
+            want.append(x * 2 / (span + 1) + want[-1] * (1 - 2 / (span + 1)))
+        np.testing.assert_allclose(column(out, f"E{span}", "A"), want, rtol=1e-9)
+
+
 def test_flat_and_rising_series(spark):
     df = prices(spark, {"FLAT": [5] * 60, "UP": range(1, 61), "SHORT": range(13)})
     out = I.with_rsi(df)

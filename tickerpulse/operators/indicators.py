@@ -18,10 +18,12 @@ from .series import CHUNK_ROWS, calendar_bucket, chunk_window, in_chunks, number
 
 KEY, DAY = "symbol", "dt"
 
-# A value this many halvings old no longer changes a double.
-HALVINGS = 64
+# The largest double halved this often is below the smallest one: an older value adds exactly zero.
+HALVINGS = 2100
 # Powers up to e to this stay well inside the range of a double.
 LARGEST_POWER = 500.0
+# Spans up to this many times the shortest share their blocks.
+ALIKE = 4
 
 
 def numbered(prices: DataFrame, keys: Sequence[str] = (KEY,), day: str = DAY) -> DataFrame:
@@ -44,10 +46,28 @@ def _forgetting(span: int) -> float:
 
 
 def memory_rows(span: int) -> int:
-    """Rows after which an exponential mean of this span has forgotten a value."""
+    """Rows after which an exponential mean of this span has forgotten any value a double can hold."""
     return math.ceil(HALVINGS * math.log(2) / _forgetting(span)) if span > 1 else 0
 
 
+def _chunk_rows(reach: int) -> int:
+    """Chunks twice as long as what they look back to, so that copies stay under half of the rows."""
+    return max(CHUNK_ROWS, 2 * reach)
+
+
+def _alike(spans: dict[str, int]) -> list[dict[str, int]]:
+    """Spans in groups that share blocks: a short one allows short blocks only, of which a much
+    longer one would have to look back to hundreds."""
+    groups: list[dict[str, int]] = []
+    for name, span in sorted(spans.items(), key=lambda s: s[1]):
+        shortest = min((s for s in groups[-1].values() if s > 1), default=span) if groups else 0
+        if groups and span <= ALIKE * shortest:
+            groups[-1][name] = span
+        else:
+            groups.append({name: span})
+    return groups
+
+
 def _block_length(spans: Sequence[int]) -> int:
     """A quarter of the longest memory, or less where powers of the shortest would overflow."""
     spans = [s for s in spans if s > 1]
@@ -63,8 +83,8 @@ def _ema(chunked: DataFrame, column: str, spans: dict[str, int], block: int,
     of ``block`` rows.
 
     The recurrence y = a*x + (1-a)*y_prev is solved per block of rows: a running sum scaled by
-    powers of (1-a) gives the mean with nothing carried in, and the last values of the few
-    preceding blocks that still matter are added with their weights.
+    powers of (1-a) gives the mean with nothing carried in, and what the few preceding blocks that
+    still matter leave behind is carried in by the same recurrence over blocks.
     """
     rn = F.col("rn")
     place = rn % F.lit(block)
@@ -80,27 +100,27 @@ def _ema(chunked: DataFrame, column: str, spans: dict[str, int], block: int,
         start = F.when(rn == 0, F.col(column)).otherwise(F.col(column) * F.lit(alpha))
         scaled = start * F.pow(F.lit(keep), -place)
         local[f"_{name}"] = F.sum(scaled).over(in_block) * F.pow(F.lit(keep), place)
-        terms = F.col(f"_{name}")
-        for back in range(1, math.ceil(memory_rows(span) / block) + 1):
+        carried = F.lit(0.0)
+        for back in range(math.ceil(memory_rows(span) / block), 0, -1):
             # the last value of the block that lies ``back`` blocks earlier
             end = F.max(F.when(place == block - 1, F.col(f"_{name}"))).over(blocks.rangeBetween(-back, -back))
-            weight = F.pow(F.lit(keep), place + F.lit(1 + block * (back - 1)))
-            terms = terms + F.coalesce(end, F.lit(0.0)) * weight
-        full[name] = terms
+            carried = F.coalesce(end, F.lit(0.0)) + carried * F.lit(keep**block)
+        full[name] = F.col(f"_{name}") + carried * F.pow(F.lit(keep), place + F.lit(1))
     return chunked.withColumns(local).withColumns(full).drop(*local)
 
 
 def with_ema(prices: DataFrame, spans: dict[str, int], column: str = "close",
-             chunk: int = CHUNK_ROWS) -> DataFrame:
+             chunk: int | None = None) -> DataFrame:
     """Add exponential means (no bias correction); ``spans`` maps new column to span.
 
     Rows without a value take no part in the recurrence and are left out.
     """
     rows = numbered(prices.where(F.col(column).isNotNull()))
     reach = max(memory_rows(s) for s in spans.values())
-    block = _block_length(list(spans.values()))
-    chunked = in_chunks(rows, [KEY], before=reach, chunk=chunk, block=block)
-    out = _ema(chunked, column, spans, block, [KEY])
+    out = in_chunks(rows, [KEY], before=reach, chunk=chunk or _chunk_rows(reach))
+    for group in _alike(spans):
+        block = _block_length(list(group.values()))
+        out = _ema(out.withColumn("_block", F.floor(F.col("rn") / F.lit(block))), column, group, block, [KEY])
     return own_rows(out).drop("rn", "n_rows")
 
 
@@ -115,11 +135,11 @@ def macd_reach(long: int, signal: int) -> int:
 
 
 def with_macd(prices: DataFrame, column: str = "close", short: int = 12, long: int = 26,
-              signal: int = 9, chunk: int = CHUNK_ROWS) -> DataFrame:
+              signal: int = 9, chunk: int | None = None) -> DataFrame:
     """Add MACD (short minus long mean) and Signal_Line (mean of MACD)."""
     rows = numbered(prices.where(F.col(column).isNotNull()))
-    block = _block_length([short, long, signal])
-    chunked = in_chunks(rows, [KEY], before=macd_reach(long, signal), chunk=chunk, block=block)
+    block, reach = _block_length([short, long, signal]), macd_reach(long, signal)
+    chunked = in_chunks(rows, [KEY], before=reach, chunk=chunk or _chunk_rows(reach), block=block)
     return own_rows(_macd(chunked, column, short, long, signal, block)).drop("rn", "n_rows")
 
 
@@ -209,11 +229,11 @@ BUILD_RANGE = ("2016-01-01", "2021-07-24")
 VERIFY_RANGE = ("2021-07-24", "2021-08-29")
 
 
-def indicator_frame(prices: DataFrame, column: str = "close", chunk: int = CHUNK_ROWS) -> DataFrame:
+def indicator_frame(prices: DataFrame, column: str = "close", chunk: int | None = None) -> DataFrame:
     """All indicators in one chunk layout: MACD, Signal_Line, RSI, SMA(30), EMA(20)."""
     rows = numbered(prices.where(F.col(column).isNotNull()))
-    block = _block_length([26])
-    chunked = in_chunks(rows, [KEY], before=macd_reach(26, 9), chunk=chunk, block=block)
+    block, reach = _block_length([12, 26, 9, 20]), macd_reach(26, 9)
+    chunked = in_chunks(rows, [KEY], before=reach, chunk=chunk or _chunk_rows(reach), block=block)
     out = _ema(_macd(chunked, column, 12, 26, 9, block), column, {"EMA": 20}, block, [KEY])
     out = _rsi(out, column, 14)
     out = out.withColumn("SMA", _mean_of_last(F.col(column), 30, chunk_window([KEY])))
