@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import stage
+from .common import stage, tidy
 from .tokens import encoder
 
 MAGIC = b"IDEF0001"
@@ -223,7 +223,7 @@ def write(docs: DataFrame, tokenizer: str, end: int | None = END, file_tokens: i
     keys = [F.col("doc_id").asc_nulls_first(), F.col("_text"), F.col("_salt")]
     ordered = (salted.repartitionByRange(*keys).sortWithinPartitions(*keys)
                .withColumn("_part", F.spark_partition_id()).drop("_text", "_salt"))
-    made = stage(ordered.mapInArrow(run, "path string, part int, k int, documents long, tokens long"), "ids-list")
+    made = stage(ordered.mapInArrow(tidy(run), "path string, part int, k int, documents long, tokens long"), "ids-list")
     # one row per file, of millions of ids each
     order = Window.orderBy("part", "k")
     return made.select("path", F.lit(folder).alias("folder"), F.row_number().over(order).alias("place"), "documents", "tokens",
@@ -261,7 +261,7 @@ def read(files: DataFrame, with_ids: bool = False) -> DataFrame:
                         yield _rows(rows, kinds, names, with_ids)
 
     n = max(1, files.count())
-    return files.repartition(n).select("path", "folder", "start").mapInArrow(run, kind)
+    return files.repartition(n).select("path", "folder", "start").mapInArrow(tidy(run), kind)
 
 
 def _rows(rows: list[tuple], kinds: list, names: list[str], with_ids: bool) -> pa.RecordBatch:
