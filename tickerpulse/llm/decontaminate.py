@@ -12,7 +12,10 @@ end there. What is left goes through WAND, by the largest weights of whole posti
 blocks.
 
 A retrieved item counts when its question and its answer are found in the document: shares of their
-runs of words (``RUN`` words, fewer for a shorter part) that occur there.
+runs of words (``RUN`` words, fewer for a shorter part) that occur there. One altered word costs a part
+of under ``SHORT`` words more runs than it may miss, so such a part is also held against the text word
+by word, in the place where the runs of the other part put it; the larger share counts. Case (in all
+scripts) and signs at the ends of words do not matter.
 
 The index is built in blocks of items of bounded size (``ITEMS_PER_BLOCK``); each block is sent to
 the tasks, and all documents are queried against every block, so any number of items is covered.
@@ -26,16 +29,20 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, shingle_codes, tidy, word_chunks
+from .common import Words, shingle_codes, text_chunks, tidy, word_chunks
 
 K1, B = 1.2, 0.75
 PASSAGE, STEP = 120, 60  # words of a passage, and words from one to the next
 THRESHOLD = 0.6
 RUN = 5
 OVERLAP = 0.6  # share of the runs of question and of answer
+SHORT = 17  # of 13 runs a word is in 5: from here on one altered word leaves OVERLAP of them
+SLACK = 1  # words that a word may be off its place
+GLUED = 4  # bytes; a word at least as long is also found with something glued to it
 BLOCK = 16  # items
 ITEMS_PER_BLOCK = 2_048  # items of one index
 FREQUENT = 50  # a word in more than one of so many items (and in more than two) is frequent
@@ -43,11 +50,9 @@ FREQUENT = 50  # a word in more than one of so many items (and in more than two)
 
 class Item(NamedTuple):
     item_id: int
-    words: np.ndarray  # distinct hashes, sorted
-    question: np.ndarray  # hashes of its runs of words, sorted
-    answer: np.ndarray
-    question_run: int
-    answer_run: int
+    code: np.ndarray  # hashes of all words, in order
+    text: list[bytes]  # the words
+    cut: int  # words of the question
 
 
 class Index(NamedTuple):
@@ -74,22 +79,36 @@ def split_item(text: str) -> tuple[str, str]:
     return (head, tail) if head else (tail, "")
 
 
-def _runs(code: np.ndarray) -> tuple[np.ndarray, int]:
-    n = min(RUN, len(code))
-    return (np.unique(shingle_codes(code, n)), n) if n else (np.zeros(0, np.uint64), 0)
+def plain(texts: pa.Array) -> pa.Array:
+    """Lower case, without the signs at either end of words that hold a letter or digit."""
+    out = pc.utf8_lower(texts)
+    out = pc.replace_substring_regex(out, r"([\pL\pN\pM])[^\pL\pN\pM\t-\r ]+([\t-\r ]|$)", r"\1\2")
+    return pc.replace_substring_regex(out, r"(^|[\t-\r ])[^\pL\pN\pM\t-\r ]+([\pL\pN\pM])", r"\1\2")
+
+
+def plain_chunks(column: pa.Array) -> Iterator[tuple[int, int, Words]]:
+    """``word_chunks`` of the plain texts."""
+    for at, to, _, _ in text_chunks(column):
+        for lo, hi, w in word_chunks(plain(column.slice(at, to - at))):
+            yield at + lo, at + hi, w
 
 
 def read_items(rows: list[tuple[int, str | None]]) -> tuple[list[Item], list[np.ndarray]]:
     """Items that have a word, in order of id; and the hashes of all their words."""
     rows = sorted(((i, t or "") for i, t in rows if i is not None), key=lambda r: (r[0], r[1]))
     parts = [part for _, text in rows for part in split_item(text)]
-    codes = [w.code[w.first[i]:w.first[i + 1]] for lo, hi, w in word_chunks(pa.array(parts, pa.string())) for i in range(hi - lo)]
+    codes, texts = [], []
+    for lo, hi, w in plain_chunks(pa.array(parts, pa.string())):
+        for i in range(hi - lo):
+            own = slice(w.first[i], w.first[i + 1])
+            codes.append(w.code[own])
+            texts.append([w.buf[a:b].tobytes() for a, b in zip(w.start[own], w.end[own])])
     items, words = [], []
-    for (item_id, _), q, a in zip(rows, codes[::2], codes[1::2]):
+    for k, (item_id, _) in enumerate(rows):
+        q, a = codes[2 * k:2 * k + 2]
         whole = np.concatenate([q, a])
         if len(whole):
-            (question, n), (answer, m) = _runs(q), _runs(a)
-            items.append(Item(item_id, np.unique(whole), question, answer, n, m))
+            items.append(Item(item_id, whole, texts[2 * k] + texts[2 * k + 1], len(q)))
             words.append(whole)
     order = sorted(range(len(items)), key=lambda i: len(words[i]))
     return [items[i] for i in order], [words[i] for i in order]
@@ -260,19 +279,75 @@ def query_texts(index: Index, words: Words, threshold: float, passage: int, step
     return best
 
 
-def overlap(item: Item, code: np.ndarray, memo: dict[int, np.ndarray]) -> tuple[float, float]:
-    """Shares of the runs of words of question and answer that the text holds; no words: 1."""
+def overlap(item: Item, words: Words, text: int, memo: dict[int, np.ndarray], least: float = OVERLAP) -> tuple[float, float]:
+    """Shares of question and answer that the text holds: of their runs of words or, where that is
+    below ``least`` in a short part, of its words in their place. No words: 1."""
+    code = words.code[words.first[text]:words.first[text + 1]]
+    parts = ((0, item.cut), (item.cut, len(item.code)))
     shares = []
-    for runs, n in ((item.question, item.question_run), (item.answer, item.answer_run)):
+    for lo, hi in parts:
+        n = min(RUN, hi - lo)
         if not n:
             shares.append(1.0)
             continue
         if n not in memo:
-            memo[n] = np.unique(shingle_codes(code, n))
-        shares.append(float(np.isin(runs, memo[n], assume_unique=True).mean()))
+            memo[n] = shingle_codes(code, n)
+        shares.append(float(np.isin(np.unique(shingle_codes(item.code[lo:hi], n)), memo[n]).mean()))
+    whole = list(shares)
+    for k, (lo, hi) in enumerate(parts):
+        if whole[k] < least and hi - lo < SHORT:
+            shares[k] = max(whole[k], in_place(item, lo, hi, *parts[1 - k], words, text, memo))
     return shares[0], shares[1]
 
 
+def in_place(item: Item, lo: int, hi: int, other_lo: int, other_hi: int, words: Words, text: int,
+             memo: dict[int, np.ndarray]) -> float:
+    """Share of the item's words lo:hi that stand in the text where the runs of the other part (if none
+    occurs, single words of the item) put them. One of two words is less than OVERLAP; the adjoining word of the
+    other part is added to two."""
+    first, last = words.first[text], words.first[text + 1]
+    code, n = words.code[first:last], min(RUN, other_hi - other_lo)
+    begin = np.zeros(0, np.int64)
+    if n:
+        begin = _begins(memo[n], shingle_codes(item.code[other_lo:other_hi], n), other_lo)
+    if not len(begin):
+        begin = _begins(code, item.code, 0)
+    if hi - lo == 2 and other_hi > other_lo:
+        lo, hi = (lo, hi + 1) if lo < other_lo else (lo - 1, hi)
+    if not len(begin):
+        return 0.0
+    total = np.zeros(len(begin))
+    for j in range(lo, hi):
+        found = np.zeros(len(begin), bool)
+        for off in range(-SLACK, SLACK + 1):
+            at = begin + j + off
+            inside = np.flatnonzero((at >= 0) & (at < len(code)))
+            at = at[inside]
+            same = code[at] == item.code[j]
+            if not off and len(item.text[j]) >= GLUED:
+                same |= _glued(words, at + first, item.text[j])
+            found[inside] |= same
+        total += found
+    return float(total.max() / (hi - lo))
+
+
+def _begins(have: np.ndarray, want: np.ndarray, shift: int) -> np.ndarray:
+    """Where the item begins in the text, by each place of ``want[k]``, which is at ``shift + k`` of the item."""
+    at = [np.flatnonzero(have == x) - shift - k for k, x in enumerate(want)]
+    return np.unique(np.concatenate(at))
+
+
+def _glued(words: Words, at: np.ndarray, text: bytes) -> np.ndarray:
+    """Whether the words at ``at`` begin or end with ``text``."""
+    start, end, n = words.start[at], words.end[at], len(text)
+    head = end - start >= n
+    tail = head.copy()
+    for k, byte in enumerate(text):
+        head &= words.buf[np.where(head, start + k, 0)] == byte
+        tail &= words.buf[np.where(tail, end - n + k, 0)] == byte
+    return head | tail
+
+
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP,
           passage: int = PASSAGE, step: int = STEP, items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) for every document that holds an item.
@@ -326,12 +401,11 @@ def _search(shared, threshold: float, least: float, passage: int, step: int):
         for batch in batches:
             ids = batch.column("doc_id").to_pylist()
             rows: list[tuple] = []
-            for lo, hi, w in word_chunks(batch.column("text")):
+            for lo, hi, w in plain_chunks(batch.column("text")):
                 for i, found in query_texts(index, w, threshold, wide, stride).items():
-                    code = w.code[w.first[i]:w.first[i + 1]]
                     memo: dict[int, np.ndarray] = {}
                     for item, score in sorted(found.items()):
-                        question, answer = overlap(index.items[item], code, memo)
+                        question, answer = overlap(index.items[item], w, i, memo, least)
                         if question >= least and answer >= least:
                             rows.append((ids[lo + i], index.items[item].item_id, score, question, answer))
             columns = list(zip(*rows)) if rows else [[]] * 5
