@@ -9,7 +9,7 @@ from __future__ import annotations
 import json
 import math
 import re
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
@@ -146,16 +146,23 @@ def accuracy_of(predictions: DataFrame, column: str) -> float:
 
 def grid_scores(rows: DataFrame, column: str, space: Search, folds: int, fold_column: str = "inner_fold",
                 parallelism: int = PARALLEL_FITS) -> list[float]:
-    """Mean held-out accuracy of every setting of the grid."""
-    def score(task: tuple[dict, int]) -> float:
-        setting, fold = task
-        model = space.estimator.fit(rows.where(F.col(fold_column) != fold), setting)
-        return accuracy_of(model.transform(rows.where(F.col(fold_column) == fold)), column)
+    """Mean held-out accuracy of every setting of the grid; one pass over a fold scores all settings."""
+    def fit(task: tuple[int, dict]) -> PipelineModel:
+        fold, setting = task
+        return space.estimator.fit(rows.where(F.col(fold_column) != fold), setting)
+
+    def score(fold: int) -> list[float]:
+        out, names = rows.where(F.col(fold_column) == fold).select("features", "label"), []
+        for k, model in enumerate(models[fold * len(space.grid):(fold + 1) * len(space.grid)]):
+            names.append(f"{column}_{k}")
+            model.stages[-1].setPredictionCol(names[-1])
+            out = model.transform(out).select("features", "label", *names)
+        return list(out.agg(*[F.avg((F.col(n) == F.col("label")).cast("double")) for n in names]).first())
 
-    tasks = [(setting, fold) for setting in space.grid for fold in range(folds)]
     with ThreadPoolExecutor(parallelism) as pool:
-        scores = list(pool.map(score, tasks))
-    return [sum(scores[i:i + folds]) / folds for i in range(0, len(scores), folds)]
+        models = list(pool.map(fit, [(fold, setting) for fold in range(folds) for setting in space.grid]))
+        scores = list(pool.map(score, range(folds)))
+    return [sum(own) / folds for own in zip(*scores)]
 
 
 def grid_search(rows: DataFrame, symbol: str, family: str, grids: dict = SMALL_GRIDS, folds: int = 5) -> PipelineModel:
@@ -172,11 +179,13 @@ def nested_accuracy(rows: DataFrame, symbol: str, family: str, grids: dict = SMA
                     folds: int = 5) -> list[float]:
     """Accuracy on each outer fold of the setting chosen on the others."""
     column = prediction_column(symbol, family)
-    out = []
-    for fold in range(folds):
+
+    def score(fold: int) -> float:
         chosen = grid_search(rows.where(F.col("outer_fold") != fold), symbol, family, grids, folds)
-        out.append(accuracy_of(chosen.transform(rows.where(F.col("outer_fold") == fold)), column))
-    return out
+        return accuracy_of(chosen.transform(rows.where(F.col("outer_fold") == fold)), column)
+
+    with ThreadPoolExecutor(PARALLEL_FITS) as pool:
+        return list(pool.map(score, range(folds)))
 
 
 def symbol_rows(build: DataFrame, symbol: str, keys: Iterable[str], folds: int = 5) -> DataFrame:
@@ -187,20 +196,43 @@ def symbol_rows(build: DataFrame, symbol: str, keys: Iterable[str], folds: int =
     return with_folds(inner, keys, folds, "outer_fold", salt=2)
 
 
-def train_all(build: DataFrame, symbols: Iterable[str], keys: Iterable[str], families: Iterable[str] = FAMILIES,
-              grids: dict = SMALL_GRIDS, folds: int = 5) -> dict[tuple[str, str], PipelineModel]:
-    """One model per symbol and family; symbols side by side, as a scheduler has room for them."""
+def by_symbol(build: DataFrame, symbols: Iterable[str], keys: Iterable[str], families: Iterable[str], folds: int,
+              function: Callable[[DataFrame, str, str], object]) -> dict[tuple[str, str], object]:
+    """``function`` of rows, symbol and family; symbols side by side, as a scheduler has room for them."""
     keys, families = list(keys), list(families)
 
-    def train(symbol: str) -> list[tuple[tuple[str, str], PipelineModel]]:
+    def run(symbol: str) -> list[tuple[tuple[str, str], object]]:
         rows = symbol_rows(build, symbol, keys, folds).persist()
         try:
-            return [((symbol, f), grid_search(rows, symbol, f, grids, folds)) for f in families]
+            return [((symbol, f), function(rows, symbol, f)) for f in families]
         finally:
             rows.unpersist()
 
     with ThreadPoolExecutor(PARALLEL_FITS) as pool:
-        return dict(pair for found in pool.map(train, symbols) for pair in found)
+        return dict(pair for found in pool.map(run, symbols) for pair in found)
+
+
+def train_all(build: DataFrame, symbols: Iterable[str], keys: Iterable[str], families: Iterable[str] = FAMILIES,
+              grids: dict = SMALL_GRIDS, folds: int = 5) -> dict[tuple[str, str], PipelineModel]:
+    """One model per symbol and family."""
+    return by_symbol(build, symbols, keys, families, folds, lambda rows, s, f: grid_search(rows, s, f, grids, folds))
+
+
+def grid_table(build: DataFrame, symbols: Iterable[str], keys: Iterable[str], families: Iterable[str] = FAMILIES,
+               grids: dict = SMALL_GRIDS, folds: int = 5) -> list[tuple[str, str, int, float]]:
+    """(symbol, family, setting, accuracy) for every setting of every grid."""
+    def score(rows: DataFrame, symbol: str, family: str) -> list[float]:
+        return grid_scores(rows, prediction_column(symbol, family), search_space(symbol, family, rows.count(), grids), folds)
+
+    found = by_symbol(build, symbols, keys, families, folds, score)
+    return [(*key, k, x) for key, scores in found.items() for k, x in enumerate(scores)]
+
+
+def nested_table(build: DataFrame, symbols: Iterable[str], keys: Iterable[str], families: Iterable[str] = FAMILIES,
+                 grids: dict = SMALL_GRIDS, folds: int = 5) -> list[tuple[str, str, int, float]]:
+    """(symbol, family, outer fold, accuracy) for every outer fold."""
+    found = by_symbol(build, symbols, keys, families, folds, lambda rows, s, f: nested_accuracy(rows, s, f, grids, folds))
+    return [(*key, k, x) for key, scores in found.items() for k, x in enumerate(scores)]
 
 
 def model_path(folder: str, symbol: str, family: str) -> str:

@@ -250,11 +250,6 @@ def _(spark, sf):
 
 KEYS = ("symbol", "dt")
 SYMBOLS = tuple(v.PRICE_SYMBOLS.values())
-TINY = {
-    "lg": {"C": (1,), "penalty": ("l2",)},
-    "svm": {"C": (1,), "gamma": (1,)},
-    "dt": {"features": ("all",), "gain": (0.001,), "depth": (5,), "criterion": ("gini",)},
-}
 
 
 def frames(spark, sf):
@@ -282,7 +277,7 @@ def _one_family(name: str, family: str) -> None:
     @query(name)
     def _(spark, sf):
         build, verify = frames(spark, sf)
-        fitted = models.train_all(build, SYMBOLS, KEYS, (family,), TINY, folds=2)
+        fitted = models.train_all(build, SYMBOLS, KEYS, (family,))
         out = models.predict_long(verify, fitted)
         return dated(out.select("symbol", "dt", "model_symbol", "family", "prediction", "Target"))
 
@@ -295,20 +290,15 @@ _one_family("m5_decision_tree", "dt")
 @query("m6_grid_search")
 def _(spark, sf):
     build, _ = frames(spark, sf)
-    rows = models.symbol_rows(build, SYMBOLS[0], KEYS, folds=3).persist()
-    space = models.search_space(SYMBOLS[0], "lg", rows.count())
-    scores = models.grid_scores(rows, models.prediction_column(SYMBOLS[0], "lg"), space, folds=3)
-    rows.unpersist()
-    return v.inline_table(spark, ("setting", "accuracy"), tuple(enumerate(scores)))
+    return v.inline_table(spark, ("symbol", "family", "setting", "accuracy"),
+                          tuple(models.grid_table(build, SYMBOLS, KEYS)))
 
 
 @query("m7_nested_accuracy")
 def _(spark, sf):
     build, _ = frames(spark, sf)
-    rows = models.symbol_rows(build, SYMBOLS[0], KEYS, folds=2).persist()
-    scores = models.nested_accuracy(rows, SYMBOLS[0], "lg", folds=2)
-    rows.unpersist()
-    return v.inline_table(spark, ("fold", "accuracy"), tuple(enumerate(scores)))
+    return v.inline_table(spark, ("symbol", "family", "fold", "accuracy"),
+                          tuple(models.nested_table(build, SYMBOLS, KEYS)))
 
 
 @query("m8_folds", sql(q.PRICES, ORDERED, select="""
@@ -335,7 +325,7 @@ def _(spark, sf):
     # the loaded models have to predict what the fitted ones do
     build, verify = frames(spark, sf)
     path = scratch_path(spark, "models")
-    fitted = models.train_all(build, SYMBOLS, KEYS, ("lg", "dt"), TINY, folds=2)
+    fitted = models.train_all(build, SYMBOLS, KEYS, ("lg", "dt"))
     models.save_models(fitted, path)
     loaded = models.load_models(path, fitted)
     key = ["symbol", "dt", "model_symbol", "family"]
@@ -348,7 +338,7 @@ def _(spark, sf):
 @query("m10_predictions_of_all_models")
 def _(spark, sf):
     build, verify = frames(spark, sf)
-    fitted = models.train_all(build, SYMBOLS, KEYS, models.FAMILIES, TINY, folds=2)
+    fitted = models.train_all(build, SYMBOLS, KEYS)
     terms = {row[0]: row[2] for row in INSTRUMENTS if row[0]}
     nested = models.predict_nested(verify, fitted, terms)
     return dated(nested.select("symbol", "dt", "Index", "Target",
@@ -379,5 +369,5 @@ def _(spark, sf):
 @query("m12_model_accuracy")
 def _(spark, sf):
     build, verify = frames(spark, sf)
-    fitted = models.train_all(build, SYMBOLS, KEYS, ("lg", "dt"), TINY, folds=2)
+    fitted = models.train_all(build, SYMBOLS, KEYS)
     return models.accuracy(models.predict_long(verify, fitted))
