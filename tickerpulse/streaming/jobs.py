@@ -14,7 +14,13 @@ from .sinks import BatchSink, fan_out
 
 def scored_stream(records: DataFrame, lexicon: Lexicon, weighted: bool = True) -> DataFrame:
     """(key, value) records to scored posts. Row-local, so it needs no state."""
-    return score_posts(usable(decode_posts(records)), lexicon, weighted)
+    return scored_and_quarantined(records, lexicon, weighted)[0]
+
+
+def scored_and_quarantined(records: DataFrame, lexicon: Lexicon, weighted: bool = True) -> tuple[DataFrame, DataFrame]:
+    """Scored posts, and the decoded records that cannot be scored; each record is in one of them."""
+    posts = decode_posts(records)
+    return score_posts(usable(posts), lexicon, weighted), quarantined(posts)
 
 
 def start_csv(scored: DataFrame, path: str, checkpoint: str, every: str | None = "30 seconds") -> StreamingQuery:
