@@ -149,6 +149,16 @@ def words_of(raw: np.ndarray, cuts: np.ndarray, lower: bool = True) -> Words:
     return Words(buf, cuts, np.searchsorted(start, cuts), start, end, code)
 
 
+def spans(inside: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(start, end, first): runs of true places that do not cross ``cuts`` (the places where texts
+    begin and end), and for every cut the number of runs before it."""
+    edge = np.zeros(len(inside) + 1, bool)
+    edge[cuts] = True
+    start = np.flatnonzero(inside & (edge[:-1] | ~np.concatenate(([False], inside[:-1]))))
+    end = np.flatnonzero(inside & (edge[1:] | ~np.concatenate((inside[1:], [False])))) + 1
+    return start, end, np.searchsorted(start, cuts)
+
+
 def word_chunks(column: pa.Array, limit: int = CHUNK_BYTES, lower: bool = True) -> Iterator[tuple[int, int, Words]]:
     for lo, hi, raw, cuts in text_chunks(column, limit):
         yield lo, hi, words_of(raw, cuts, lower)

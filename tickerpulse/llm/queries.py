@@ -9,7 +9,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, decontaminate, idfiles, packing, quality_model, repetition, toxicity, url_filter, warc
+from . import context_tree, decontaminate, idfiles, packing, quality_model, repetition, resampling, toxicity, url_filter, warc
 from .common import crc_remainder, table
 from .near_dedup import near_duplicates
 
@@ -127,3 +127,43 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_model.score(docs.select("doc_id", "text"), model)
     return scored.select("doc_id", held_out.alias("held_out"), F.col("quality_score").alias("score"),
                          (F.col("quality_score") >= 0.5).cast("int").alias("predicted"))
+
+
+@_query
+def op11_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op11_resampling"] = r"""
+with steps as materialized (
+       select list(v order by i) as t from (
+         select i, list_reduce(list_prepend(i, range(8)), lambda c, k: case when c & 1 = 1 then xor(c >> 1, 3988292384) else c >> 1 end) as v
+         from range(256) r(i))),
+     texts as (select 0 as side, doc_id, text from documents union all select 1, item_id, text from benchmark),
+     words as materialized (
+       select side, doc_id, row_number() over () as row_id,
+              regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                 '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') as w
+       from texts),
+     features as materialized (
+       select side, row_id, unnest(list_concat(w, list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]))) as f from words),
+     named as materialized (
+       select f, xor(list_reduce(list_prepend(4294967295, list_transform(range(len(hex(encode(f))) // 2),
+                       lambda i: ('0x' || substr(hex(encode(f)), 2 * i + 1, 2))::bigint)),
+                       lambda c, b: xor(t[(xor(c, b) & 255) + 1], c >> 8)), 4294967295) % 10000 as bucket
+       from (select distinct f from features), steps),
+     placed as materialized (select side, row_id, bucket from features join named using (f)),
+     counts as (select b.i as bucket, count(*) filter (where side = 0) as s, count(*) filter (where side = 1) as t
+                from range(10000) b(i) left join placed on bucket = b.i group by 1),
+     totals as (select sum(s)::bigint as all_s, sum(t)::bigint as all_t from counts),
+     gains as (select bucket, floor(1000 * ln(((t + 1)::double * (all_s + 10000)::double) / ((s + 1)::double * (all_t + 10000)::double)))::bigint as gain
+               from counts, totals),
+     weights as (select row_id, floor(sum(gain) / count(*))::bigint as weight, count(*) as n_features
+                 from placed join gains using (bucket) where side = 0 group by 1),
+     scored as (select doc_id, coalesce(n_features, 0)::bigint as n_features, coalesce(weight, 0)::bigint as weight, len(w) >= 20 as eligible,
+                       coalesce(weight, 0)::bigint + floor(-1000 * ln(-ln((('0x' || substr(sha256('7:' || coalesce(doc_id::varchar, '')), 1, 8))::bigint + 0.5::double) / 4294967296::double)))::bigint as score
+                from words left join weights using (row_id) where side = 0),
+     ranked as (select *, case when eligible then row_number() over (partition by eligible order by score desc, doc_id nulls last, n_features) end as place,
+                       (25 * count(*) filter (where eligible) over ()) // 100 as drawn from scored)
+select doc_id, n_features, weight, score, case when place <= drawn then place end as rank from ranked
+"""
