@@ -104,8 +104,10 @@ class Words(NamedTuple):
     code: np.ndarray
 
 
-def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """(from, to, bytes, cuts) for runs of texts of about ``limit`` bytes; null counts as empty."""
+def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES,
+                rows: int = CHUNK_ROWS) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """(from, to, bytes, cuts) for runs of texts of about ``limit`` bytes and at most ``rows`` texts;
+    null counts as empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     column = pc.fill_null(column.cast(pa.large_string()), "")
@@ -118,7 +120,7 @@ def text_chunks(column: pa.Array, limit: int = CHUNK_BYTES) -> Iterator[tuple[in
     lo = 0
     while lo < n:
         hi = int(np.searchsorted(offsets, offsets[lo] + limit, side="right")) - 1
-        hi = min(max(hi, lo + 1), lo + CHUNK_ROWS, n)
+        hi = min(max(hi, lo + 1), lo + rows, n)
         yield lo, hi, data[offsets[lo]:offsets[hi]], offsets[lo:hi + 1] - offsets[lo]
         lo = hi
 

@@ -9,7 +9,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import context_tree, decontaminate, idfiles, packing, quality_model, repetition, resampling, toxicity, url_filter, warc
+from . import (
+    collocations, context_tree, decontaminate, idfiles, packing, quality_model, repetition, resampling, toxicity,
+    url_filter, warc,
+)
 from .common import crc_remainder, table
 from .near_dedup import near_duplicates
 
@@ -167,3 +170,37 @@ with steps as materialized (
                        (25 * count(*) filter (where eligible) over ()) // 100 as drawn from scored)
 select doc_id, n_features, weight, score, case when place <= drawn then place end as rank from ranked
 """
+
+
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
+ORACLES["op12_collocations"] = r"""
+with pieces as materialized (
+       select lang, regexp_extract_all(piece, '[^\x20\x09]+') as w
+       from (select coalesce(lang, 'und') as lang,
+                    unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                 '[.,;:!?\x0A-\x0D]')) as piece
+             from documents)),
+     sizes as (select lang, sum(len(w))::bigint as n from pieces group by 1),
+     f as materialized (
+       select lang, m, w[i:i + m - 1] as p, count(*) as f
+       from (select lang, w, m, unnest(range(1, len(w) - m + 2)) as i from pieces, range(1, 5) t(m))
+       group by all having count(*) >= 30),
+     c as (select lang, m, p, f as a from f where m >= 2),
+     longer as (
+       select lang, p[i:i + s - 1] as p, max(a) as longer
+       from (select lang, p, a, s, unnest(range(1, m - s + 2)) as i from c, range(2, 4) t(s) where s < m)
+       group by all),
+     kept as (select c.* from c left join longer using (lang, p) where longer is null or 100 * longer < 80 * a),
+     cuts as (
+       select k.lang, k.p, k.a, n.i as k, x.f as l, y.f as r, (2000000::hugeint * k.a) // (x.f + y.f) as score
+       from kept k, range(1, 4) n(i), f x, f y
+       where n.i < k.m and x.lang = k.lang and x.p = k.p[1:n.i] and y.lang = k.lang and y.p = k.p[n.i + 1:k.m]),
+     best as (select * from cuts qualify row_number() over (partition by lang, p order by score, k) = 1),
+     ranked as (select *, array_to_string(p, ' ') as phrase,
+                       row_number() over (partition by lang order by score desc, a desc, array_to_string(p, ' ')) as rank from best)
+select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join sizes using (lang) where rank <= 2000
+"""
