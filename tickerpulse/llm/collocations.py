@@ -30,7 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import _BASE, _BYTE_CODES, mix, powers, spans, stage, text_chunks, tidy
+from .common import _BASE, _BYTE_CODES, BitSet, bit_set, mix, powers, spans, stage, text_chunks, tidy
 
 MIN_COUNT = 30
 LONGEST = 4
@@ -70,21 +70,8 @@ def _phrase_codes(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return mix(total)
 
 
-class _Bits:
-    """Which phrases may be frequent: a bit for each value that a hash can take."""
-
-    def __init__(self, words: np.ndarray):
-        self.words = words
-        self.shift = np.uint64(64 - int(len(words) * 64).bit_length() + 1)
-
-    def has(self, codes: np.ndarray) -> np.ndarray:
-        at = codes >> self.shift
-        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
-
-
-def _bits_of(phrases: DataFrame, size: int, bits: int) -> _Bits:
-    """The set of ``phrases`` (lang, phrase of ``size`` words). At most ``bits`` / 64 numbers come to the driver."""
-    shift = np.uint64(64 - bits.bit_length() + 1)
+def _bits_of(phrases: DataFrame, size: int, bits: int) -> BitSet:
+    """The set of ``phrases`` (lang, phrase of ``size`` words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -92,19 +79,12 @@ def _bits_of(phrases: DataFrame, size: int, bits: int) -> _Bits:
                 continue
             langs = batch.column("lang").dictionary_encode()
             codes = _codes(langs.dictionary)[langs.indices.to_numpy(zero_copy_only=False)]
-            words = pc.list_flatten(batch.column("words"))
-            words = words.dictionary_encode()
+            words = pc.list_flatten(batch.column("words")).dictionary_encode()
             each = _codes(words.dictionary)[words.indices.to_numpy(zero_copy_only=False)].reshape(-1, size)
-            at = np.unique(_phrase_codes(codes, list(each.T)) >> shift)
-            word, first = np.unique(at >> np.uint64(6), return_index=True)
-            mask = np.bitwise_or.reduceat(np.uint64(1) << (at & np.uint64(63)), first)
-            yield pa.RecordBatch.from_pydict({"word": pa.array(word.astype(np.int64)), "mask": pa.array(mask.view(np.int64))})
+            yield pa.RecordBatch.from_pydict({"code": pa.array(_phrase_codes(codes, list(each.T)).view(np.int64))})
 
     split = phrases.select("lang", F.split("phrase", " ").alias("words"))
-    found = split.mapInArrow(tidy(run), "word long, mask long").groupBy("word").agg(F.bit_or("mask").alias("mask")).toArrow()
-    words = np.zeros(max(bits // 64, 1), np.uint64)
-    words[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
-    return _Bits(words)
+    return bit_set(split.mapInArrow(tidy(run), "code long"), "code", bits)
 
 
 def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -118,7 +98,7 @@ def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
-def _block(langs: pa.Array, raw: np.ndarray, cuts: np.ndarray, size: int, known: _Bits | None, spread: int) -> pa.RecordBatch | None:
+def _block(langs: pa.Array, raw: np.ndarray, cuts: np.ndarray, size: int, known: BitSet | None, spread: int) -> pa.RecordBatch | None:
     """The stripes of prefixes of ``size`` words in a block of texts."""
     buf = _LOWER[raw]
     inside = ~_OUTSIDE[buf]
@@ -172,7 +152,7 @@ def _block(langs: pa.Array, raw: np.ndarray, cuts: np.ndarray, size: int, known:
         names=["lang", "prefix", "place", "next", "n"])
 
 
-def stripes(rows: DataFrame, size: int, known: _Bits | None = None, min_count: int = MIN_COUNT,
+def stripes(rows: DataFrame, size: int, known: BitSet | None = None, min_count: int = MIN_COUNT,
             spread: int | None = None) -> DataFrame:
     """Merged stripes of ``rows`` (lang, text): lang, prefix, place, total (occurrences of the prefix
     counted here, whatever follows) and next, the elements that occur ``min_count`` times."""

@@ -92,6 +92,30 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+class BitSet:
+    """A set of 64-bit hashes that holds a bit for each value of their leading bits. ``has`` may say
+    yes to others, never no to one of the set."""
+
+    def __init__(self, words: np.ndarray):
+        self.words = words
+        self.shift = np.uint64(64 - (len(words).bit_length() + 5))
+
+    def has(self, codes: np.ndarray) -> np.ndarray:
+        at = codes >> self.shift
+        return (self.words[at >> np.uint64(6)] >> (at & np.uint64(63))) & np.uint64(1) != 0
+
+
+def bit_set(df: DataFrame, column: str, bits: int) -> BitSet:
+    """The set of the hashes in a long column. ``bits`` is a power of two; at most a 64th of it in
+    numbers comes to the driver, however many rows there are."""
+    at = F.shiftrightunsigned(F.col(column), 64 - (bits.bit_length() - 1))
+    found = df.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("word")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).toArrow()
+    words = np.zeros(bits // 64, np.uint64)
+    words[found.column("word").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
+    return BitSet(words)
+
+
 class Words(NamedTuple):
     """Words of several texts. ``buf``: bytes with A-Z lower-cased; text i has ``buf[cuts[i]:cuts[i+1]]``
     and the words ``first[i]:first[i+1]``; word j is ``buf[start[j]:end[j]]`` and hashes to ``code[j]``."""

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (
-    collocations, context_tree, decontaminate, idfiles, packing, quality_model, repetition, resampling, toxicity,
+    collocations, context_tree, decontaminate, idfiles, jaccard_join, packing, quality_model, repetition, resampling, toxicity,
     url_filter, warc,
 )
 from .common import crc_remainder, table
@@ -204,3 +204,32 @@ with pieces as materialized (
                        row_number() over (partition by lang order by score desc, a desc, array_to_string(p, ' ')) as rank from best)
 select lang, rank, phrase, a, l, r, n, score::bigint as score from ranked join sizes using (lang) where rank <= 2000
 """
+
+
+@_query
+def op13_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_jaccard_join"] = r"""
+with recursive words as materialized (
+       select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                         '[^\x20\x09-\x0D]+') as w
+       from documents),
+     shingles as materialized (
+       select distinct doc_id, w[i:i + least(3, len(w)) - 1] as s
+       from (select doc_id, w, unnest(range(1, greatest(len(w) - 1, least(len(w), 1) + 1))) as i from words)),
+     sizes as materialized (select doc_id, count(*) as n from shingles group by 1),
+     common as (
+       select x.doc_id as a, y.doc_id as b, count(*) as c
+       from shingles x join shingles y on x.s = y.s and x.doc_id > y.doc_id group by all),
+     links as materialized (
+       select a, b from common join sizes m on m.doc_id = a join sizes n on n.doc_id = b
+       where 100 * c >= 90 * (m.n + n.n - c)),
+     reach as (
+       select doc_id, doc_id as r from words
+       union
+       select e.x, r from reach join (select a as x, b as y from links union all select b, a from links) e on e.y = reach.doc_id)
+select words.doc_id, coalesce(n, 0)::bigint as n_shingles, min(r) as component_id
+from words left join sizes using (doc_id) join reach using (doc_id) group by words.doc_id, n
+"""
