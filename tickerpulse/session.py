@@ -64,6 +64,14 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_dir(spark), f"{name}-{uuid.uuid4().hex}")
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Python workers find this package where the driver runs it from, if it is not installed."""
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    paths = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in paths:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, paths)])
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to reliable storage once so later branches do not recompute it."""
     spark = df.sparkSession

@@ -9,7 +9,7 @@ from tickerpulse.operators import dashboards as D
 from tickerpulse.operators import enrich as J
 from tickerpulse.operators import indicators as I
 from tickerpulse.operators import rollup
-from tickerpulse.plans import models, training
+from tickerpulse.plans import classifiers, joint, models, training
 from tickerpulse.schemas import INSTRUMENTS, struct_of
 from tickerpulse.session import cut_lineage, scratch_path
 from tickerpulse.sources import files
@@ -273,12 +273,30 @@ def _(spark, sf):
                          F.round(x[0], 6).alias("close"), F.round(x[1], 6).alias("volume"))
 
 
+M2_COLUMNS = ("close", "volume")
+
+
+@query("m2_scaling_per_fold", sql(q.PRICES, ORDERED, """placed AS (SELECT *, CAST(rn % 5 AS BIGINT) AS fold FROM numbered),
+folds AS (SELECT DISTINCT symbol, fold FROM placed),
+ranges AS (
+  SELECT f.symbol, f.fold AS without, min(close) AS lo_c, max(close) AS hi_c, min(volume) AS lo_v, max(volume) AS hi_v
+  FROM folds f JOIN placed p ON p.symbol = f.symbol AND p.fold <> f.fold GROUP BY 1, 2)""", select="""
+  SELECT p.symbol, CAST(dt AS VARCHAR) AS dt, fold, without, round((close - lo_c) / (hi_c - lo_c), 6) AS close,
+    round((volume - lo_v) / CAST(hi_v - lo_v AS DOUBLE), 6) AS volume
+  FROM placed p JOIN ranges r ON r.symbol = p.symbol"""))
+def _(spark, sf):
+    placed = cut_lineage(I.with_index(v.prices(spark, sf)).select(
+        "symbol", "dt", *M2_COLUMNS, (F.col("Index") % 5).cast("bigint").alias("fold")))
+    out = joint.scaled_per_fold(placed, "symbol", "fold", M2_COLUMNS)
+    return dated(out.select("symbol", "dt", "fold", "without", *[F.round(c, 6).alias(c) for c in M2_COLUMNS]))
+
+
 def _one_family(name: str, family: str) -> None:
     @query(name)
     def _(spark, sf):
         build, verify = frames(spark, sf)
-        fitted = models.train_all(build, SYMBOLS, KEYS, (family,))
-        out = models.predict_long(verify, fitted)
+        fitted = classifiers.train_all(build, KEYS, (family,), SYMBOLS)
+        out = classifiers.predict_long(verify, fitted)
         return dated(out.select("symbol", "dt", "model_symbol", "family", "prediction", "Target"))
 
 
@@ -291,14 +309,14 @@ _one_family("m5_decision_tree", "dt")
 def _(spark, sf):
     build, _ = frames(spark, sf)
     return v.inline_table(spark, ("symbol", "family", "setting", "accuracy"),
-                          tuple(models.grid_table(build, SYMBOLS, KEYS)))
+                          tuple(classifiers.grid_table(build, KEYS, symbols=SYMBOLS)))
 
 
 @query("m7_nested_accuracy")
 def _(spark, sf):
     build, _ = frames(spark, sf)
-    return v.inline_table(spark, ("symbol", "family", "fold", "accuracy"),
-                          tuple(models.nested_table(build, SYMBOLS, KEYS)))
+    return v.inline_table(spark, ("symbol", "family", "fold", "setting", "accuracy"),
+                          tuple(classifiers.nested_table(build, KEYS, symbols=SYMBOLS)))
 
 
 @query("m8_folds", sql(q.PRICES, ORDERED, select="""
@@ -317,7 +335,7 @@ def _(spark, sf):
 
 
 @query("m9_saved_models", sql(*FRAME_CTES, f"""models AS (
-  SELECT symbol AS model_symbol, family FROM (SELECT DISTINCT symbol FROM prices), (VALUES ('lg'), ('dt')) AS f(family)),
+  SELECT symbol AS model_symbol, family FROM (SELECT DISTINCT symbol FROM prices), (VALUES ('lg'), ('svm'), ('dt')) AS f(family)),
 verify AS (SELECT count(*) AS n FROM labelled WHERE dt >= DATE '{VERIFY[0]}' AND dt < DATE '{VERIFY[1]}')""",
     recursive=True, select="""
   SELECT model_symbol, family, CAST(n AS BIGINT) AS n, CAST(n AS BIGINT) AS same FROM models, verify"""))
@@ -325,12 +343,12 @@ def _(spark, sf):
     # the loaded models have to predict what the fitted ones do
     build, verify = frames(spark, sf)
     path = scratch_path(spark, "models")
-    fitted = models.train_all(build, SYMBOLS, KEYS, ("lg", "dt"))
-    models.save_models(fitted, path)
-    loaded = models.load_models(path, fitted)
+    fitted = classifiers.train_all(build, KEYS, symbols=SYMBOLS)
+    classifiers.save_models(spark, fitted, path)
+    loaded = classifiers.load_models(spark, path)
     key = ["symbol", "dt", "model_symbol", "family"]
-    before = models.predict_long(verify, fitted).select(*key, "prediction")
-    after = models.predict_long(verify, loaded).select(*key, F.col("prediction").alias("again"))
+    before = classifiers.predict_long(verify, fitted).select(*key, "prediction")
+    after = classifiers.predict_long(verify, loaded).select(*key, F.col("prediction").alias("again"))
     return before.join(after, key).groupBy("model_symbol", "family").agg(
         F.count(F.lit(1)).alias("n"), F.count_if(F.col("prediction") == F.col("again")).alias("same"))
 
@@ -338,9 +356,9 @@ def _(spark, sf):
 @query("m10_predictions_of_all_models")
 def _(spark, sf):
     build, verify = frames(spark, sf)
-    fitted = models.train_all(build, SYMBOLS, KEYS)
+    fitted = classifiers.train_all(build, KEYS, symbols=SYMBOLS)
     terms = {row[0]: row[2] for row in INSTRUMENTS if row[0]}
-    nested = models.predict_nested(verify, fitted, terms)
+    nested = classifiers.predict_nested(verify, fitted, terms)
     return dated(nested.select("symbol", "dt", "Index", "Target",
                                F.to_json("stock_predictions").alias("stock_predictions")))
 
@@ -369,5 +387,5 @@ def _(spark, sf):
 @query("m12_model_accuracy")
 def _(spark, sf):
     build, verify = frames(spark, sf)
-    fitted = models.train_all(build, SYMBOLS, KEYS)
-    return models.accuracy(models.predict_long(verify, fitted))
+    fitted = classifiers.train_all(build, KEYS, symbols=SYMBOLS)
+    return models.accuracy(classifiers.predict_long(verify, fitted))
