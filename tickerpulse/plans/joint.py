@@ -73,7 +73,8 @@ def scale(value: Column, lo: Column, hi: Column) -> Column:
 def scaled_per_fold(rows: DataFrame, key: str, fold: str, columns: Sequence[str]) -> DataFrame:
     """Each row once for every fold of its symbol (``without``), its columns scaled by the rows of the
     symbol outside that fold. One pass finds the extremes of each (symbol, fold); those of the rest of
-    a symbol are put together from these few rows and joined back by symbol."""
+    a symbol are put together from these few rows and joined back by symbol. A symbol with one fold has
+    no other rows and does not come out."""
     cells = extremes(rows, [key, fold], columns)
     others = cells.select(key, F.col(fold).alias("without")).join(cells, key).where(F.col("without") != F.col(fold))
     around = others.groupBy(key, "without").agg(

@@ -22,8 +22,8 @@ from .joint import Batch, Problem, Scores, Subset, held_out, held_out_counts, in
 
 LANDMARKS = 64
 ROUNDED = 0.25
-PASSES = 80
-TOLERANCE = 1e-3  # share of a model's values by which a last step may change them
+PASSES = 60
+TOLERANCE = 3e-3  # share of a model's values by which a last step may change them
 MEMORY = 8
 FLOOR = 1e-10  # of the eigenvalues among the landmarks, relative to the largest
 
