@@ -17,8 +17,8 @@ in at most (n + m) * (1 - t) / (1 + t) elements, t being the similarity. The ste
    connected with the pivot has a larger delta than it may differ from any other, so it shares
    elements of the delta with whatever it is linked to. Elements that only one component has cannot be
    shared with another; in the order of (several components, rarity), linked members share one of the
-   first elements, as many as the larger delta may differ plus one, or half as many for the smaller. Only
-   members with such an element in common, in different components, are compared, by their deltas.
+   first elements of both deltas (``_first_elements`` says how many). Only members with such an
+   element in common, in different components, are compared, by their deltas.
 
 So every pair at the threshold is compared, or known to be connected by links that hold, and neither
 copies nor members of a group are written out as pairs of all with all. Shared signatures are entered in a set
@@ -203,8 +203,14 @@ def _stars(members: DataFrame, sets: DataFrame, similarity: tuple[int, int]) ->
 
 
 def _first_elements(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """(pivot, element, cls, n, root, d, outside, indexed): the elements of the deltas by which members
-    of different components have to be found; ``indexed`` those that count for the smaller delta."""
+    """(pivot, element, cls, n, root, d, outside, at, indexed): the elements of the deltas by which members
+    of different components have to be found, with their places in the order; ``indexed`` those that
+    count where a member has the smaller delta.
+
+    Two linked members with deltas of d and e share more than (d + e - t) / 2 - 1 elements, if they may
+    differ in t. One of them lies outside its pivot's component, so its delta is larger than t and they share more
+    than half of the other's. Two sets that share s elements have one in common among the first
+    d - s + 1 of the one and e - s + 1 of the other."""
     each = placed.select("pivot", "cls", "n", "root", "outside", F.size("delta").alias("d"), F.explode("delta").alias("element"))
     lists = each.groupBy("pivot", "element").agg(F.count("*").alias("df"), F.min("root").alias("a"), F.max("root").alias("b"))
     mixed = lists.where("a <> b").select("pivot", "element", "df")
@@ -213,13 +219,16 @@ def _first_elements(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame
         F.sort_array(F.collect_list(F.struct("df", "element"))).alias("rare"))
     num, den = similarity
     most = F.floor(F.col("n") * (den - num) / num)  # a set of size n may differ from any other in so many
+    half = F.ceil(F.col("d") / 2)
     alone = F.col("d") - F.size("rare")  # elements of one component come first
-    bigger, smaller = most + 1 - alone, F.floor(most / 2) + 1 - alone
-    listed = own.withColumn("smaller", smaller).select(
-        "pivot", "cls", "n", "root", "outside", "d", "smaller",
-        F.posexplode(F.slice("rare", F.lit(1), F.greatest(F.lit(0), bigger).cast("int"))).alias("at", "r"))
-    return listed.select("pivot", F.col("r.element").alias("element"), "cls", "n", "root", "outside", "d",
-                         (F.col("at") < F.col("smaller")).alias("indexed"))
+    bigger = F.when(F.col("outside"), most + 1).otherwise(half)
+    smaller = F.least(half, F.floor(most / 2) + 1)
+    reach = F.greatest(F.lit(0), F.greatest(bigger, smaller) - alone).cast("int")
+    listed = own.select("pivot", "cls", "n", "root", "outside", "d", alone.alias("alone"), bigger.alias("bigger"), smaller.alias("smaller"),
+                        F.posexplode(F.slice("rare", F.lit(1), reach)).alias("i", "r"))
+    at = F.col("alone") + F.col("i")
+    return listed.select("pivot", F.col("r.element").alias("element"), "cls", "n", "root", "outside", "d", at.alias("at"),
+                         (at < F.col("bigger")).alias("probing"), (at < F.col("smaller")).alias("indexed"))
 
 
 def _late_links(stars: DataFrame, groups: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -233,14 +242,16 @@ def _late_links(stars: DataFrame, groups: DataFrame, similarity: tuple[int, int]
     first = stage(_first_elements(placed, similarity), "elements")
 
     def renamed(df: DataFrame, x: str) -> DataFrame:
-        return df.select("pivot", "element", *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "root", "d")])
+        return df.select("pivot", "element", *[F.col(c).alias(f"{c}_{x}") for c in ("cls", "n", "root", "d", "at")])
 
     def met(big: DataFrame, small: DataFrame) -> DataFrame:
         sizes = F.col("n_a") + F.col("n_b")
-        return renamed(big, "a").join(renamed(small.where("indexed"), "b"), ["pivot", "element"]).where(
+        most = F.floor(sizes * (similarity[1] - similarity[0]) / sum(similarity))
+        common = F.greatest(F.lit(1), F.ceil((F.col("d_a") + F.col("d_b") - most) / 2))
+        return renamed(big.where("probing"), "a").join(renamed(small.where("indexed"), "b"), ["pivot", "element"]).where(
             (F.col("root_a") != F.col("root_b")) & (F.col("d_a") >= F.col("d_b"))
             & (F.least("n_a", "n_b") * similarity[1] >= F.greatest("n_a", "n_b") * similarity[0])
-            & _linked(sizes, F.col("d_a") - F.col("d_b"), similarity)).select("pivot", "cls_a", "cls_b")
+            & (F.col("at_a") <= F.col("d_a") - common) & (F.col("at_b") <= F.col("d_b") - common)).select("pivot", "cls_a", "cls_b")
 
     pairs = met(first.where("outside"), first).unionByName(met(first.where("not outside"), first.where("outside"))).distinct()
     deltas = placed.select("pivot", "cls", "n", "delta")
