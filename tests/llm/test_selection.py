@@ -152,8 +152,9 @@ def _phrased(seed, docs):
 
 
 @pytest.mark.parametrize("bits, spread, parts", [(1 << 16, 3, 1), (64, 1, 4)])
-def test_collocations_against_plain_python(spark, bits, spread, parts):
-    """With 64 bits, the set of frequent phrases rules nothing out."""
+def test_collocations_against_plain_python(spark, bits, spread, parts, monkeypatch):
+    """With 64 bits, the set of frequent phrases rules nothing out. All stripes are dealt to places."""
+    monkeypatch.setattr(collocations, "HOT", 10**9)
     docs = [(i, t, None) for i, t in ODD] + _phrased(3, 300) + [(9, "same words here again", "en")] * 40
     got = collocations.collocations(_docs(spark, docs, parts), min_count=5, top=40, bits=bits, spread=spread)
     assert sorted(map(tuple, got.select("lang", "rank", "phrase", "a", "l", "r", "n", "score").collect())) == _collocations(docs, 5, 40)
@@ -166,16 +167,16 @@ def test_collocations_of_nothing(spark):
 
 def test_small_blocks_and_long_texts(spark, monkeypatch):
     docs = _phrased(4, 60) + [(7, "one two three. " * 500, "en")]
-    made = []
+    made, everything, hot = [], BitSet(np.full(2, 2**64 - 1, np.uint64)), np.zeros(0, np.uint64)
     for limit in (1, 1 << 20):
         monkeypatch.setattr(collocations, "BLOCK_BYTES", limit)
         rows = pa.table({"lang": [d[2] or "und" for d in docs], "text": [d[1] for d in docs]}).to_batches()[0]
         total = collections.Counter()
         for lo, hi, raw, cuts in collocations.text_chunks(rows.column("text"), limit, 1 << 14):
-            block = collocations._block(rows.column("lang").slice(lo, hi - lo), raw, cuts, 2, None, 5)
+            block = collocations._block(rows.column("lang").slice(lo, hi - lo), raw, cuts, 2, everything, hot, 5)
             for r in block.to_pylist() if block else []:
-                for word, n in zip(r["next"], r["n"]):
-                    total[r["lang"], r["prefix"], r["place"], word] += n
+                for word, n in zip(r["next"].split(" "), r["n"].split(" ")):
+                    total[r["lang"], r["prefix"], r["place"], word] += int(n)
         made.append(total)
     assert made[0] == made[1]
 

@@ -1,7 +1,7 @@
 """Phrases of two to four words whose parts belong together, by stripes.
 
-A stripe belongs to a prefix of one to three words and counts the words that come next. Three passes
-over the texts make the stripes of prefixes of one, two and three words. A task adds up the stripes
+A stripe belongs to a prefix of one to three words and counts the words that come next. A first pass
+over the texts counts words, three more make the stripes of prefixes of one, two and three words. A task adds up the stripes
 of a block of text and sends each as one row; the rows of a prefix are merged element by element. One
 structure then holds everything: its elements are the phrases and their frequencies, the sum over a
 stripe is the frequency of the prefix, and the largest elements of the stripes before and around a
@@ -11,8 +11,9 @@ phrase tell whether a longer phrase takes its place.
   frequent phrases found so far are entered in a set of ``BITS`` bits, which every task gets. What is
   not in it cannot grow into a frequent phrase and counts as the rest of its stripe, so sums remain
   exact. The set never grows; when it fills up, it lets more through, and counts decide as before.
-* A stripe is dealt to ``spread`` places by the next word, so the stripe of a word that makes up a large part of
-  all text is merged by many tasks. Sums and maxima over the places combine before they are sent.
+* The stripe of a prefix that is more than a ``HOT``-th part of all text (there are fewer than
+  ``HOT`` of them) is dealt to ``spread`` places by the next word and merged by many tasks. Sums and
+  maxima over the places combine before they are sent.
 * If a phrase lies in a longer one, it lies in one that is a single word longer and at least as
   frequent. So neighbours by one word decide about all longer ones.
 * The best phrases of a language are found per language and hashed group first, then among these.
@@ -22,7 +23,7 @@ Words are told apart by their text, never by hashes; only the set of bits is has
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ BITS = 1 << 26
 BLOCK_BYTES = 1 << 22
 BLOCK_ROWS = 1 << 14
 GROUPS = 256
+HOT = 1000
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -70,8 +72,8 @@ def _phrase_codes(lang: np.ndarray, words: list[np.ndarray]) -> np.ndarray:
     return mix(total)
 
 
-def _bits_of(phrases: DataFrame, size: int, bits: int) -> BitSet:
-    """The set of ``phrases`` (lang, phrase of ``size`` words)."""
+def _coded(phrases: DataFrame, size: int) -> DataFrame:
+    """The hashes (code) of ``phrases`` (lang, phrase of ``size`` words)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -84,7 +86,7 @@ def _bits_of(phrases: DataFrame, size: int, bits: int) -> BitSet:
             yield pa.RecordBatch.from_pydict({"code": pa.array(_phrase_codes(codes, list(each.T)).view(np.int64))})
 
     split = phrases.select("lang", F.split("phrase", " ").alias("words"))
-    return bit_set(split.mapInArrow(tidy(run), "code long"), "code", bits)
+    return split.mapInArrow(tidy(run), "code long")
 
 
 def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -98,8 +100,9 @@ def _grouped(*columns: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return order, np.flatnonzero(new)
 
 
-def _block(langs: pa.Array, raw: np.ndarray, cuts: np.ndarray, size: int, known: BitSet | None, spread: int) -> pa.RecordBatch | None:
-    """The stripes of prefixes of ``size`` words in a block of texts."""
+def _block(langs: pa.Array, raw: np.ndarray, cuts: np.ndarray, size: int, known: BitSet, hot: np.ndarray,
+           spread: int) -> pa.RecordBatch | None:
+    """The stripes of prefixes of ``size`` words in a block of texts; without a size, its words and their counts."""
     buf = _LOWER[raw]
     inside = ~_OUTSIDE[buf]
     start, end, first = spans(inside, cuts)
@@ -111,6 +114,12 @@ def _block(langs: pa.Array, raw: np.ndarray, cuts: np.ndarray, size: int, known:
     word = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
     names = langs.dictionary_encode()
     lang = np.repeat(names.indices.to_numpy(zero_copy_only=False).astype(np.int64), np.diff(first))
+    if not size:
+        key = lang * len(words.dictionary) + word
+        key, n = np.unique(key, return_counts=True)
+        return pa.RecordBatch.from_arrays([
+            names.dictionary.take(pa.array(key // len(words.dictionary))).cast(pa.string()),
+            words.dictionary.take(pa.array(key % len(words.dictionary))).cast(pa.string()), pa.array(n)], names=["lang", "word", "n"])
     # runs: how many words from here on lie in the same piece
     marks = np.concatenate(([0], np.cumsum(_CUTS[buf])))
     last = np.ones(n, bool)
@@ -121,13 +130,12 @@ def _block(langs: pa.Array, raw: np.ndarray, cuts: np.ndarray, size: int, known:
     code = _codes(words.dictionary)
     at = np.flatnonzero(left >= size)
     followed = left[at] > size
-    if known is not None:
-        lang_code = _codes(names.dictionary)[lang]
-        padded = np.concatenate((code[word], np.zeros(size, np.uint64)))
-        seen = known.has(_phrase_codes(lang_code, [padded[i:n + i] for i in range(size)])) & (left >= size)
-        keep = seen[at]
-        at, followed = at[keep], followed[keep]
-        followed &= seen[np.minimum(at + 1, n - 1)]
+    padded = np.concatenate((code[word], np.zeros(size, np.uint64)))
+    phrase = _phrase_codes(_codes(names.dictionary)[lang], [padded[i:n + i] for i in range(size)])
+    seen = known.has(phrase) & (left >= size)
+    keep = seen[at]
+    at, followed = at[keep], followed[keep]
+    followed &= seen[np.minimum(at + 1, n - 1)]
     if not len(at):
         return None
     prefix = lang[at]
@@ -138,41 +146,55 @@ def _block(langs: pa.Array, raw: np.ndarray, cuts: np.ndarray, size: int, known:
     order, heads = _grouped(prefix, after)
     count = np.diff(np.append(heads, len(order)))
     prefix, after, at = prefix[order][heads], after[order][heads], at[order][heads]
-    place = np.where(after >= 0, (code[after] % np.uint64(spread)).astype(np.int64), 0)
+    dealt = (after >= 0) & np.isin(phrase[at], hot)
+    place = np.where(dealt, (code[after] % np.uint64(spread)).astype(np.int64), 0)
     order, heads = _grouped(prefix, place)
     one = at[order][heads]
     strings = [words.dictionary.take(pa.array(word[one + i])) for i in range(size)]
     joined = strings[0] if size == 1 else pc.binary_join_element_wise(*strings, pa.scalar(" ", pa.large_string()))
     following = after[order]
     ends = pa.array(np.append(heads, len(order)).astype(np.int32))
-    following = words.dictionary.take(pa.array(following, mask=following < 0))
+    following = pc.fill_null(words.dictionary.take(pa.array(following, mask=following < 0)), "").cast(pa.string())
     return pa.RecordBatch.from_arrays([
         names.dictionary.take(pa.array(lang[one])).cast(pa.string()), joined.cast(pa.string()), pa.array(place[order][heads].astype(np.int32)),
-        pa.ListArray.from_arrays(ends, following.cast(pa.string())), pa.ListArray.from_arrays(ends, pa.array(count[order]))],
+        pc.binary_join(pa.ListArray.from_arrays(ends, following), " "),
+        pc.binary_join(pa.ListArray.from_arrays(ends, pa.array(count[order]).cast(pa.string())), " ")],
         names=["lang", "prefix", "place", "next", "n"])
 
 
-def stripes(rows: DataFrame, size: int, known: BitSet | None = None, min_count: int = MIN_COUNT,
-            spread: int | None = None) -> DataFrame:
-    """Merged stripes of ``rows`` (lang, text): lang, prefix, place, total (occurrences of the prefix
-    counted here, whatever follows) and next, the elements that occur ``min_count`` times."""
-    spark = rows.sparkSession
-    spread = spread or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    held = None if known is None else spark.sparkContext.broadcast(known)
-
+def _in_blocks(rows: DataFrame, make: Callable[[pa.Array, np.ndarray, np.ndarray], pa.RecordBatch | None], schema: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = None if held is None else held.value
         for batch in batches:
             for lo, hi, raw, cuts in text_chunks(batch.column("text"), BLOCK_BYTES, BLOCK_ROWS):
-                made = _block(batch.column("lang").slice(lo, hi - lo), raw, cuts, size, bits, spread)
+                made = make(batch.column("lang").slice(lo, hi - lo), raw, cuts)
                 if made is not None:
                     yield made
 
-    sent = rows.mapInArrow(tidy(run), "lang string, prefix string, place int, next array<string>, n array<long>")
+    return rows.mapInArrow(tidy(run), schema)
+
+
+def words(rows: DataFrame) -> DataFrame:
+    """lang, phrase and a: every word of ``rows`` (lang, text) and how often it occurs."""
+    made = _in_blocks(rows, lambda langs, raw, cuts: _block(langs, raw, cuts, 0, None, None, 1), "lang string, word string, n long")
+    return made.groupBy("lang", F.col("word").alias("phrase")).agg(F.sum("n").alias("a"))
+
+
+def stripes(rows: DataFrame, size: int, known: BitSet, hot: np.ndarray, min_count: int = MIN_COUNT,
+            spread: int | None = None) -> DataFrame:
+    """Merged stripes of ``rows`` (lang, text): lang, prefix, place, total (occurrences of the prefix
+    counted here, whatever follows) and next, the elements that occur ``min_count`` times. ``known``
+    are the frequent phrases of ``size`` words, ``hot`` the hashes of those that are dealt to places."""
+    spark = rows.sparkSession
+    spread = spread or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    held = spark.sparkContext.broadcast(known)
+    sent = _in_blocks(rows, lambda langs, raw, cuts: _block(langs, raw, cuts, size, held.value, hot, spread),
+                      "lang string, prefix string, place int, next string, n string")
     key = ["lang", "prefix", "place"]
-    elements = (sent.repartition(*key).select(*key, F.inline(F.arrays_zip("next", "n")))
-                .groupBy(*key, "next").agg(F.sum("n").alias("n")))
-    frequent = F.collect_list(F.when(F.col("next").isNotNull() & (F.col("n") >= min_count), F.struct("next", "n")))
+    # words hold no blanks, so a stripe travels as two texts; the rest is the empty word
+    split = sent.repartition(*key).select(*key, F.split("next", " ").alias("next"), F.split("n", " ").alias("n"))
+    elements = split.select(*key, F.inline(F.arrays_zip("next", "n"))).groupBy(*key, "next").agg(
+        F.sum(F.col("n").cast("long")).alias("n"))
+    frequent = F.collect_list(F.when((F.col("next") != "") & (F.col("n") >= min_count), F.struct("next", "n")))
     return elements.groupBy(*key).agg(F.sum("n").alias("total"), frequent.alias("next"))
 
 
@@ -224,15 +246,19 @@ def collocations(docs: DataFrame, min_count: int = MIN_COUNT, longest: int = LON
     phrase. A language without frequent phrases does not come out, nor does an empty table.
     """
     rows = docs.select(F.coalesce("lang", F.lit("und")).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
-    made, known = [], None
+    counted = stage(words(rows), "words")
+    all_words = counted.groupBy("lang").agg(F.sum("a").alias("n"))
+    often = (all_words.agg(F.sum("n")).first()[0] or 0) // HOT
+    made, frequent = [], counted.where(F.col("a") >= min_count)
+    totals = frequent
     for size in range(1, longest):
-        made.append(stage(stripes(rows, size, known, min_count, spread), f"stripes-{size}"))
-        if size < longest - 1:
-            known = _bits_of(_phrases(made[-1]), size + 1, bits)
-    all_words = made[0].groupBy("lang").agg(F.sum("total").alias("n"))
-    totals = made[0].groupBy("lang", "prefix").agg(F.sum("total").alias("f")).where(F.col("f") >= min_count)
+        known = bit_set(_coded(frequent, size), "code", bits)
+        # a word more often than every HOT-th: fewer than HOT of them, and of longer phrases
+        hot = _coded(frequent.where(F.col("a") > often), size).toArrow().column("code").to_numpy().view(np.uint64)
+        made.append(stage(stripes(rows, size, known, hot, min_count, spread), f"stripes-{size}"))
+        frequent = _phrases(made[-1])
     by_size = [_phrases(m).withColumn("size", F.lit(size)) for size, m in enumerate(made, 2)]
-    counts, candidates, longer = totals.toDF("lang", "phrase", "a"), None, None
+    counts, candidates, longer = totals.select("lang", "phrase", "a"), None, None
     for i, found in enumerate(by_size):
         candidates = found if candidates is None else candidates.unionByName(found)
         if i + 1 < len(made):
