@@ -139,6 +139,48 @@ def test_parts_of_a_text(text):
         assert own.encode(text) == np.array(want, "<u4").tobytes()
 
 
+SPECIAL = ("<|endoftext|>", "<|startoftext|>")
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.sampled_from([*SPECIAL, "<|endoftext", "|>", " ", "  ", "a", "A b", "é.", "\n", "don't", "<|", "9 "]), max_size=12),
+       st.sampled_from([3, 1 << 20]))
+def test_special_strings_as_the_untouched_tokenizer_takes_them(parts, piece):
+    from tokenizers import Tokenizer
+
+    text, before = "".join(parts), tokens.PIECE
+    tokens.PIECE = piece
+    try:
+        for name in ("byte_bpe_50k.json", "word_bpe_49k.json"):
+            path = tokenizer_file(name)
+            if path not in untouched:
+                untouched[path] = Tokenizer.from_file(path)
+            want = untouched[path].encode(text, add_special_tokens=False).ids
+            assert tokens.encoder(path).encode(text) == np.array(want, "<u4").tobytes()
+    finally:
+        tokens.PIECE = before
+
+
+untouched = {}
+
+
+@pytest.mark.parametrize("share", [0.2, 0.5, 0.8])
+def test_prior_is_found_without_bad_texts(share):
+    """The share of good rows among the unlabelled ones, from trusted ones alone."""
+    rng = np.random.default_rng(5)
+    width = quality_model.SHAPES + quality_model.EXTRA
+
+    def drawn(n, shift):
+        x = rng.normal(0, 1, (n, width))
+        x[:, :40] += shift
+        return x
+
+    web = np.concatenate([drawn(int(4000 * share), 1.0), drawn(4000 - int(4000 * share), -1.0)])
+    web = rng.permutation(web).astype(np.float32)
+    assert abs(quality_model.estimate_prior(drawn(2000, 1.0).astype(np.float32), web) - share) < 0.06
+    assert quality_model.estimate_prior(web[:2], web) == 0.5
+
+
 def test_long_text(monkeypatch):
     monkeypatch.setattr(tokens, "PIECE", 50)
     own = tokens.encoder(tokenizer_file("byte_bpe_50k.json"))

@@ -66,7 +66,6 @@ def _encode(name, text):
 
     if name not in _encode.held:
         _encode.held[name] = Tokenizer.from_file(queries.tokenizer_file(name))
-        _encode.held[name].encode_special_tokens = True
     return _encode.held[name].encode(text, add_special_tokens=False).ids
 
 

@@ -2,7 +2,8 @@
 
 Byte-level and word BPE vocabularies never merge across certain places of a text: before a blank that
 a visible character follows, and between letters or digits and signs. A text of plain letters, digits
-and signs is split at all of these, any other only before blanks. The ids of the parts, joined, are
+and signs is split at all of these, any other only before blanks. The strings of special tokens are cut out
+of the text first, as the tokenizer does, and stand for their ids. The ids of the parts, joined, are
 the ids of the text (the tests compare both). Parts recur far more often than they differ: each is
 encoded once per worker and afterwards looked up.
 """
@@ -51,10 +52,24 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
         self.parts = _Parts(self.tokenizer)
+        added = list(self.tokenizer.get_added_tokens_decoder().values())
+        names = sorted((re.escape(t.content) for t in added), key=len, reverse=True)
+        self.special = re.compile(f"({'|'.join(names)})") if names else None
+        # tokens that look at or change their surroundings: such texts are left whole
+        self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added)
 
     def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        if self.special and self.special.search(text):
+            if not self.plain:
+                return self.parts.__missing__(text)
+            pieces = self.special.split(text)
+            return b"".join(self.parts[x] if i % 2 else self._between(x) for i, x in enumerate(pieces))
+        return self._between(text)
+
+    def _between(self, text: str) -> bytes:
         if not text:
             return b""
         if len(text) <= PIECE:
