@@ -38,13 +38,24 @@ def with_columns(df: DataFrame, **kinds: DataType) -> StructType:
     return StructType([*df.schema.fields, *[StructField(name, kind) for name, kind in kinds.items()]])
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int) -> DataFrame:
+def labelled_sample(docs: DataFrame, labels: DataFrame, rows: int, rules: dict[str, Callable] | None = None,
+                    keep: Column | None = None) -> DataFrame:
     """``docs`` (doc_id, text) that carry one of at most ``rows`` labels, picked by a hash of the id,
-    with the columns of ``labels``. That bound is what allows the broadcast. Documents that repeat an
-    id come along; ids without a document are lost."""
-    order = [F.xxhash64("doc_id"), F.col("doc_id")]
-    picked = labels.where("doc_id is not null").dropDuplicates(["doc_id"]).orderBy(*order).limit(rows)
-    return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+    with the columns of ``labels`` that ``rules`` names. That bound is what allows the broadcast. An id
+    with several labels counts with what its rule (an aggregate function) makes of them, in whatever
+    order they come, and only if ``keep`` holds for that. Documents that repeat an id come along; ids
+    without a document are lost. Ids are compared only below a hash that leaves some four times ``rows`` of them."""
+    rules = rules or {}
+    known = labels.where("doc_id is not null").select("doc_id", *rules, F.xxhash64("doc_id").alias("_hash"))
+    total = known.count()
+    share = 4 * rows / total if total > 8 * rows else 1.0
+    while True:
+        low = known if share >= 1 else known.where(F.col("_hash") < int(-(2**63) + 2**64 * share))
+        single = low.groupBy("_hash", "doc_id").agg(*[f(c).alias(c) for c, f in rules.items()]) if rules else low.distinct()
+        picked = (single if keep is None else single.where(keep)).orderBy("_hash", "doc_id").limit(rows).drop("_hash")
+        if share >= 1 or picked.count() == rows:
+            return docs.select("doc_id", "text").join(F.broadcast(picked), "doc_id")
+        share *= 4
 
 
 def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) -> Callable:

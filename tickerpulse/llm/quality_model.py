@@ -16,6 +16,7 @@ scored inside its row, with no shuffle.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -32,6 +33,7 @@ UNLABELLED = 8_000
 SHAPES = 1 << 10
 EXTRA = 8
 STEPS = 300
+BIN_RISK, BIN_WEIGHT = 0.1, 0.01  # of the bound by which the prior is read off
 HIDDEN = 16
 
 # Character classes: 0 blank, 1 lower case, 2 upper case, 3 digit, 4 beyond ASCII, 5 line end,
@@ -148,10 +150,21 @@ def fit(good: np.ndarray, web: np.ndarray, prior: float, steps: int = STEPS, see
     return Model(mean, scale, p[0], p[1], p[2], float(p[3][0]), 1.0, 0.0)
 
 
-def estimate_prior(labels: DataFrame) -> float:
-    """Share of good texts among the labelled ones (one is added to either side)."""
-    row = labels.where("quality is not null").agg(F.sum(F.col("quality").cast("double")), F.count("*")).first()
-    return ((row[0] or 0.0) + 1.0) / (row[1] + 2.0)
+def estimate_prior(good: np.ndarray, web: np.ndarray) -> float:
+    """Share of good texts among ``web``, from trusted ``good`` ones alone. A model fitted on half of
+    both ranks the other halves. Above a place in that ranking where hardly any bad text is left, web
+    texts are as frequent as good ones times that share; the place is the one with the lowest upper
+    confidence bound (Garg et al. 2021, best bin estimation). Without texts to rank it is a half."""
+    if min(len(good), len(web)) < 4:
+        return 0.5
+    model = fit(good[::2], web[::2], 0.5)
+    p, u = np.sort(model.raw(good[1::2])), np.sort(model.raw(web[1::2]))
+    cuts = np.unique(p)
+    above_p = 1 - np.searchsorted(p, cuts) / len(p)
+    above_u = 1 - np.searchsorted(u, cuts) / len(u)
+    slack = sum(math.sqrt(math.log(4 / BIN_RISK) / (2 * n)) for n in (len(p), len(u)))
+    best = int(np.argmin((above_u + (1 + BIN_WEIGHT) * slack) / above_p))
+    return float(min(above_u[best] / above_p[best], 1.0))
 
 
 def _taken(texts: DataFrame, rows: int) -> np.ndarray:
@@ -170,13 +183,15 @@ def _taken(texts: DataFrame, rows: int) -> np.ndarray:
 def train(docs: DataFrame, labels: DataFrame, most_positives: int = POSITIVES,
           most_unlabelled: int = UNLABELLED) -> Model:
     """Trusted positives: texts of ``docs`` that ``labels`` (doc_id, quality) calls good. Unlabelled:
-    texts of ``docs`` picked by a hash of their id, whatever their label. Prior: the share of good
-    ones in ``labels``. Rows without an id or quality are left out; without any positive or any
-    document the model is the prior alone."""
+    texts of ``docs`` picked by a hash of their id, whatever their label. Prior: estimated from these
+    two; nothing is learnt from texts called bad. Rows without an id or quality are left out, an id
+    that is called bad once is not trusted; without any positive or any document the model is the
+    prior alone."""
     known = labels.select("doc_id", "quality").where("quality is not null")
-    positives = labelled_sample(docs, known.where("quality = 1").select("doc_id"), most_positives)
+    positives = labelled_sample(docs, known, most_positives, {"quality": F.min}, F.col("quality") == 1)
     web = labelled_sample(docs, docs.select("doc_id"), most_unlabelled)
-    return fit(_taken(positives, most_positives), _taken(web, most_unlabelled), estimate_prior(known))
+    good, seen = _taken(positives, most_positives), _taken(web, most_unlabelled)
+    return fit(good, seen, estimate_prior(good, seen))
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

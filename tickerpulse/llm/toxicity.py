@@ -202,7 +202,8 @@ def best_threshold(p: np.ndarray, y: np.ndarray) -> float:
 def train(docs: DataFrame, labels: DataFrame, seeds: dict[str, Sequence[str]] = SEEDS, rows: int = TRAIN_ROWS,
           folds: int = FOLDS) -> Chain:
     """Fits the chain on the texts of ``docs`` that at most ``rows`` of ``labels`` (doc_id, toxic)
-    speak of. Rows without an id or label are left out; with no rows at all nothing is toxic. Only
+    speak of. Rows without an id or label are left out, an id that is called toxic once is toxic; with no
+    rows at all nothing is toxic. Only
     hashed words reach the driver."""
     words = {name: np.array(sorted(_hash_words(list_of)), np.uint32) for name, list_of in seeds.items()}
 
@@ -216,7 +217,7 @@ def train(docs: DataFrame, labels: DataFrame, seeds: dict[str, Sequence[str]] =
 
     known = labels.select("doc_id", F.col("toxic").cast("long").alias("toxic")).where("toxic is not null")
     spread = F.xxhash64(F.coalesce("text", F.lit("")))
-    picked = labelled_sample(docs, known, rows).select("text", "toxic", spread.alias("spread"))
+    picked = labelled_sample(docs, known, rows, {"toxic": F.max}).select("text", "toxic", spread.alias("spread"))
     got = picked.mapInArrow(tidy(run), "words binary, toxic long, spread long").orderBy("spread", "toxic").limit(rows).collect()
     at = [np.frombuffer(r.words, np.uint32) for r in got]
     x = Sparse(np.concatenate(at) if at else np.zeros(0, np.uint32), np.concatenate(([0], np.cumsum([len(a) for a in at]))).astype(np.int64))
