@@ -24,7 +24,7 @@ the tasks, and all documents are queried against every block, so any number of i
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -348,30 +348,42 @@ def _glued(words: Words, at: np.ndarray, text: bytes) -> np.ndarray:
     return head | tail
 
 
+def _blocks(spark, items: DataFrame, items_per_block: int) -> Iterator:
+    """Broadcast indexes of the items, block by block."""
+    chosen = items.where("item_id is not null").select(F.col("item_id").cast("long"), "text")
+    total = chosen.count()
+    parts = max(1, -(-total // items_per_block))
+    statistics = _all_statistics(chosen) if parts > 1 else None
+    for part in range(parts):
+        block = chosen if parts == 1 else chosen.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
+        yield spark.sparkContext.broadcast(build([tuple(r) for r in block.collect()], statistics))
+
+
 def leaks(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP,
           passage: int = PASSAGE, step: int = STEP, items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
     """(doc_id, item_id, score, question_overlap, answer_overlap) for every document that holds an item.
 
     Passages overlap by ``passage - step`` words, and grow with the items of a block: they are never
-    shorter than twice its longest item, so that an item lies whole in one of them. Reads ``doc_id``
-    and ``text`` of ``docs``, ``item_id`` and ``text`` of ``items``. Null, empty and blank texts on
-    either side match nothing; items without an id are left out; repeated items and rows give a row
-    each; a document without an id gives rows with a null id."""
-    spark = docs.sparkSession
+    shorter than twice its longest item, so that an item lies whole in one of them. One pass over the
+    documents holds each text against all blocks. Reads ``doc_id`` and ``text`` of ``docs``, ``item_id``
+    and ``text`` of ``items``. Null, empty and blank texts on either side match nothing; items without
+    an id are left out; repeated items and rows give a row each; a document without an id gives rows
+    with a null id."""
     kind = "doc_id long, item_id long, score double, question_overlap double, answer_overlap double"
-    chosen = items.where("item_id is not null").select(F.col("item_id").cast("long"), "text")
-    total = chosen.count()
-    parts = max(1, -(-total // items_per_block))
     texts = docs.select(F.col("doc_id").cast("long"), "text")
-    statistics = _all_statistics(chosen) if parts > 1 else None
-    found = spark.createDataFrame([], kind)
-    for part in range(parts):
-        block = chosen if parts == 1 else chosen.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part)
-        index = build([tuple(r) for r in block.collect()], statistics)
-        shared = spark.sparkContext.broadcast(index)
-        hits = texts.mapInArrow(tidy(_search(shared, threshold, least, passage, step)), kind)
-        found = hits if part == 0 else found.unionByName(hits)
-    return found
+    search = _search(list(_blocks(docs.sparkSession, items, items_per_block)), threshold, least, passage, step)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("doc_id").to_pylist()
+            rows = [(ids[row], *found) for row, *found in search(batch.column("text"))]
+            columns = list(zip(*rows)) if rows else [[]] * 5
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
+                 *[pa.array(c, pa.float64()) for c in columns[2:]]],
+                names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+
+    return texts.mapInArrow(tidy(run), kind)
 
 
 def _all_statistics(items: DataFrame) -> tuple[int, float, dict[int, int]]:
@@ -393,32 +405,36 @@ def _all_statistics(items: DataFrame) -> tuple[int, float, dict[int, int]]:
     return n, float(by_word["size"].sum()) / max(n, 1) or 1.0, dict(zip(codes, by_word["df"].tolist()))
 
 
-def _search(shared, threshold: float, least: float, passage: int, step: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = shared.value
-        wide = max(passage, 2 * index.longest)
-        stride = max(1, wide * step // passage)
-        for batch in batches:
-            ids = batch.column("doc_id").to_pylist()
-            rows: list[tuple] = []
-            for lo, hi, w in plain_chunks(batch.column("text")):
+def _search(shared: list, threshold: float, least: float, passage: int, step: int) -> Callable[[pa.Array], Iterator[tuple]]:
+    """What finds (row, item_id, score, question_overlap, answer_overlap) in a column of texts, block by block."""
+
+    def run(texts: pa.Array) -> Iterator[tuple]:
+        for lo, hi, w in plain_chunks(texts):
+            for held in shared:
+                index = held.value
+                wide = max(passage, 2 * index.longest)
+                stride = max(1, wide * step // passage)
                 for i, found in query_texts(index, w, threshold, wide, stride).items():
                     memo: dict[int, np.ndarray] = {}
                     for item, score in sorted(found.items()):
                         question, answer = overlap(index.items[item], w, i, memo, least)
                         if question >= least and answer >= least:
-                            rows.append((ids[lo + i], index.items[item].item_id, score, question, answer))
-            columns = list(zip(*rows)) if rows else [[]] * 5
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(columns[0], pa.int64()), pa.array(columns[1], pa.int64()),
-                 *[pa.array(c, pa.float64()) for c in columns[2:]]],
-                names=["doc_id", "item_id", "score", "question_overlap", "answer_overlap"])
+                            yield lo + i, index.items[item].item_id, score, question, answer
 
     return run
 
 
-def clean(docs: DataFrame, items: DataFrame, **options) -> DataFrame:
-    """``docs`` without the documents that hold an item. Documents without an id are looked up by
-    nothing and stay."""
-    held = leaks(docs, items, **options).select(F.col("doc_id").alias("_leaked")).distinct()
-    return docs.join(held, docs["doc_id"] == held["_leaked"], "left_anti")
+def clean(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD, least: float = OVERLAP,
+          passage: int = PASSAGE, step: int = STEP, items_per_block: int = ITEMS_PER_BLOCK) -> DataFrame:
+    """The rows of ``docs`` whose own text holds no item, whatever their ids."""
+    names = docs.columns
+    search = _search(list(_blocks(docs.sparkSession, items, items_per_block)), threshold, least, passage, step)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = np.ones(batch.num_rows, bool)
+            for row, *_ in search(batch.column(names.index("text"))):
+                keep[row] = False
+            yield batch.filter(pa.array(keep))
+
+    return docs.mapInArrow(tidy(run), docs.schema)
