@@ -8,6 +8,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tickerpulse.operators import eda
 from tickerpulse.operators import indicators as I
 from tickerpulse.operators import series
 from tickerpulse.plans import training
@@ -121,6 +122,44 @@ def test_numbering_equals_a_plain_sort(spark, pairs, width):
     assert all(r.n_rows == sum(p[0] == r.k for p in pairs) for r in out)
 
 
+@pytest.mark.parametrize("levels", [1, 2, 3])
+def test_counts_in_levels(spark, levels, monkeypatch):
+    monkeypatch.setattr(series, "GROUP_BITS", 2)
+    xs = [x * x % 997 for x in range(300)] + [-5, -77]
+    df = spark.createDataFrame([(x,) for x in sorted(set(xs))], "x int")
+    out = series.number_rows(df, [], ["x"], F.floor(F.col("x") / 3), levels)
+    got = {r.x: (r.rn, r.n_rows) for r in out.collect()}
+    assert got == {x: (i, len(set(xs))) for i, x in enumerate(sorted(set(xs)))}
+
+
+def test_numbering_reads_its_input_once(spark, tmp_path):
+    prices(spark, {"A": walk(200), "B": walk(50)}).write.parquet(str(tmp_path / "p"))
+    df = spark.read.parquet(str(tmp_path / "p"))
+    seen = []
+
+    def cut(rows):
+        seen.append(rows._jdf.queryExecution().executedPlan().toString().count("FileScan"))
+        return rows.cache()
+
+    bucket, levels = series.calendar_bucket(df)
+    placed = series.number_rows(df, ["symbol"], ["dt"], bucket, levels, cut)
+    assert placed.count() == 250 and seen == [1]
+    numbered = I.numbered(df)
+    assert numbered._jdf.queryExecution().executedPlan().toString().count("FileScan") == 0
+    sample = eda.positional_sample(spark.range(500).toDF("x"), "x", width=10, head=3, slices=((100, 101),), tail=2)
+    assert "SinglePartition" not in sample._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ticks_of_one_day_are_spread_over_tasks(spark):
+    ticks = spark.range(200_000).select(
+        F.lit("A").alias("symbol"), F.timestamp_millis(F.lit(1_577_836_800_000) + F.col("id") * 400).alias("dt"), F.col("id").alias("close"))
+    out = I.numbered(ticks)
+    wrong, n = out.agg(F.count_if(F.col("rn") != F.col("close")), F.count("*")).first()
+    assert (wrong, n) == (0, 200_000)
+    bucket, _ = series.calendar_bucket(ticks)
+    assert ticks.groupBy(bucket.alias("b")).count().agg(F.max("count")).first()[0] == 150
+
+
 def test_minute_bars(spark):
     c = walk(3000, 11)
     rows = [("A", dt.datetime(2020, 1, 1) + dt.timedelta(minutes=i), x) for i, x in enumerate(c)]

@@ -94,5 +94,5 @@ def positional_sample(df: DataFrame, order: str, width: int = 65_536, head: int
     rn, n = F.col("rn"), F.col("n_rows")
     parts = [rn < head, *[(rn >= a) & (rn <= b) for a, b in slices], rn >= n - F.lit(tail)]
     hits = F.array_compact(F.array(*[F.when(hit, F.lit(i)) for i, hit in enumerate(parts)]))
-    placed = number_rows(df, [], [order], F.floor(F.col(order) / F.lit(width)))
+    placed = number_rows(df, [], [order], F.floor(F.col(order) / F.lit(width)), levels=2)
     return placed.withColumn("part", F.explode(hits)).drop("rn", "n_rows")

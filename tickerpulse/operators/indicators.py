@@ -31,7 +31,7 @@ def numbered(prices: DataFrame, keys: Sequence[str] = (KEY,), day: str = DAY) ->
     (by name), whatever the partitioning; rows equal in all of them are interchangeable."""
     ties = sorted(f.name for f in prices.schema.fields
                   if f.name not in (*keys, day) and isinstance(f.dataType, T.AtomicType))
-    return number_rows(prices, keys, [day, *ties], calendar_bucket(prices, day))
+    return number_rows(prices, keys, [day, *ties], *calendar_bucket(prices, day))
 
 
 def _mean_of_last(column: Column, n: int, window: WindowSpec) -> Column:
