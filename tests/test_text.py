@@ -76,6 +76,15 @@ def test_other_scalars(spark):
     assert run(spark, [None], lambda c: text.joined_row(F.lit("k"), c, F.lit(2))) == ["k,,2"]
 
 
+@pytest.mark.parametrize("given, words", [
+    ("I don't know", "I do know"), ("it's e-mail, isn't it", "it is it"), ("We cannot go. They're Here.", "We can not go They Here"),
+    ("the U.S. market", "market"), ("up. down", "down"), ("Up. Down.", "Up Down"), ("gonna wanna", "gon na wan na"),
+    ("$TSLA (up) 5% x1 and/or a_b", "TSLA up"), ("say: yes,no 1,000", "say yes no"), ("can't 'quoted' don't.", "ca do"),
+    ("", ""), (None, None), ("Été -- l'eau", "Été"), ("wait… \u201cnow\u201d", "wait now")])
+def test_alphabetic_tokens(spark, given, words):
+    assert run(spark, [given], lambda c: text.alphabetic_tokens(c, ["the"])) == [words]
+
+
 def test_load_stopwords(spark, tmp_path, monkeypatch):
     (tmp_path / "w.txt").write_text("the\nand\nthe\n\n")
     assert text.load_stopwords(spark, str(tmp_path / "w.txt")) == ["and", "the"]

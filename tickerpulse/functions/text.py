@@ -90,6 +90,41 @@ def alphabetic_words(text: Column, stopwords: Sequence[str]) -> Column:
     return F.array_join(keep, " ")
 
 
+# What the Penn Treebank conventions split off words. Commas and colons stay inside numbers.
+SPLIT_SIGNS = r"([;@#$%&?!()\[\]{}<>\"“”…]|--|``|'')"
+SPLIT_MARKS = r"([:,])([^0-9]|$)"
+CONTRACTION = r"(?i)^(\p{L}+?)(n't|'s|'m|'d|'ll|'re|'ve)$"
+JOINED_WORDS = r"(?i)^(can|gon|got|lem|gim|wan)(not|na|ta|me)$"
+JOINED_KNOWN = ("cannot", "gonna", "gotta", "lemme", "gimme", "wanna")
+SENTENCE_BEGIN = r"^[\p{Lu}\"'(“]"
+
+
+def word_tokens(text: Column) -> Column:
+    """Word tokens by the Treebank conventions, without the second part of a contraction: signs and brackets
+    are split off, so is a full stop at the end of a sentence (of the text, or before a capital or an opening sign);
+    ``don't`` is ``do`` and ``n't``, ``cannot`` two words; hyphens, slashes and inner full stops do not split."""
+    padded = F.regexp_replace(F.regexp_replace(text, SPLIT_SIGNS, " $1 "), SPLIT_MARKS, " $1 $2")
+    tokens = F.regexp_extract_all(padded, F.lit(r"([^\s]+)"))
+
+    def alone(every: Column) -> Column:
+        def word(token: Column, i: Column) -> Column:
+            after = F.get(every, i + 1)
+            ends = token.endswith(".") & (after.isNull() | after.rlike(SENTENCE_BEGIN))
+            bare = F.when(ends, F.regexp_replace(token, r"\.$", "")).otherwise(token)
+            short = F.regexp_replace(bare, CONTRACTION, "$1")
+            return F.when(F.lower(short).isin(*JOINED_KNOWN), F.regexp_replace(short, JOINED_WORDS, "$1 $2")).otherwise(short)
+
+        return F.transform(every, word)
+
+    return F.regexp_extract_all(F.array_join(let(tokens, alone), " "), F.lit(r"([^\s]+)"))
+
+
+def alphabetic_tokens(text: Column, stopwords: Sequence[str]) -> Column:
+    """Word tokens (``word_tokens``) made of letters only, stop words dropped, re-joined by one blank."""
+    keep = F.filter(word_tokens(text), lambda w: w.rlike(r"^\p{L}+$") & ~w.isin(list(stopwords)))
+    return F.array_join(keep, " ")
+
+
 def sanitize_body(body: Column) -> Column:
     """Delete commas and double quotes."""
     return F.translate(body, ',"', "")

@@ -127,6 +127,25 @@ def _(spark, sf):
     return v.posts(spark, sf).select("tweet_id", text.alphabetic_words(F.col("text"), v.STOPWORDS).alias("words"))
 
 
+@query("f4_word_tokens", sql(q.POSTS, rf"""split_up AS (
+  SELECT tweet_id, regexp_extract_all(regexp_replace(regexp_replace(text, '([;@#$%&?!()\[\]{{}}<>"“”…]|--|``|'''')', ' \1 ', 'g'),
+    '([:,])([^0-9]|$)', ' \1 \2', 'g'), '[^\s]+') AS w FROM posts),
+tokens AS (
+  SELECT tweet_id, i, w[i] AS t, w[i + 1] AS after FROM (SELECT tweet_id, w, unnest(range(1, len(w) + 1)) AS i FROM split_up)),
+bare AS (
+  SELECT tweet_id, i, regexp_replace(CASE WHEN t LIKE '%.' AND (after IS NULL OR regexp_matches(after, '^[\p{{Lu}}"''(“]')) THEN t[:-2]
+    ELSE t END, '(?i)^(\p{{L}}+?)(n''t|''s|''m|''d|''ll|''re|''ve)$', '\1') AS t FROM tokens),
+words AS (
+  SELECT tweet_id, i, unnest(regexp_extract_all(regexp_replace(t, '(?i)^(?:(can)(not)|(gon|wan)(na)|(got)(ta)|(lem|gim)(me))$',
+    '\1\3\5\7 \2\4\6\8'), '[^\s]+')) AS t FROM bare),
+kept AS (
+  SELECT tweet_id, string_agg(t, ' ' ORDER BY i) AS words FROM words
+  WHERE regexp_matches(t, '^\p{{L}}+$') AND t NOT IN ({q.stop_list()}) GROUP BY 1)""", select="""
+  SELECT tweet_id, CASE WHEN text IS NOT NULL THEN coalesce(words, '') END AS words FROM posts LEFT JOIN kept USING (tweet_id)"""))
+def _(spark, sf):
+    return v.posts(spark, sf).select("tweet_id", text.alphabetic_tokens(F.col("text"), v.STOPWORDS).alias("words"))
+
+
 @query("f5_sentiment_clean", sql(q.POSTS, q.COMPOUND_CLEAN, select="SELECT t_key, compound FROM compound"))
 def _(spark, sf):
     return v.posts(spark, sf).select("t_key", sentiment.score_words(
