@@ -92,6 +92,28 @@ def test_table_form_gives_the_same(spark):
     assert [got[i] for i in range(len(texts))] == pytest.approx(want, abs=1e-9)
 
 
+@pytest.mark.parametrize("bits", [64, 1 << 20])
+def test_table_form_with_a_list_of_any_size(spark, tmp_path, bits):
+    """60 000 words; the posts are scanned once, and words outside the list do not reach the shuffle."""
+    rnd = random.Random(9)
+    many = [(f"word{i}", 1.0, None, False) for i in range(60_000)]
+    table = spark.createDataFrame(LEX.rows() + many, "word string, valence double, boost double, negates boolean")
+    texts = [" ".join(rnd.choice(WORDS + ["nothingknown"] * 20) for _ in range(rnd.randint(0, 30))) for _ in range(300)]
+    spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "k int, t string").write.parquet(str(tmp_path / "posts"))
+    seen = []
+
+    def cut(rows):
+        seen.append(rows.cache())
+        return seen[0]
+
+    scored = S.score_with_table(spark.read.parquet(str(tmp_path / "posts")), "k", "t", table, bits=bits, cut=cut)
+    got = {r.k: r.compound for r in scored.collect()}
+    assert [got[i] for i in range(len(texts))] == pytest.approx(scores(spark, texts, lambda c: S.score_clean(c, LEX)), abs=1e-9)
+    assert seen[0]._jdf.queryExecution().executedPlan().toString().count("FileScan") == 1 and len(seen) == 1
+    sent = seen[0].select(F.explode("_words.word").alias("w")).where("w = 'nothingknown'").count()
+    assert sent == 0 or bits == 64
+
+
 def test_table_form_with_repeated_posts_and_a_frequent_word(spark):
     texts = ["very good", "good but bad", "", None, "good " * 300] * 20
     df = spark.createDataFrame([(i % 7, t) for i, t in enumerate(texts)], "k int, t string")

@@ -7,12 +7,14 @@ text costs no more than any other row. Emoji and multi-word idioms are not cover
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .lexicon import Lexicon
 from .text import let
 
@@ -179,19 +181,44 @@ def sign_label(polarity: Column) -> Column:
     )
 
 
-def score_with_table(df: DataFrame, key: str, clean: str, lexicon: DataFrame, salts: int = 8) -> DataFrame:
-    """``score_clean`` for a lexicon too large to inline: (key, compound) for every row of ``df``.
+def _may_tell(telling: DataFrame, bits: int) -> Callable[[Column], Column]:
+    """A test that words of ``telling`` always pass and others hardly ever: a set of ``bits`` bits by a
+    hash of the word, a constant of the query. A list too long for it lets more words through."""
+    at = F.pmod(F.xxhash64("word"), F.lit(bits))
+    rows = telling.select(at.alias("at")).groupBy(F.shiftright("at", 6).alias("slot")).agg(
+        F.bit_or(F.expr("shiftleft(1L, cast(at & 63 as int))")).alias("mask")).collect()  # bits / 64 at most
+    masks = [0] * (bits // 64)
+    for slot, mask in rows:
+        masks[slot] = mask
+    table = F.from_json(F.lit(json.dumps(masks)), "array<bigint>")
+
+    def test(word: Column) -> Column:
+        at = F.pmod(F.xxhash64(word), F.lit(bits))
+        mask = F.get(table, F.shiftright(at, 6).cast("int"))
+        return F.call_function("shiftrightunsigned", mask, (at % 64).cast("int")).bitwiseAND(F.lit(1)) == 1
+
+    return test
+
+
+def score_with_table(df: DataFrame, key: str, clean: str, lexicon: DataFrame, salts: int = 8, bits: int = 1 << 20,
+                     cut: Callable[[DataFrame], DataFrame] = cut_lineage) -> DataFrame:
+    """``score_clean`` for a lexicon of any size: (key, compound) for every row of ``df``.
 
     ``lexicon`` is (word, valence, boost, negates), one row per word. Posts may repeat: scores are
-    worked out per text, and every row of ``df`` gets that of its own. Only words of the lexicon and
-    "but" survive the join; each word is dealt to ``salts`` places, so that a frequent one does not
+    worked out per text, and every row of ``df`` gets that of its own. The posts are read once; what
+    is written (``cut``) and shuffled of them is a digest and the words that a set of ``bits`` bits takes for
+    words of the lexicon or "but". Each word is dealt to ``salts`` places, so that a frequent one does not
     end up in a single task. The sort per text is bounded by its length.
     """
     text = F.coalesce(F.col(clean), F.lit(""))
-    texts = df.select(key, text.alias("_text"), F.sha2(text, 256).alias("_digest"))
-    words = texts.select("_digest", F.posexplode(
-        F.filter(F.split("_text", " "), lambda w: w != "")).alias("pos", "word"))
-    telling = _with_but(lexicon).withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    known = _with_but(lexicon)
+    may_tell = _may_tell(known, bits)
+    numbered = F.transform(F.filter(F.split(text, " "), lambda w: w != ""),
+                           lambda w, i: F.struct(i.alias("pos"), w.alias("word")))
+    texts = cut(df.select(key, F.sha2(text, 256).alias("_digest"),
+                          F.filter(numbered, lambda s: may_tell(s["word"])).alias("_words")))
+    words = texts.select("_digest", F.inline("_words"))
+    telling = known.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
     salted = words.withColumn("_salt", F.pmod(F.xxhash64("_digest", "pos"), F.lit(salts)).cast("int"))
     marked = salted.join(telling, ["word", "_salt"]).dropDuplicates(["_digest", "pos"])
     in_post = W.partitionBy("_digest").orderBy("pos")
