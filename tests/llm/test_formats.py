@@ -7,6 +7,7 @@ import math
 import random
 import re
 import struct
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -139,6 +140,39 @@ def test_parts_of_a_text(text):
         assert own.encode(text) == np.array(want, "<u4").tobytes()
 
 
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.integers(-2**63, 2**63 - 1) | st.integers(0, 50), max_size=1200), st.integers(0, 1200), st.integers(0, 1200), st.sampled_from([256, 512, 4096]))
+def test_runs_of_boundaries(values, a, b, window):
+    values, before = sorted(values), idfiles.WINDOW
+    idfiles.WINDOW = window
+    try:
+        made = idfiles.EliasFano.encode(np.array(values, np.int64))
+        back = idfiles.EliasFano.from_bytes(made.to_bytes())
+        assert back.all().tolist() == values == [back.select(i) for i in range(len(values))]
+        a, b = sorted((min(a, len(values)), min(b, len(values))))
+        assert back.run(a, b).tolist() == values[a:b]
+    finally:
+        idfiles.WINDOW = before
+
+
+def test_boundaries_take_little_memory():
+    """A million sparse numbers: neither writing nor reading them spreads them out."""
+    values = np.sort(np.random.default_rng(1).integers(-2**62, 2**62, 1_000_000))
+    tracemalloc.start()
+    made = idfiles.EliasFano.encode(values)
+    data = made.to_bytes()
+    del made
+    assert tracemalloc.get_traced_memory()[1] < 50e6
+    reader = idfiles.EliasFano.from_bytes(data)
+    tracemalloc.reset_peak()
+    base = tracemalloc.get_traced_memory()[0]
+    for first in range(0, len(values), idfiles.WINDOW):
+        last = min(first + idfiles.WINDOW, len(values))
+        assert np.array_equal(reader.run(first, last), values[first:last])
+    assert tracemalloc.get_traced_memory()[1] - base < 5e6
+    tracemalloc.stop()
+
+
 SPECIAL = ("<|endoftext|>", "<|startoftext|>")
 
 

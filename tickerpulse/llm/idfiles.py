@@ -12,6 +12,7 @@ two numbers per document of the file are held.
 
 from __future__ import annotations
 
+import array
 import struct
 import uuid
 import zlib
@@ -32,8 +33,10 @@ MAGIC = b"IDEF0001"
 FOOTER = struct.Struct("<8sQQQQQQQQ")  # magic, documents, without id, ids, bytes per id, ends at, doc ids at, footer at, 0
 SECTION = struct.Struct("<QQqQQQ")  # numbers, low bits, smallest, bytes of low bits, of high bits, of samples
 SAMPLE = 256
+WINDOW = 1 << 12  # numbers encoded or decoded at once, a multiple of SAMPLE
 END = 1  # id that ends a document
-FILE_TOKENS = 1 << 24  # then the task begins another file
+FILE_TOKENS = 1 << 24  # then the task begins another file,
+FILE_DOCUMENTS = 1 << 20  # or after so many documents
 
 
 class EliasFano(NamedTuple):
@@ -53,15 +56,22 @@ class EliasFano(NamedTuple):
         if not n:
             return cls(0, 0, 0, np.zeros(0, np.uint8), np.zeros(0, np.uint8), np.zeros(0, np.uint32))
         least = int(values[0])
-        x = values.astype(np.uint64) - np.uint64(least % 2**64)  # modulo 2**64, so any span of int64 fits
-        span = int(x[-1])
+        span = int(values[-1]) - least  # numbers are taken modulo 2**64, so any span of int64 fits
         width = max(0, (span // n).bit_length() - 1)
-        bits = ((x[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
-        low = np.packbits(bits.reshape(-1), bitorder="little")
-        ones = (x >> np.uint64(width)).astype(np.int64) + np.arange(n)
-        bitmap = np.zeros(int(ones[-1]) + 1, np.uint8)
-        bitmap[ones] = 1
-        return cls(n, width, least, low, np.packbits(bitmap, bitorder="little"), ones[::SAMPLE].astype(np.uint64))
+        low = np.zeros((n * width + 7) // 8, np.uint8)
+        high = np.zeros(((span >> width) + n + 7) // 8, np.uint8)
+        samples = np.zeros(-(-n // SAMPLE), np.uint64)
+        for a in range(0, n, WINDOW):  # a multiple of 8 numbers, so of whole bytes
+            x = values[a:a + WINDOW].astype(np.uint64) - np.uint64(least % 2**64)
+            bits = ((x[:, None] >> np.arange(width, dtype=np.uint64)) & np.uint64(1)).astype(np.uint8)
+            packed = np.packbits(bits.reshape(-1), bitorder="little")
+            low[a * width // 8:a * width // 8 + len(packed)] = packed
+            ones = (x >> np.uint64(width)).astype(np.int64) + np.arange(a, a + len(x))
+            first = int(ones[0]) // 8
+            marks = np.bincount(ones // 8 - first, 1 << (ones % 8))  # all different bits
+            high[first:first + len(marks)] += marks.astype(np.uint8)
+            samples[a // SAMPLE:a // SAMPLE + len(ones[::SAMPLE])] = ones[::SAMPLE]
+        return cls(n, width, least, low, high, samples)
 
     def to_bytes(self) -> bytes:
         parts = [self.low.tobytes(), self.high.tobytes(), self.samples.astype("<u8").tobytes()]
@@ -98,24 +108,36 @@ class EliasFano(NamedTuple):
         place = byte * 8 + (word & -word).bit_length() - 1
         return self.least + ((place - i) << self.width | self._low(i))
 
-    def all(self) -> np.ndarray:
-        """Every number, in one go."""
-        if not self.n:
+    def run(self, a: int, b: int) -> np.ndarray:
+        """Numbers ``a`` to ``b`` - 1: from the sample before the first, the bitmap is read up to the
+        sample after the last. Only what lies between is decoded."""
+        if not 0 <= a <= b <= self.n:
+            raise IndexError((a, b))
+        if a == b:
             return np.zeros(0, np.int64)
-        ones = np.flatnonzero(np.unpackbits(self.high, bitorder="little"))[:self.n]
-        bits = np.unpackbits(self.low, bitorder="little", count=self.n * self.width).reshape(self.n, self.width)
-        low = (bits.astype(np.uint64) << np.arange(self.width, dtype=np.uint64)).sum(axis=1, dtype=np.uint64)
-        x = ((ones - np.arange(self.n)).astype(np.uint64) << np.uint64(self.width)) + low
+        bit, after = int(self.samples[a // SAMPLE]), (b - 1) // SAMPLE + 1
+        stop = int(self.samples[after]) // 8 + 1 if after < len(self.samples) else len(self.high)
+        ones = np.flatnonzero(np.unpackbits(self.high[bit // 8:stop], bitorder="little")) + bit // 8 * 8
+        ones = ones[np.searchsorted(ones, bit):][a % SAMPLE:a % SAMPLE + b - a]
+        at, size = a * self.width, (b - a) * self.width
+        bits = np.unpackbits(self.low[at // 8:(at + size + 7) // 8], bitorder="little")[at % 8:at % 8 + size].reshape(b - a, self.width)
+        low = np.zeros(b - a, np.uint64)
+        for i in range(self.width):
+            low |= bits[:, i].astype(np.uint64) << np.uint64(i)
+        x = ((ones - np.arange(a, b)).astype(np.uint64) << np.uint64(self.width)) + low
         return (x + np.uint64(self.least % 2**64)).view(np.int64)
 
+    def all(self) -> np.ndarray:
+        """Every number, in one array."""
+        return np.concatenate([np.zeros(0, np.int64), *[self.run(a, min(a + WINDOW, self.n)) for a in range(0, self.n, WINDOW)]])
+
 
 class Writer:
     """Appends documents, in order of their ids (those without an id first), to an open file."""
 
     def __init__(self, out: BinaryIO, id_bytes: int):
         self.out, self.kind = out, {2: "<u2", 4: "<u4"}[id_bytes]
-        self.ends: list[int] = []
-        self.docs: list[int] = []
+        self.ends, self.docs = array.array("q"), array.array("q")
         self.unnamed = self.tokens = 0
 
     def add(self, doc_id: int | None, ids: bytes) -> None:
@@ -131,8 +153,8 @@ class Writer:
     def close(self) -> None:
         width = int(self.kind[-1])
         at = self.tokens * width
-        ends = EliasFano.encode(np.array(self.ends, np.int64)).to_bytes()
-        docs = EliasFano.encode(np.array(self.docs, np.int64)).to_bytes()
+        ends = EliasFano.encode(np.frombuffer(self.ends, np.int64)).to_bytes()
+        docs = EliasFano.encode(np.frombuffer(self.docs, np.int64)).to_bytes()
         footer = FOOTER.pack(MAGIC, len(self.ends), self.unnamed, self.tokens, width, at, at + len(ends),
                              at + len(ends) + len(docs), 0)
         self.out.write(ends + docs + footer)
@@ -170,18 +192,23 @@ class Reader:
         return None if i < self.unnamed else self.docs.select(i - self.unnamed)
 
     def scan(self, tokens: int = 1 << 20) -> Iterator[tuple[int | None, int, np.ndarray]]:
-        """(doc_id, start, ids) of every document, read in runs of about ``tokens``."""
-        ends = self.ends.all()
-        names = [None] * self.unnamed + self.docs.all().tolist()
-        lo, begin = 0, 0
-        while lo < len(ends):
-            hi = max(lo + 1, int(np.searchsorted(ends, begin + tokens, side="right")))
-            block = self.range(begin, int(ends[hi - 1]))
-            start = begin
-            for i in range(lo, hi):
-                yield names[i], start, block[start - begin:int(ends[i]) - begin]
-                start = int(ends[i])
-            lo, begin = hi, int(ends[hi - 1])
+        """(doc_id, start, ids) of every document, read in runs of about ``tokens``. Boundaries and ids
+        of documents are selected a window at a time; no table of all of them is made."""
+        begin = 0
+        for first in range(0, self.documents, WINDOW):
+            last = min(first + WINDOW, self.documents)
+            ends = self.ends.run(first, last)
+            named = self.docs.run(max(first - self.unnamed, 0), max(last - self.unnamed, 0)).tolist()
+            names = [None] * (last - first - len(named)) + named
+            lo = 0
+            while lo < len(ends):
+                hi = max(lo + 1, int(np.searchsorted(ends, begin + tokens, side="right")))
+                block, start = self.range(begin, int(ends[hi - 1])), begin
+                for i in range(lo, hi):
+                    end = int(ends[i])
+                    yield names[i], start, block[start - begin:end - begin]
+                    start = end
+                lo, begin = hi, start
 
 
 def _store(folder: str):
@@ -212,7 +239,7 @@ def write(docs: DataFrame, tokenizer: str, end: int | None = END, file_tokens: i
                     path, part = f"{root}/{uuid.uuid4().hex}.ids", at.as_py()
                     writer = Writer(store.open_output_stream(path), id_bytes)
                 writer.add(doc_id.as_py(), own.encode(text.as_py()) + tail)
-                if writer.tokens >= file_tokens:
+                if writer.tokens >= file_tokens or len(writer.ends) >= FILE_DOCUMENTS:
                     yield _listed(path, part, k, writer)
                     writer, k = None, k + 1
         if writer is not None:

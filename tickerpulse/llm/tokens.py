@@ -54,15 +54,15 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.parts = _Parts(self.tokenizer)
         added = list(self.tokenizer.get_added_tokens_decoder().values())
-        names = sorted((re.escape(t.content) for t in added), key=len, reverse=True)
-        self.special = re.compile(f"({'|'.join(names)})") if names else None
+        self.names = sorted((t.content for t in added), key=len, reverse=True)
+        self.special = re.compile(f"({'|'.join(map(re.escape, self.names))})")
         # tokens that look at or change their surroundings: such texts are left whole
         self.plain = not any(t.lstrip or t.rstrip or t.single_word or t.normalized for t in added)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if self.special and self.special.search(text):
+        if any(name in text for name in self.names):
             if not self.plain:
                 return self.parts.__missing__(text)
             pieces = self.special.split(text)
