@@ -19,6 +19,21 @@ def test_symbol_comes_from_the_file_name(spark, tmp_path):
     assert set(DAILY_BARS.fieldNames()) | {"symbol"} == set(rows[0].asDict())
 
 
+def test_files_of_other_symbols_are_not_read(spark, tmp_path):
+    for name in ("BTC-USD.CC-daily-stocks.csv", "MSFT.US-with-polarity.csv", "sub/AAPL.US-historical-stocks.csv", "AAPL.US2-daily-stocks.csv"):
+        (tmp_path / "names" / name).parent.mkdir(parents=True, exist_ok=True)
+        (tmp_path / "names" / name).write_text(HEADER + "2020-01-02,1,2,0.5,1.5,1.5,10\n")
+    some = files.read_symbol_files(spark, str(tmp_path / "names"), symbols=["AAPL.US", "BTC-USD.CC", "NONE"])
+    assert sorted(f.rpartition("/")[2] for f in some.inputFiles()) == ["AAPL.US-historical-stocks.csv", "BTC-USD.CC-daily-stocks.csv"]
+    assert {r.symbol for r in some.collect()} == {"AAPL.US", "BTC-USD.CC"}
+    rows = spark.createDataFrame([("A.US", 1.0), ("B", 2.0), ("C", 3.0)], "symbol string, close double")
+    rows.write.partitionBy("symbol").option("header", True).csv(str(tmp_path / "folders"))
+    schema = spark.createDataFrame([], "close double").schema
+    two = files.read_symbol_files(spark, str(tmp_path / "folders"), schema, files.SYMBOL_FOLDER, ["A.US", "C", "D"])
+    assert len(two.inputFiles()) == 2 and {(r.symbol, r.close) for r in two.collect()} == {("A.US", 1.0), ("C", 3.0)}
+    assert files.read_symbol_files(spark, str(tmp_path), schema, symbols=[]).collect() == []
+
+
 def test_dump_with_quotes_commas_and_line_breaks(spark, tmp_path):
     (tmp_path / "Tweet.csv").write_text(
         ",".join(POST_DUMP.fieldNames()) + '\n1,w,1420070457,"a, ""b""\nc",0,1,2\n2,w,1420070458,plain,0,0,0\n')

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -13,18 +14,20 @@ from ..functions.timeparse import day_of_epoch, seconds_of
 
 # The endings of per-symbol price files.
 SYMBOL_FILE = r"([^/]+)-(?:with-polarity|daily-stocks|historical-stocks)\.csv$"
+SYMBOL_ENDINGS = "{with-polarity,daily-stocks,historical-stocks}.csv"
 SYMBOL_FOLDER = r"/symbol=([^/]+)/[^/]+$"
 
 
 def read_csv(spark: SparkSession, path: str | list[str], schema: T.StructType,
-             multi_line: bool = False) -> DataFrame:
+             multi_line: bool = False, names: str = "*") -> DataFrame:
     """CSV files under ``path`` and its subfolders; quoted fields may hold commas.
 
     ``multi_line`` also allows line breaks inside quotes, but then a file is read by one task.
+    ``names`` is a pattern that the names of the files have to fit.
     """
     return (
         spark.read.schema(schema).option("header", True).option("recursiveFileLookup", True)
-        .option("escape", '"').option("multiLine", multi_line).csv(path)
+        .option("escape", '"').option("multiLine", multi_line).option("pathGlobFilter", names).csv(path)
     )
 
 
@@ -116,10 +119,24 @@ def symbol_from_path(path: Column, pattern: str = SYMBOL_FILE) -> Column:
     return F.url_decode(F.regexp_extract(path, pattern, 1))
 
 
+def _any_of(symbols: Sequence[str]) -> str:
+    """A file pattern that fits each of the symbols."""
+    return "{" + ",".join(re.sub(r"([\\{}\[\]*?,])", r"\\\1", s) for s in sorted(set(symbols))) + "}"
+
+
 def read_symbol_files(spark: SparkSession, path: str, schema: T.StructType = schemas.DAILY_BARS,
-                      pattern: str = SYMBOL_FILE) -> DataFrame:
-    """All per-symbol files of a folder in one scan, with ``symbol`` taken from the file name."""
-    scan = read_csv(spark, path, schema)
+                      pattern: str = SYMBOL_FILE, symbols: Sequence[str] | None = None) -> DataFrame:
+    """The per-symbol files of a folder in one scan, with ``symbol`` taken from the file or folder
+    name: all, or those of ``symbols`` only, whose files alone are then read (of folders, at least one has to
+    be there)."""
+    if symbols is not None and not symbols:
+        return spark.createDataFrame([], T.StructType([*schema.fields, T.StructField("symbol", T.StringType())]))
+    if symbols is None:
+        scan = read_csv(spark, path, schema)
+    elif pattern == SYMBOL_FOLDER:
+        scan = read_csv(spark, f"{path}/symbol={_any_of(symbols)}", schema)
+    else:
+        scan = read_csv(spark, path, schema, names=f"{_any_of(symbols)}-{SYMBOL_ENDINGS}")
     return scan.withColumn("symbol", symbol_from_path(F.col("_metadata.file_path"), pattern))
 
 
