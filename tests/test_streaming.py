@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tickerpulse.functions.lexicon import Lexicon
 from tickerpulse.operators import posts as P
+from tickerpulse.plans import replay
 from tickerpulse.schemas import SCORED_POST
 from tickerpulse.sources import stream
 from tickerpulse.streaming import jobs, sinks
@@ -117,3 +118,26 @@ def test_triggers(spark, tmp_path, every):
     query.processAllAvailable() if every else query.awaitTermination()
     assert sum(p["numInputRows"] for p in query.recentProgress) == 1
     query.stop()
+
+
+def test_replay_in_steps_goes_on_after_a_restart(spark, tmp_path):
+    """Exactly so many records a step, in order; a failed step is sent again, finished ones are not."""
+    records = spark.range(1, 1048).select(F.col("id").alias("place"), F.concat(F.lit("k"), "id").alias("key")).repartition(5)
+    steps = replay.lay_out_steps(records, "place", str(tmp_path / "steps"), 100, width=64)
+    assert steps == 11
+    sent, failing = [], [True]
+
+    def send(rows, step):
+        if step == 4 and failing:
+            failing.clear()
+            raise RuntimeError("lost")
+        sent.append((step, sorted(r.place for r in rows.collect())))
+
+    with pytest.raises(Exception, match="lost"):
+        replay.replay_all(spark, str(tmp_path / "steps"), steps, send, str(tmp_path / "checkpoint"), "0 seconds")
+    assert [s for s, _ in sent] == [0, 1, 2, 3]
+    replay.replay_all(spark, str(tmp_path / "steps"), steps, send, str(tmp_path / "checkpoint"), "0 seconds")
+    assert [s for s, _ in sent] == list(range(11))
+    assert [p for _, places in sent for p in places] == list(range(1, 1048))
+    assert [len(places) for _, places in sent] == [100] * 10 + [47]
+    assert replay.lay_out_steps(records.limit(0), "place", str(tmp_path / "none"), 100) == 0

@@ -1,13 +1,20 @@
-"""From the dump of raw posts to the records of the stream."""
+"""From the dump of raw posts to the records of the stream, and its replay in steps of so many records."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.text import sanitize_body
 from ..operators.enrich import attach_ticker
 from ..operators.posts import encode_posts
+from ..operators.series import number_rows
+
+# After so many records the replay pauses for so long.
+STEP_RECORDS, PAUSE = 10_000, "1 second"
 
 
 def replay_records(dump: DataFrame, tickers: DataFrame, order: str = "line") -> DataFrame:
@@ -18,3 +25,50 @@ def replay_records(dump: DataFrame, tickers: DataFrame, order: str = "line") ->
         F.col("like_num").alias("like_count"), F.col("retweet_num").alias("retweet_count"),
         F.lit(0).alias("followers_count"))
     return encode_posts(posts)
+
+
+def lay_out_steps(records: DataFrame, order: str, folder: str, step_records: int = STEP_RECORDS, width: int = 65_536) -> int:
+    """Write ``records`` in the order of a whole-number column, ``step_records`` of them in each folder
+    step=0, 1, ... (fewer in the last). Returns the number of steps."""
+    numbered = number_rows(records, [], [order], F.floor(F.col(order) / F.lit(width)), levels=2)
+    placed = numbered.withColumn("step", F.floor(F.col("rn") / F.lit(step_records)))
+    placed.repartition("step").sortWithinPartitions("step", "rn").drop("n_rows").write.partitionBy("step").parquet(folder)
+    last = placed.agg(F.max("step")).first()[0]
+    return 0 if last is None else last + 1
+
+
+def start_replay(spark: SparkSession, folder: str, send: Callable[[DataFrame, int], None], checkpoint: str,
+                 pause: str = PAUSE) -> StreamingQuery:
+    """A query that hands the next step to ``send`` (rows, step) after every pause. The number of the step
+    is the offset of the stream, so a restart goes on where the last finished step ended and a
+    step that failed is sent again under its number. Only the folder of that step is read; after the
+    last one nothing is sent."""
+    steps = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+
+    def hand_over(batch: DataFrame, _: int) -> None:
+        for row in batch.select("value").collect():  # one row
+            rows = spark.read.parquet(folder).where(F.col("step") == row.value).drop("step")
+            if not rows.isEmpty():
+                send(rows.sortWithinPartitions("rn").drop("rn"), row.value)
+
+    return (steps.writeStream.foreachBatch(hand_over).option("checkpointLocation", checkpoint)
+            .trigger(processingTime=pause).start())
+
+
+def replay_all(spark: SparkSession, folder: str, steps: int, send: Callable[[DataFrame, int], None], checkpoint: str,
+               pause: str = PAUSE) -> None:
+    """Replay up to the last step and stop."""
+    done = []
+
+    def counted(rows: DataFrame, step: int) -> None:
+        send(rows, step)
+        done.append(step)
+
+    query = start_replay(spark, folder, counted, checkpoint, pause)
+    try:
+        while query.isActive and steps - 1 not in done:
+            query.awaitTermination(0.1)
+    finally:
+        query.stop()
+    if query.exception() is not None:
+        raise query.exception()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickerpulse.functions import text
 from tickerpulse.operators import posts as P
+from tickerpulse.plans import replay
 from tickerpulse.schemas import SCORED_POST
 from tickerpulse.session import scratch_path
 from tickerpulse.sources import stream
@@ -136,12 +137,29 @@ def _(spark, sf):
 def _(spark, sf):
     records, out = scratch_path(spark, "records"), scratch_path(spark, "replayed")
     P.encode_posts(v.posts(spark, sf)).repartition(4).write.json(records)
-    replay = stream.read_record_files(spark, records, files_per_trigger=1).select("key")
-    jobs.start_batches(replay, sinks.parquet_batches(out), scratch_path(spark, "checkpoint"), None).awaitTermination()
+    throttled = stream.read_record_files(spark, records, files_per_trigger=1).select("key")
+    jobs.start_batches(throttled, sinks.parquet_batches(out), scratch_path(spark, "checkpoint"), None).awaitTermination()
     got = spark.read.schema("key string, batch int").option("basePath", out).parquet(out)
     return got.agg(F.count_distinct("batch").alias("batches"), F.count(F.lit(1)).alias("records"))
 
 
+@query("s17_replay_in_steps", sql(q.POSTS, select="""
+  SELECT step, CAST(count(*) AS BIGINT) AS records, CAST(min(t_key) AS VARCHAR) AS first_key FROM (
+    SELECT t_key, (row_number() OVER (ORDER BY CAST(t_key AS BIGINT)) - 1) // 150 AS step FROM posts) GROUP BY 1"""))
+def _(spark, sf):
+    # 150 records a step, as the smallest tables hold few posts
+    folder, out = scratch_path(spark, "steps"), scratch_path(spark, "replayed")
+    posts = v.posts(spark, sf).select("t_key", F.col("t_key").cast("bigint").alias("place"))
+    steps = replay.lay_out_steps(posts, "place", folder, 150)
+
+    def send(rows: DataFrame, step: int) -> None:
+        rows.withColumn("step", F.lit(step)).write.mode("overwrite").parquet(f"{out}/batch={step}")
+
+    replay.replay_all(spark, folder, steps, send, scratch_path(spark, "checkpoint"), "0 seconds")
+    got = spark.read.schema("t_key string, step bigint").parquet(*[f"{out}/batch={k}" for k in range(steps)])
+    return got.groupBy("step").agg(F.count(F.lit(1)).alias("records"), F.min("t_key").alias("first_key"))
+
+
 @query("a20_micro_batch_counts", sql(select="SELECT CAST(count(*) AS BIGINT) AS records FROM documents"))
 def _(spark, sf):
     out = scratch_path(spark, "counts")
