@@ -33,6 +33,7 @@ UNLABELLED = 8_000
 SHAPES = 1 << 10
 EXTRA = 8
 STEPS = 300
+RANKINGS = (0.5, 0.7)
 BIN_RISK, BIN_WEIGHT = 0.1, 0.01  # of the bound by which the prior is read off
 HIDDEN = 16
 
@@ -152,19 +153,29 @@ def fit(good: np.ndarray, web: np.ndarray, prior: float, steps: int = STEPS, see
 
 def estimate_prior(good: np.ndarray, web: np.ndarray) -> float:
     """Share of good texts among ``web``, from trusted ``good`` ones alone. A model fitted on half of
-    both ranks the other halves. Above a place in that ranking where hardly any bad text is left, web
+    both ranks the other halves, and the other way round; the mean of both counts. Above a place in that ranking where hardly any bad text is left, web
     texts are as frequent as good ones times that share; the place is the one with the lowest upper
-    confidence bound (Garg et al. 2021, best bin estimation). Without texts to rank it is a half."""
+    confidence bound (Garg et al. 2021, best bin estimation). Bad texts left above it only raise the
+    figure, so places are sought in several rankings, by models that take different shares for true.
+    Without texts to rank it is a half."""
     if min(len(good), len(web)) < 4:
         return 0.5
-    model = fit(good[::2], web[::2], 0.5)
-    p, u = np.sort(model.raw(good[1::2])), np.sort(model.raw(web[1::2]))
-    cuts = np.unique(p)
-    above_p = 1 - np.searchsorted(p, cuts) / len(p)
-    above_u = 1 - np.searchsorted(u, cuts) / len(u)
-    slack = sum(math.sqrt(math.log(4 / BIN_RISK) / (2 * n)) for n in (len(p), len(u)))
-    best = int(np.argmin((above_u + (1 + BIN_WEIGHT) * slack) / above_p))
-    return float(min(above_u[best] / above_p[best], 1.0))
+    found = []
+    for one, other in ((0, 1), (1, 0)):
+        lowest, share = math.inf, 1.0
+        for assumed in RANKINGS:
+            model = fit(good[one::2], web[one::2], assumed)
+            p, u = np.sort(model.raw(good[other::2])), np.sort(model.raw(web[other::2]))
+            cuts = np.unique(p)
+            above_p = 1 - np.searchsorted(p, cuts) / len(p)
+            above_u = 1 - np.searchsorted(u, cuts) / len(u)
+            slack = sum(math.sqrt(math.log(4 / BIN_RISK) / (2 * n)) for n in (len(p), len(u)))
+            bound = (above_u + (1 + BIN_WEIGHT) * slack) / above_p
+            best = int(np.argmin(bound))
+            if bound[best] < lowest:
+                lowest, share = float(bound[best]), float(above_u[best] / above_p[best])
+        found.append(min(share, 1.0))
+    return sum(found) / 2
 
 
 def _taken(texts: DataFrame, rows: int) -> np.ndarray:
