@@ -3,8 +3,8 @@ copies, drop documents that hold test items, pack what is left.
 
 Each stage takes (spark, docs, sf_dir) and returns a DataFrame, which is written and read back as the
 next stage's ``docs``. All but the last return the columns of ``documents``. A document without an id
-cannot be labelled, looked up or referred to; it goes through every stage like the others. Empty
-texts are neither toxic nor near copies; the quality model scores them like any text.
+cannot be labelled; it goes through every stage like the others. Empty texts are neither toxic nor near
+copies; the quality model scores them like any text.
 """
 
 from __future__ import annotations
@@ -37,17 +37,21 @@ def drop_poor(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: the one with the smallest id. Rows that repeat an
-    id within a group stay together; so do rows without an id in a group that has none."""
+    """One row of each group of near copies: the one with the smallest id, of those that repeat it any
+    one; a row without an id only where the group has none. Rows are numbered for that, so copies that
+    repeat an id or have none are told apart."""
     ship(spark)
-    gone = near_dedup.near_duplicates(docs).where(~F.col("kept")).select(
-        "doc_id", F.col("text_key")).distinct()
-    key = F.xxhash64(F.coalesce("text", F.lit("")))
-    return docs.join(gone, (docs["doc_id"].eqNullSafe(gone["doc_id"])) & (key == gone["text_key"]), "left_anti")
+    row = "_row" + "_" * max((len(c) for c in docs.columns), default=0)  # no other column has that name
+    numbered = stage(docs.withColumn(row, F.monotonically_increasing_id()), "numbered")
+    groups = near_dedup.near_duplicates(numbered.select(F.col(row).alias("doc_id"), "text")).select(
+        F.col("doc_id").alias(row), "component_id")
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", row)
+    kept = numbered.select(row, "doc_id").join(groups, row).groupBy("component_id").agg(F.min(order).alias("first"))
+    return numbered.join(kept.select(F.col("first")[row].alias(row)), row, "left_semi").drop(row)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no item of ``benchmark``."""
+    """Rows whose text holds no item of ``benchmark``."""
     ship(spark)
     return decontaminate.clean(docs, table(spark, sf_dir, "benchmark"))
 
