@@ -292,6 +292,17 @@ def test_tables_and_groups_of_symbols(rows, monkeypatch):
     assert [(s, f, k) for s, f, k, _, _ in nested] == [(s, "lg", k) for s in ("A.X", "Z-Y.CC") for k in range(3)]
 
 
+def test_tasks_follow_the_rows_and_hold_few_symbols(rows, monkeypatch):
+    def held(problem):
+        return problem.rows.select("symbol", F.spark_partition_id().alias("task")).groupBy("symbol", "task").count().collect()
+
+    assert len({r.task for r in held(joint.prepare(rows, KEYS, False))}) == 1
+    monkeypatch.setattr(joint, "ROWS_OF_TASK", 50)
+    cells = held(joint.prepare(rows, KEYS, False))
+    assert 3 <= len({r.task for r in cells}) <= 7 and len(cells) <= 8  # one task at most holds both symbols
+    assert sum(r["count"] for r in cells) == 350
+
+
 def test_odd_rows(spark, rows):
     """Null features and labels are left out; one class, one value or one row still give a model."""
     odd = _frame(spark, {"B": 12, "C": 40}, 3).withColumn("Target", F.when(F.col("symbol") == "B", 1).otherwise(F.col("Target")))
