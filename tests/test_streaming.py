@@ -141,3 +141,26 @@ def test_replay_in_steps_goes_on_after_a_restart(spark, tmp_path):
     assert [p for _, places in sent for p in places] == list(range(1, 1048))
     assert [len(places) for _, places in sent] == [100] * 10 + [47]
     assert replay.lay_out_steps(records.limit(0), "place", str(tmp_path / "none"), 100) == 0
+
+
+def test_replay_of_several_steps_at_once(spark, tmp_path):
+    """A batch holds whole steps, each row says its own; the batch that failed is sent again whole."""
+    records = spark.range(1, 1048).select(F.col("id").alias("place")).repartition(5)
+    folder = str(tmp_path / "steps")
+    steps = replay.lay_out_steps(records, "place", folder, 100, width=64)
+    sent, failing = [], [True]
+
+    def send(rows, step):
+        if step == 4 and failing:
+            failing.clear()
+            raise RuntimeError("lost")
+        sent.append((step, sorted((r.step, r.place) for r in rows.collect())))
+
+    for again in (False, True):
+        try:
+            replay.replay_all(spark, folder, steps, send, str(tmp_path / "checkpoint"), "0 seconds", steps_at_once=4)
+        except Exception as e:
+            assert not again and "lost" in str(e)
+    assert [s for s, _ in sent] == [0, 4, 8]
+    assert [row for _, rows in sent for row in rows] == [((place - 1) // 100, place) for place in range(1, 1048)]
+    replay.replay_all(spark, str(tmp_path / "none"), 0, send, str(tmp_path / "other"), "0 seconds")

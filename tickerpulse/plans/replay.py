@@ -38,35 +38,45 @@ def lay_out_steps(records: DataFrame, order: str, folder: str, step_records: int
 
 
 def start_replay(spark: SparkSession, folder: str, send: Callable[[DataFrame, int], None], checkpoint: str,
-                 pause: str = PAUSE) -> StreamingQuery:
+                 pause: str = PAUSE, steps_at_once: int = 1) -> StreamingQuery:
     """A query that hands the next step to ``send`` (rows, step) after every pause. The number of the step
     is the offset of the stream, so a restart goes on where the last finished step ended and a
     step that failed is sent again under its number. Only the folder of that step is read; after the
-    last one nothing is sent."""
-    steps = spark.readStream.format("rate-micro-batch").option("rowsPerBatch", 1).option("numPartitions", 1).load()
+    last one nothing is sent.
+
+    Small steps can be handed over ``steps_at_once`` in one batch (fewer at the end), under the number of
+    the first: the rows then say their ``step``, and the batch is what is sent again. The folders are listed
+    once, so ``folder`` has to be laid out before."""
+    steps = (spark.readStream.format("rate-micro-batch").option("rowsPerBatch", steps_at_once)
+             .option("numPartitions", 1).load())
+    laid_out = spark.read.parquet(folder)
 
     def hand_over(batch: DataFrame, _: int) -> None:
-        for row in batch.select("value").collect():  # one row
-            rows = spark.read.parquet(folder).where(F.col("step") == row.value).drop("step")
-            if not rows.isEmpty():
-                send(rows.sortWithinPartitions("rn").drop("rn"), row.value)
+        numbers = [row.value for row in batch.select("value").collect()]  # ``steps_at_once`` rows
+        if not numbers:
+            return
+        rows = laid_out.where(F.col("step").between(min(numbers), max(numbers)))
+        if not rows.isEmpty():
+            send(rows.sortWithinPartitions("rn").drop("rn", *(["step"] if steps_at_once == 1 else [])), min(numbers))
 
     return (steps.writeStream.foreachBatch(hand_over).option("checkpointLocation", checkpoint)
             .trigger(processingTime=pause).start())
 
 
 def replay_all(spark: SparkSession, folder: str, steps: int, send: Callable[[DataFrame, int], None], checkpoint: str,
-               pause: str = PAUSE) -> None:
+               pause: str = PAUSE, steps_at_once: int = 1) -> None:
     """Replay up to the last step and stop."""
+    if not steps:
+        return
     done = []
 
     def counted(rows: DataFrame, step: int) -> None:
         send(rows, step)
         done.append(step)
 
-    query = start_replay(spark, folder, counted, checkpoint, pause)
+    query = start_replay(spark, folder, counted, checkpoint, pause, steps_at_once)
     try:
-        while query.isActive and steps - 1 not in done:
+        while query.isActive and not (done and done[-1] + steps_at_once >= steps):
             query.awaitTermination(0.1)
     finally:
         query.stop()
