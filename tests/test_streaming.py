@@ -164,3 +164,16 @@ def test_replay_of_several_steps_at_once(spark, tmp_path):
     assert [s for s, _ in sent] == [0, 4, 8]
     assert [row for _, rows in sent for row in rows] == [((place - 1) // 100, place) for place in range(1, 1048)]
     replay.replay_all(spark, str(tmp_path / "none"), 0, send, str(tmp_path / "other"), "0 seconds")
+
+
+def test_files_of_a_throttled_replay_stay_small(spark, tmp_path):
+    """The batches stay as many, the files of one grow in number and not in size."""
+    records = spark.range(0, 1000, 1, 3).select(F.col("id").cast("string").alias("key"), F.lit("v").alias("value"))
+    for limit, files in ((1000, 1), (100, 3)):
+        folder, got = str(tmp_path / f"records{limit}"), []
+        assert replay.lay_out_files(records, folder, 4, limit) == files
+        sizes = [r["count"] for r in spark.read.json(folder).groupBy(F.input_file_name()).count().collect()]
+        assert len(sizes) == 4 * files and sum(sizes) == 1000 and max(sizes) <= 1.2 * 1000 / (4 * files)
+        throttled = stream.read_record_files(spark, folder, files_per_trigger=files)
+        jobs.start_batches(throttled, lambda batch, _: got.append(batch.count()), str(tmp_path / f"check{limit}"), None).awaitTermination()
+        assert len(got) == 4 and sum(got) == 1000

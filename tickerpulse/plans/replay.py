@@ -37,6 +37,14 @@ def lay_out_steps(records: DataFrame, order: str, folder: str, step_records: int
     return 0 if last is None else last + 1
 
 
+def lay_out_files(records: DataFrame, folder: str, batches: int, file_records: int = STEP_RECORDS) -> int:
+    """Write ``records`` as JSON to be replayed in so many batches, in files of about ``file_records`` at most, so that
+    no task writes a batch alone. Returns the number of files that make up a batch."""
+    files = max(1, -(-records.count() // (batches * file_records)))
+    records.repartition(batches * files).write.json(folder)
+    return files
+
+
 def start_replay(spark: SparkSession, folder: str, send: Callable[[DataFrame, int], None], checkpoint: str,
                  pause: str = PAUSE, steps_at_once: int = 1) -> StreamingQuery:
     """A query that hands the next step to ``send`` (rows, step) after every pause. The number of the step

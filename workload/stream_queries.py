@@ -136,8 +136,8 @@ def _(spark, sf):
   SELECT CAST(4 AS BIGINT) AS batches, CAST(count(*) AS BIGINT) AS records FROM documents"""))
 def _(spark, sf):
     records, out = scratch_path(spark, "records"), scratch_path(spark, "replayed")
-    P.encode_posts(v.posts(spark, sf)).repartition(4).write.json(records)
-    throttled = stream.read_record_files(spark, records, files_per_trigger=1).select("key")
+    files = replay.lay_out_files(P.encode_posts(v.posts(spark, sf)), records, 4)
+    throttled = stream.read_record_files(spark, records, files_per_trigger=files).select("key")
     jobs.start_batches(throttled, sinks.parquet_batches(out), scratch_path(spark, "checkpoint"), None).awaitTermination()
     got = spark.read.schema("key string, batch int").option("basePath", out).parquet(out)
     return got.agg(F.count_distinct("batch").alias("batches"), F.count(F.lit(1)).alias("records"))
