@@ -252,6 +252,15 @@ def test_jaccard_join_in_one_large_family(spark):
     assert _joined(jaccard_join.jaccard_components(_docs(spark, docs, 5))) == _components(docs, 3, 90, 100)
 
 
+def test_jaccard_join_sends_wanted_texts_only(spark):
+    docs = _docs(spark, [(i, f"text number {i} of its own kind") for i in range(2000)], 3)
+    keyed = jaccard_join._keyed(docs)
+    texts, held = jaccard_join._wanted_texts(docs, keyed.where("doc_id % 100 = 0").select("row_key"), 1 << 20)
+    got = {r.text for r in texts.collect()}
+    held.destroy()
+    assert {f"text number {i} of its own kind" for i in range(0, 2000, 100)} <= got and len(got) <= 25
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_components(_docs(spark, [])).collect() == []
     lone = [(None, None), (None, ""), (1, " ")]

@@ -34,6 +34,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -172,20 +173,39 @@ def _members(rows: DataFrame, bits: int) -> DataFrame:
                 "cls": pa.array(np.repeat(batch.column("cls").to_numpy(zero_copy_only=False), sizes)[keep])})
 
     found = rows.select("cls", "signatures").where(F.size("signatures") > 0).mapInArrow(tidy(run), "sign long, cls long")
-    return stage(found.join(shared, "sign").where("cls <> pivot").select("pivot", "cls").distinct(), "members")
+    out = stage(found.join(shared, "sign").where("cls <> pivot").select("pivot", "cls").distinct(), "members")
+    held.destroy()
+    return out
 
 
-def _whole_sets(docs: DataFrame, rows: DataFrame, members: DataFrame, size: int) -> DataFrame:
-    """(cls, shingles) of all classes in ``members``, each from one text."""
+def _wanted_texts(docs: DataFrame, one: DataFrame, bits: int) -> tuple[DataFrame, Broadcast]:
+    """(row_key, text) of the rows that ``one`` names, and of few others: these are left out where the texts
+    are read, as the join would otherwise send every text. The broadcast holds until the rows are written."""
+    held = docs.sparkSession.sparkContext.broadcast(bit_set(one, "row_key", bits))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: BitSet = held.value
+        for batch in batches:
+            keys = batch.column("row_key").to_numpy(zero_copy_only=False)
+            yield batch.filter(pa.array(known.has(keys.view(np.uint64))))
+
+    return _keyed(docs).select("row_key", "text").mapInArrow(tidy(run), "row_key long, text string"), held
+
+
+def _whole_sets(docs: DataFrame, rows: DataFrame, members: DataFrame, size: int, bits: int = BITS) -> DataFrame:
+    """(cls, shingles) of all classes in ``members``, each from one text, written once."""
     wanted = members.select("cls").unionByName(members.select(F.col("pivot").alias("cls"))).distinct()
-    one = rows.groupBy("cls").agg(F.min("row_key").alias("row_key")).join(wanted, "cls")
+    one = stage(rows.groupBy("cls").agg(F.min("row_key").alias("row_key")).join(wanted, "cls"), "wanted")
+    texts, held = _wanted_texts(docs, one, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield pa.RecordBatch.from_arrays([batch.column("cls"), _lists(list(_sets(batch, size)))], names=["cls", "shingles"])
 
-    texts = _keyed(docs).select("row_key", "text").join(one, "row_key").dropDuplicates(["row_key"])
-    return texts.select("cls", "text").mapInArrow(tidy(run), "cls long, shingles array<long>")
+    found = texts.join(one, "row_key").dropDuplicates(["row_key"])
+    out = stage(found.select("cls", "text").mapInArrow(tidy(run), "cls long, shingles array<long>"), "sets")
+    held.destroy()
+    return out
 
 
 def _linked(sizes: Column, different: Column, similarity: tuple[int, int]) -> Column:
@@ -273,7 +293,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, similarity: tuple[i
     """
     rows = stage(signed(docs, size, similarity, parts, differing), "signed")
     members = _members(rows, bits)
-    sets = stage(_whole_sets(docs, rows, members, size), "sets")
+    sets = _whole_sets(docs, rows, members, size, bits)
     stars = stage(_stars(members, sets, similarity), "stars")
     groups = stage(connected(stars.where("linked").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))), "groups")
     late = stage(_late_links(stars, groups, similarity), "late")
