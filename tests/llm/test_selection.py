@@ -261,6 +261,21 @@ def test_jaccard_join_sends_wanted_texts_only(spark):
     assert {f"text number {i} of its own kind" for i in range(0, 2000, 100)} <= got and len(got) <= 25
 
 
+def test_jaccard_join_counts_signatures_once_for_a_class(spark):
+    words = [f"w{i}" for i in range(60)]
+    alone, near = " ".join(words), " ".join(["v", *words[1:]])
+
+    def repeated(texts):
+        rows = jaccard_join.signed(_docs(spark, list(enumerate(texts)), 1).repartition(4, "doc_id")).cache()
+        assert rows.where("signs > 0").count() > rows.select("cls").distinct().count()
+        found = {r.sign >> (64 - jaccard_join.HEAD) for r in jaccard_join._repeated(rows, 1 << 20).collect()}
+        assert found <= {s >> (64 - jaccard_join.HEAD) for r in rows.collect() for s in r.signatures}
+        return found
+
+    assert not repeated([alone] * 40)  # copies that several tasks met
+    assert repeated([alone] * 40 + [near] * 40)
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_components(_docs(spark, [])).collect() == []
     lone = [(None, None), (None, ""), (1, " ")]

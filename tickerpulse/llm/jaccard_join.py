@@ -21,8 +21,9 @@ in at most (n + m) * (1 - t) / (1 + t) elements, t being the similarity. The ste
    element in common, in different components, are compared, by their deltas.
 
 So every pair at the threshold is compared, or known to be connected by links that hold, and neither
-copies nor members of a group are written out as pairs of all with all. Shared signatures are entered in a set
-of ``BITS`` bits, which every task gets, so that the others need not be sent a second time.
+copies nor members of a group are written out as pairs of all with all. Signatures are counted by their first
+``HEAD`` bits alone; those of several classes are entered in a set of ``BITS`` bits, which every task gets, so that the others
+are never sent with their class.
 """
 
 from __future__ import annotations
@@ -46,6 +47,7 @@ SIMILARITY = (90, 100)  # links: 100 * intersection >= 90 * union
 PARTS = 3  # partitions of a range
 DIFFERING = 1  # partitions of a range that are left out
 BITS = 1 << 27
+HEAD = 40  # leading bits of a signature by which those of one class are told from the rest
 SEEN = 100_000  # classes a task remembers, to send the signatures of its copies once
 LARGEST = 1 << 32
 
@@ -130,7 +132,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 def signed(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = SIMILARITY, parts: int = PARTS,
            differing: int = DIFFERING) -> DataFrame:
-    """doc_id, row_key, cls, n (set size) and signatures. Of the copies of a set that a task meets, only the
+    """doc_id, row_key, cls, n (set size), signatures and their number (signs). Of the copies of a set that a task meets, only the
     first carries its signatures."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,20 +148,45 @@ def signed(docs: DataFrame, size: int = SHINGLE, similarity: tuple[int, int] = S
                     seen.clear()
                 seen.add(name)
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("row_key"), pa.array(cls, pa.int64()), pa.array(n, pa.int64()), _lists(signs)],
-                names=["doc_id", "row_key", "cls", "n", "signatures"])
+                [batch.column("doc_id"), batch.column("row_key"), pa.array(cls, pa.int64()), pa.array(n, pa.int64()), _lists(signs),
+                 pa.array([len(x) for x in signs], pa.int64())], names=["doc_id", "row_key", "cls", "n", "signatures", "signs"])
 
-    return _keyed(docs).mapInArrow(tidy(run), "doc_id long, row_key long, cls long, n long, signatures array<long>")
+    return _keyed(docs).mapInArrow(tidy(run), "doc_id long, row_key long, cls long, n long, signatures array<long>, signs long")
+
+
+def _carriers(rows: DataFrame, bits: int) -> tuple[DataFrame, Broadcast]:
+    """(cls, signatures), once for each class. Only rows of classes that several tasks met, and of few others,
+    are sent for that. The broadcast holds until the rows are written."""
+    several = rows.where("signs > 0").groupBy("cls").agg(F.count("*").alias("carriers")).where("carriers > 1")
+    held = rows.sparkSession.sparkContext.broadcast(bit_set(several, "cls", bits))
+
+    def of(copied: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            known: BitSet = held.value
+            for batch in batches:
+                cls = batch.column("cls").to_numpy(zero_copy_only=False)
+                yield batch.filter(pa.array(known.has(cls.view(np.uint64)) == copied))
+
+        return rows.where("signs > 0").select("cls", "signatures").mapInArrow(tidy(run), "cls long, signatures array<long>")
+
+    return of(False).unionByName(of(True).dropDuplicates(["cls"])), held
+
+
+def _repeated(rows: DataFrame, bits: int) -> DataFrame:
+    """(sign): signatures of several classes and few others, cut to their first ``HEAD`` bits. Nearly all have one
+    class only, so they are counted without it: next to a random name little would be left to compress."""
+    single, held = _carriers(rows, bits)
+    head = F.shiftrightunsigned(F.col("sign"), 64 - HEAD)
+    heads = single.select(F.explode("signatures").alias("sign")).select(head.alias("head"))
+    often = heads.groupBy("head").agg(F.count("*").alias("classes")).where("classes > 1")
+    out = stage(often.select(F.shiftleft("head", 64 - HEAD).alias("sign")), "repeated")
+    held.destroy()
+    return out
 
 
 def _members(rows: DataFrame, bits: int) -> DataFrame:
     """(pivot, cls): classes that share a signature with a larger one, the largest that has it."""
-    each = rows.select("cls", "n", F.explode("signatures").alias("sign"))
-    # whole numbers order the sizes, fractions the classes of one size
-    priority = F.col("n") + F.pmod("cls", F.lit(1 << 20)) / F.lit(float(1 << 20))
-    shared = stage(each.groupBy("sign").agg(F.max_by("cls", priority).alias("pivot"), F.min("cls").alias("a"), F.max("cls").alias("b"))
-                   .where("a <> b").select("sign", "pivot"), "shared")
-    held = rows.sparkSession.sparkContext.broadcast(bit_set(shared, "sign", bits))
+    held = rows.sparkSession.sparkContext.broadcast(bit_set(_repeated(rows, bits), "sign", bits))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known: BitSet = held.value
@@ -170,12 +197,15 @@ def _members(rows: DataFrame, bits: int) -> DataFrame:
             keep = known.has(flat.view(np.uint64))
             yield pa.RecordBatch.from_pydict({
                 "sign": pa.array(flat[keep]),
-                "cls": pa.array(np.repeat(batch.column("cls").to_numpy(zero_copy_only=False), sizes)[keep])})
+                **{c: pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes)[keep]) for c in ("cls", "n")}})
 
-    found = rows.select("cls", "signatures").where(F.size("signatures") > 0).mapInArrow(tidy(run), "sign long, cls long")
-    out = stage(found.join(shared, "sign").where("cls <> pivot").select("pivot", "cls").distinct(), "members")
+    found = stage(rows.where("signs > 0").select("cls", "n", "signatures").mapInArrow(tidy(run), "sign long, cls long, n long"), "found")
     held.destroy()
-    return out
+    # whole numbers order the sizes, fractions the classes of one size
+    priority = F.col("n") + F.pmod("cls", F.lit(1 << 20)) / F.lit(float(1 << 20))
+    shared = found.groupBy("sign").agg(F.max_by("cls", priority).alias("pivot"), F.min("cls").alias("a"), F.max("cls").alias("b"))
+    shared = stage(shared.where("a <> b").select("sign", "pivot"), "shared")
+    return stage(found.select("sign", "cls").join(shared, "sign").where("cls <> pivot").select("pivot", "cls").distinct(), "members")
 
 
 def _wanted_texts(docs: DataFrame, one: DataFrame, bits: int) -> tuple[DataFrame, Broadcast]:
@@ -193,17 +223,22 @@ def _wanted_texts(docs: DataFrame, one: DataFrame, bits: int) -> tuple[DataFrame
 
 
 def _whole_sets(docs: DataFrame, rows: DataFrame, members: DataFrame, size: int, bits: int = BITS) -> DataFrame:
-    """(cls, shingles) of all classes in ``members``, each from one text, written once."""
-    wanted = members.select("cls").unionByName(members.select(F.col("pivot").alias("cls"))).distinct()
+    """(cls, shingles, member, pivot) of all classes in ``members``, each from one text, written once, with
+    what it is there."""
+    ends = [members.select(F.col(c).alias("cls"), F.lit(c == "cls").alias("member"), F.lit(c == "pivot").alias("pivot"))
+            for c in ("cls", "pivot")]
+    wanted = ends[0].unionByName(ends[1]).groupBy("cls").agg(F.max("member").alias("member"), F.max("pivot").alias("pivot"))
     one = stage(rows.groupBy("cls").agg(F.min("row_key").alias("row_key")).join(wanted, "cls"), "wanted")
     texts, held = _wanted_texts(docs, one, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), _lists(list(_sets(batch, size)))], names=["cls", "shingles"])
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), _lists(list(_sets(batch, size))), batch.column("member"), batch.column("pivot")],
+                                             names=["cls", "shingles", "member", "pivot"])
 
     found = texts.join(one, "row_key").dropDuplicates(["row_key"])
-    out = stage(found.select("cls", "text").mapInArrow(tidy(run), "cls long, shingles array<long>"), "sets")
+    out = stage(found.select("cls", "text", "member", "pivot").mapInArrow(
+        tidy(run), "cls long, shingles array<long>, member boolean, pivot boolean"), "sets")
     held.destroy()
     return out
 
@@ -215,7 +250,9 @@ def _linked(sizes: Column, different: Column, similarity: tuple[int, int]) -> Co
 
 def _stars(members: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """``members`` with their size, their delta against the pivot and whether they are linked with it."""
-    met = members.join(sets.toDF("cls", "own"), "cls").join(sets.toDF("pivot", "whole"), "pivot")
+    own = sets.where("member").select("cls", F.col("shingles").alias("own"))
+    whole = sets.where("pivot").select(F.col("cls").alias("pivot"), F.col("shingles").alias("whole"))
+    met = members.join(own, "cls").join(whole, "pivot")
     delta = F.concat(F.array_except("own", "whole"), F.array_except("whole", "own"))
     out = met.select("pivot", "cls", F.size("own").cast("long").alias("n"), (F.size("own") + F.size("whole")).cast("long").alias("sizes"),
                      delta.alias("delta"))
