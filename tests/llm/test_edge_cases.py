@@ -9,6 +9,7 @@ import corpus_pipeline
 from tickerpulse.llm import (context_tree, decontaminate, idfiles, near_dedup, packing, quality_model, repetition,
                              toxicity, url_filter, warc)
 from tickerpulse.llm.common import labelled_sample
+from tickerpulse.llm import common, components
 from tickerpulse.llm.components import connected
 from tickerpulse.llm.queries import ship, tokenizer_file
 
@@ -114,6 +115,17 @@ def test_components(spark):
     assert connected(links.limit(0)).count() == 0
 
 
+def test_components_that_are_stars_take_no_round(spark, monkeypatch):
+    written = []
+    monkeypatch.setattr(components, "stage", lambda df, name: written.append(name) or common.stage(df, name))
+    stars = spark.createDataFrame([(2, 1), (3, 1), (1, 1), (5, 4), (4, 4), (9, 7)], "a long, b long")
+    assert {r.node: r.root for r in connected(stars).collect()} == {1: 1, 2: 1, 3: 1, 4: 4, 5: 4, 7: 7, 9: 7}
+    assert len(written) == 1
+    # a chain, and a node below two others
+    assert {r.root for r in connected(spark.createDataFrame([(3, 2), (2, 1)], "a long, b long")).collect()} == {1}
+    assert {r.root for r in connected(spark.createDataFrame([(3, 2), (3, 1)], "a long, b long")).collect()} == {1}
+
+
 def test_packing(odd, nothing):
     path = tokenizer_file("byte_bpe_50k.json")
     got = packing.pack(packing.pieces(odd, path, with_ids=True)).toPandas()

@@ -64,14 +64,19 @@ def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]) ->
 
     def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield from run(batches)
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
-        if trim:
-            trim(0)
+        give_back()
 
     return tidied
 
 
+def give_back() -> None:
+    """Memory that is free inside this process goes back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if trim:
+        trim(0)
+
+
 def crc_remainder(doc_id: Column, divisor: int) -> Column:
     """crc32 of the id as text, modulo; a null id counts as the empty text (remainder 0)."""
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % divisor

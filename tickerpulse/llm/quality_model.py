@@ -26,13 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
-from .common import labelled_sample, text_chunks, tidy, with_columns, words_of
+from .common import give_back, labelled_sample, text_chunks, tidy, with_columns, words_of
 
 POSITIVES = 4_000
 UNLABELLED = 8_000
 SHAPES = 1 << 10
 EXTRA = 8
 STEPS = 300
+COLUMNS = 64  # whose spread is taken at once
 RANKINGS = (0.5, 0.7)
 BIN_RISK, BIN_WEIGHT = 0.1, 0.01  # of the bound by which the prior is read off
 HIDDEN = 16
@@ -115,18 +116,18 @@ def fit(good: np.ndarray, web: np.ndarray, prior: float, steps: int = STEPS, see
     prior = min(max(prior, 0.01), 0.99)
     seen = np.concatenate([good, web]) if len(good) + len(web) else np.zeros((1, SHAPES + EXTRA), np.float32)
     mean, scale = seen.mean(0), np.zeros(seen.shape[1], np.float32)
-    spread = seen.std(0)
+    spread = np.concatenate([seen[:, i:i + COLUMNS].std(0) for i in range(0, seen.shape[1], COLUMNS)])  # copies what it is given
+    del seen
     scale[spread > 0] = 1 / np.maximum(spread[spread > 0], 0.02)
     rng = np.random.default_rng(seed)
-    p = [rng.normal(0, 0.05, (seen.shape[1], HIDDEN)).astype(np.float32), np.zeros(HIDDEN, np.float32),
+    p = [rng.normal(0, 0.05, (len(mean), HIDDEN)).astype(np.float32), np.zeros(HIDDEN, np.float32),
          rng.normal(0, 0.3, HIDDEN).astype(np.float32), np.zeros(1, np.float32)]
     if not len(good) or not len(web):
         return Model(mean, scale, p[0] * 0, p[1], p[2] * 0, 0.0, 0.0, float(np.log(prior / (1 - prior))))
     first, second = [np.zeros_like(x) for x in p], [np.zeros_like(x) for x in p]
-    a, b = (good - mean) * scale, (web - mean) * scale
     for step in range(1, steps + 1):
-        xa, xb = a[rng.integers(0, len(a), 256)], b[rng.integers(0, len(b), 512)]
-        x = np.concatenate([xa, xb])
+        xa, xb = good[rng.integers(0, len(good), 256)], web[rng.integers(0, len(web), 512)]
+        x = (np.concatenate([xa, xb]) - mean) * scale
         h = np.tanh(x @ p[0] + p[1])
         z = h @ p[2] + p[3][0]
         s = 1 / (1 + np.exp(-np.clip(z, -35, 35)))
@@ -188,7 +189,10 @@ def _taken(texts: DataFrame, rows: int) -> np.ndarray:
 
     hashed = texts.select("text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("spread"))
     got = hashed.mapInArrow(tidy(run), "x binary, spread long").orderBy("spread", "x").limit(rows).collect()
-    return np.array([np.frombuffer(r.x, np.float16) for r in got], np.float32).reshape(len(got), SHAPES + EXTRA)
+    out = np.empty((len(got), SHAPES + EXTRA), np.float32)
+    for i, r in enumerate(got):
+        out[i] = np.frombuffer(r.x, np.float16)
+    return out
 
 
 def train(docs: DataFrame, labels: DataFrame, most_positives: int = POSITIVES,
@@ -202,7 +206,10 @@ def train(docs: DataFrame, labels: DataFrame, most_positives: int = POSITIVES,
     positives = labelled_sample(docs, known, most_positives, {"quality": F.min}, F.col("quality") == 1)
     web = labelled_sample(docs, docs.select("doc_id"), most_unlabelled)
     good, seen = _taken(positives, most_positives), _taken(web, most_unlabelled)
-    return fit(good, seen, estimate_prior(good, seen))
+    model = fit(good, seen, estimate_prior(good, seen))
+    del good, seen
+    give_back()  # the driver goes on to other stages
+    return model
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:

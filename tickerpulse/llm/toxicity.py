@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BooleanType, DoubleType
 
-from .common import _BYTE_CODES, Words, labelled_sample, mix, powers, tidy, with_columns, word_chunks
+from .common import _BYTE_CODES, Words, give_back, labelled_sample, mix, powers, tidy, with_columns, word_chunks
 
 SEEN_IN = 3  # training rows a word must occur in to carry weight
 SIGNIFICANT = 3.5  # standard deviations from chance at which a word's rows tell of a category
@@ -224,8 +224,12 @@ def train(docs: DataFrame, labels: DataFrame, seeds: dict[str, Sequence[str]] =
     toxic = np.array([r.toxic > 0 for r in got], bool)
     fold = np.array([(r.spread >> 8) % folds for r in got], int)
     marks = [toxic & np.array([np.isin(a, hashed).any() for a in at], bool) for hashed in words.values()]
-    return fit_chain(x, np.column_stack([*marks, toxic]) if got else np.zeros((0, len(words) + 1)),
-                     (*words, LAST), fold, np.concatenate([*words.values(), np.zeros(0, np.uint32)]), folds)
+    marks = np.column_stack([*marks, toxic]) if got else np.zeros((0, len(words) + 1))
+    del got, at
+    chain = fit_chain(x, marks, (*words, LAST), fold, np.concatenate([*words.values(), np.zeros(0, np.uint32)]), folds)
+    del x
+    give_back()  # the driver goes on to other stages
+    return chain
 
 
 def _hash_words(words: Sequence[str]) -> set[int]:
