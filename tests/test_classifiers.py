@@ -303,6 +303,34 @@ def test_tasks_follow_the_rows_and_hold_few_symbols(rows, monkeypatch):
     assert sum(r["count"] for r in cells) == 350
 
 
+def test_passes_add_up_arrays_without_a_query(rows, monkeypatch):
+    monkeypatch.setattr(joint, "ROWS_OF_TASK", 16)  # many tasks
+    problem = joint.prepare(rows, KEYS, False, folds=3)
+
+    def work(own, state):
+        for u in state:
+            inside = joint.in_training(u, own.outer, own.inner)
+            if inside.any():
+                yield np.array([[u.inner, 0], [u.inner, 1]]), np.stack([own.x[inside].sum(0), np.abs(own.x[inside]).sum(0)])
+
+    def sums(found):
+        return {tuple(k.tolist()): v for k, v in zip(*found)}
+
+    one, other = (sums(f) for f in (joint.added(problem, work, problem.subsets),
+                                    joint.summed(problem, work, problem.subsets, ["inner", "kind"], len(FEATURES))))
+    assert len(one) == 2 * 4 * 2 and one.keys() == other.keys()
+    assert all(np.allclose(one[k], other[k], rtol=1e-12) for k in one)
+    assert problem.packed.getNumPartitions() > 1
+
+    def planned(*_):
+        raise AssertionError("a pass was planned as a query")
+
+    for module in (joint, joint_logistic, joint_kernel):
+        monkeypatch.setattr(module, "summed", planned, raising=False)
+    for family in ("lg", "svm"):
+        assert C.train_family(problem, family, SMALL).scores.n.sum() > 0
+
+
 def test_odd_rows(spark, rows):
     """Null features and labels are left out; one class, one value or one row still give a model."""
     odd = _frame(spark, {"B": 12, "C": 40}, 3).withColumn("Target", F.when(F.col("symbol") == "B", 1).otherwise(F.col("Target")))
