@@ -173,6 +173,32 @@ def test_boundaries_take_little_memory():
     tracemalloc.stop()
 
 
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=[c for c in map(chr, range(256)) if tokens._PLAIN.fullmatch(c)], max_size=40))
+def test_plain_text_by_its_words(text):
+    own = tokens.encoder(tokenizer_file("word_bpe_49k.json"))
+    want = own.tokenizer.encode(text, add_special_tokens=False).ids
+    assert own.encode(text) == np.array(want, "<u4").tobytes()
+
+
+def test_new_words_need_no_call_of_the_whole_tokenizer():
+    """Rare words of plain texts are what most of the time went into; case, place and signs beside them make no new ones."""
+    own = tokens.Encoder(tokenizer_file("word_bpe_49k.json"))
+    untouched, calls = own.tokenizer, []
+
+    class Counting:
+        def encode(self, text, **options):
+            calls.append(text)
+            return untouched.encode(text, **options)
+
+    own.tokenizer = own.parts.tokenizer = Counting()
+    text = ", ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}q Ärß{chr(97 + i % 26)} {i}." for i in range(400))
+    for x in (text, text.upper().replace("SS", "ß"), text.replace(" ", "\n")):
+        assert own.encode(x) == np.array(untouched.encode(x, add_special_tokens=False).ids, "<u4").tobytes()
+    assert not calls and len(own.words) < 450
+    assert tokens.encoder(tokenizer_file("byte_bpe_50k.json")).words is None
+
+
 SPECIAL = ("<|endoftext|>", "<|startoftext|>")
 
 
