@@ -12,6 +12,7 @@ import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tickerpulse.llm import collocations, jaccard_join, resampling
 from tickerpulse.llm.common import BitSet, spans
@@ -276,6 +277,30 @@ def test_jaccard_join_counts_signatures_once_for_a_class(spark):
     assert repeated([alone] * 40 + [near] * 40)
 
 
+def test_jaccard_join_sends_sets_and_deltas_once(spark):
+    """A set goes straight to its pivots, and the elements of the deltas once to their like, whatever is counted of them."""
+    sets = spark.createDataFrame([(1, [1, 2, 3, 4], [], True), (2, [1, 2, 3, 5], [1], False), (3, [1, 2, 5, 6], [1, 2], False), (4, [7], [], True)],
+                                 "cls long, shingles array<long>, pivots array<long>, pivot boolean").withColumn("pivot", F.col("cls") < 3)
+    stars = jaccard_join._stars(sets, (60, 100))
+    got = {(r.pivot, r.cls): (r.n, sorted(r.delta), r.linked) for r in stars.collect()}
+    assert got == {(1, 2): (4, [4, 5], True), (1, 3): (4, [3, 4, 5, 6], False), (2, 3): (4, [3, 6], True)}
+    assert len(re.findall(r"Exchange hashpartitioning\(cls", stars._jdf.queryExecution().executedPlan().toString())) == 0
+
+    placed = spark.createDataFrame([(1, 2, 100, [4, 5], 1, False), (1, 3, 100, [4, 5, 9], 3, True), (1, 6, 100, [5, 8], 1, False)],
+                                   "pivot long, cls long, n long, delta array<long>, root long, outside boolean")
+    first = jaccard_join._first_elements(placed, (90, 100))
+    plan = first._jdf.queryExecution().executedPlan().toString()
+    assert len(re.findall(r"Exchange hashpartitioning\(pivot#\d+L?, element", plan)) == 1
+    got = {(r.cls, r.element): (r.n, r.root, r.outside, r.d, r["at"]) for r in first.collect()}
+    assert got == {(2, 4): (100, 1, False, 2, 0), (3, 4): (100, 3, True, 3, 1), (3, 5): (100, 3, True, 3, 2)}
+
+
+def test_signatures_are_cut(spark):
+    own = np.sort(np.random.default_rng(3).integers(0, 2**64, 300, dtype=np.uint64))
+    made = jaccard_join.signatures(own)
+    assert len(np.unique(made)) == len(made) > 20 and not np.any(made << np.uint64(jaccard_join.WIDTH))
+
+
 def test_jaccard_join_of_nothing(spark):
     assert jaccard_join.jaccard_components(_docs(spark, [])).collect() == []
     lone = [(None, None), (None, ""), (1, " ")]

@@ -36,7 +36,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import Broadcast
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import BitSet, bit_set, mix, shingle_codes, stage, tidy, word_chunks
@@ -47,6 +47,7 @@ SIMILARITY = (90, 100)  # links: 100 * intersection >= 90 * union
 PARTS = 3  # partitions of a range
 DIFFERING = 1  # partitions of a range that are left out
 BITS = 1 << 27
+WIDTH = 48  # leading bits of a signature that are kept; the others are 0 and cost little on disk
 HEAD = 40  # leading bits of a signature by which those of one class are told from the rest
 SEEN = 100_000  # classes a task remembers, to send the signatures of its copies once
 LARGEST = 1 << 32
@@ -103,7 +104,7 @@ def signatures(own: np.ndarray, similarity: tuple[int, int] = SIMILARITY, parts:
         for c, chosen in enumerate(choices):
             name = (np.arange(n1, dtype=np.uint64) * np.uint64(len(choices)) + np.uint64(c)) << np.uint64(16) | np.uint64(number)
             out.append(mix(held[:, chosen].sum(axis=1, dtype=np.uint64) ^ mix(name + np.uint64(1))))
-    return np.concatenate(out) if out else np.zeros(0, np.uint64)
+    return np.concatenate(out) >> np.uint64(64 - WIDTH) << np.uint64(64 - WIDTH) if out else np.zeros(0, np.uint64)
 
 
 def _sets(batch: pa.RecordBatch, size: int) -> Iterator[np.ndarray]:
@@ -223,22 +224,22 @@ def _wanted_texts(docs: DataFrame, one: DataFrame, bits: int) -> tuple[DataFrame
 
 
 def _whole_sets(docs: DataFrame, rows: DataFrame, members: DataFrame, size: int, bits: int = BITS) -> DataFrame:
-    """(cls, shingles, member, pivot) of all classes in ``members``, each from one text, written once, with
-    what it is there."""
-    ends = [members.select(F.col(c).alias("cls"), F.lit(c == "cls").alias("member"), F.lit(c == "pivot").alias("pivot"))
-            for c in ("cls", "pivot")]
-    wanted = ends[0].unionByName(ends[1]).groupBy("cls").agg(F.max("member").alias("member"), F.max("pivot").alias("pivot"))
+    """(cls, shingles, pivots, pivot) of all classes in ``members``, each from one text, written once, with
+    the pivots it meets (of its signatures each has one at most) and whether it is one. So a set goes straight to its pivots."""
+    ends = [members.select("cls", F.col("pivot").alias("of"), F.lit(False).alias("pivot")),
+            members.select(F.col("pivot").alias("cls"), F.lit(None).cast("long").alias("of"), F.lit(True).alias("pivot"))]
+    wanted = ends[0].unionByName(ends[1]).groupBy("cls").agg(F.collect_list("of").alias("pivots"), F.max("pivot").alias("pivot"))
     one = stage(rows.groupBy("cls").agg(F.min("row_key").alias("row_key")).join(wanted, "cls"), "wanted")
     texts, held = _wanted_texts(docs, one, bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column("cls"), _lists(list(_sets(batch, size))), batch.column("member"), batch.column("pivot")],
-                                             names=["cls", "shingles", "member", "pivot"])
+            yield pa.RecordBatch.from_arrays([batch.column("cls"), _lists(list(_sets(batch, size))), batch.column("pivots"), batch.column("pivot")],
+                                             names=["cls", "shingles", "pivots", "pivot"])
 
     found = texts.join(one, "row_key").dropDuplicates(["row_key"])
-    out = stage(found.select("cls", "text", "member", "pivot").mapInArrow(
-        tidy(run), "cls long, shingles array<long>, member boolean, pivot boolean"), "sets")
+    out = stage(found.select("cls", "text", "pivots", "pivot").mapInArrow(
+        tidy(run), "cls long, shingles array<long>, pivots array<long>, pivot boolean"), "sets")
     held.destroy()
     return out
 
@@ -248,11 +249,11 @@ def _linked(sizes: Column, different: Column, similarity: tuple[int, int]) -> Co
     return (sizes - different) * den >= (sizes + different) * num
 
 
-def _stars(members: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """``members`` with their size, their delta against the pivot and whether they are linked with it."""
-    own = sets.where("member").select("cls", F.col("shingles").alias("own"))
+def _stars(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
+    """(pivot, cls) of the members with their size, their delta against the pivot and whether they are linked with it."""
+    own = sets.select("cls", F.col("shingles").alias("own"), F.explode("pivots").alias("pivot"))
     whole = sets.where("pivot").select(F.col("cls").alias("pivot"), F.col("shingles").alias("whole"))
-    met = members.join(own, "cls").join(whole, "pivot")
+    met = own.join(whole, "pivot")
     delta = F.concat(F.array_except("own", "whole"), F.array_except("whole", "own"))
     out = met.select("pivot", "cls", F.size("own").cast("long").alias("n"), (F.size("own") + F.size("whole")).cast("long").alias("sizes"),
                      delta.alias("delta"))
@@ -268,12 +269,11 @@ def _first_elements(placed: DataFrame, similarity: tuple[int, int]) -> DataFrame
     differ in t. One of them lies outside its pivot's component, so its delta is larger than t and they share more
     than half of the other's. Two sets that share s elements have one in common among the first
     d - s + 1 of the one and e - s + 1 of the other."""
-    each = placed.select("pivot", "cls", "n", "root", "outside", F.size("delta").alias("d"), F.explode("delta").alias("element"))
-    lists = each.groupBy("pivot", "element").agg(F.count("*").alias("df"), F.min("root").alias("a"), F.max("root").alias("b"))
-    mixed = lists.where("a <> b").select("pivot", "element", "df")
-    own = each.join(mixed, ["pivot", "element"]).groupBy("pivot", "cls").agg(
-        F.first("n").alias("n"), F.first("root").alias("root"), F.first("outside").alias("outside"), F.first("d").alias("d"),
-        F.sort_array(F.collect_list(F.struct("df", "element"))).alias("rare"))
+    each = placed.select("pivot", F.explode("delta").alias("element"), "cls", "root")  # no more than is asked for: these rows are sent
+    lists = Window.partitionBy("pivot", "element")  # nearly all are short
+    mixed = each.select("*", F.count("*").over(lists).alias("df"), F.min("root").over(lists).alias("a"), F.max("root").over(lists).alias("b"))
+    rare = mixed.where("a <> b").groupBy("pivot", "cls").agg(F.sort_array(F.collect_list(F.struct("df", "element"))).alias("rare"))
+    own = rare.join(placed.select("pivot", "cls", "n", "root", "outside", F.size("delta").alias("d")), ["pivot", "cls"])
     num, den = similarity
     most = F.floor(F.col("n") * (den - num) / num)  # a set of size n may differ from any other in so many
     half = F.ceil(F.col("d") / 2)
@@ -331,7 +331,7 @@ def jaccard_components(docs: DataFrame, size: int = SHINGLE, similarity: tuple[i
     rows = stage(signed(docs, size, similarity, parts, differing), "signed")
     members = _members(rows, bits)
     sets = _whole_sets(docs, rows, members, size, bits)
-    stars = stage(_stars(members, sets, similarity), "stars")
+    stars = stage(_stars(sets, similarity), "stars")
     groups = stage(connected(stars.where("linked").select(F.col("cls").alias("a"), F.col("pivot").alias("b"))), "groups")
     late = stage(_late_links(stars, groups, similarity), "late")
     groups = stage(connected(groups.toDF("a", "b").unionByName(late)), "groups")
