@@ -22,8 +22,8 @@ in at most (n + m) * (1 - t) / (1 + t) elements, t being the similarity. The ste
 
 So every pair at the threshold is compared, or known to be connected by links that hold, and neither
 copies nor members of a group are written out as pairs of all with all. Signatures are counted by their first
-``HEAD`` bits alone; those of several classes are entered in a set of ``BITS`` bits, which every task gets, so that the others
-are never sent with their class.
+``HEAD`` bits alone; those of several classes are entered in two sets of ``BITS`` bits, which every task gets, so that few of the others
+are sent with their class.
 """
 
 from __future__ import annotations
@@ -187,15 +187,19 @@ def _repeated(rows: DataFrame, bits: int) -> DataFrame:
 
 def _members(rows: DataFrame, bits: int) -> DataFrame:
     """(pivot, cls): classes that share a signature with a larger one, the largest that has it."""
-    held = rows.sparkSession.sparkContext.broadcast(bit_set(_repeated(rows, bits), "sign", bits))
+    repeated, later = _repeated(rows, bits), max(0, HEAD - (bits.bit_length() - 1))
+    # by their first and by their last bits: where either set is half full, a quarter of the others pass both
+    known = bit_set(repeated, "sign", bits), bit_set(repeated.select(F.shiftleft("sign", later).alias("sign")), "sign", bits)
+    held = rows.sparkSession.sparkContext.broadcast(known)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: BitSet = held.value
+        first, last = held.value
         for batch in batches:
             signs = batch.column("signatures")
             sizes = pc.list_value_length(signs).to_numpy(zero_copy_only=False)
             flat = pc.list_flatten(signs).to_numpy(zero_copy_only=False)
-            keep = known.has(flat.view(np.uint64))
+            keep = np.flatnonzero(first.has(flat.view(np.uint64)))
+            keep = keep[last.has(flat[keep].view(np.uint64) << np.uint64(later))]
             yield pa.RecordBatch.from_pydict({
                 "sign": pa.array(flat[keep]),
                 **{c: pa.array(np.repeat(batch.column(c).to_numpy(zero_copy_only=False), sizes)[keep]) for c in ("cls", "n")}})
