@@ -10,8 +10,9 @@ On Spark: a task turns its texts into blocks of bounded size and counts the dist
 ``DEPTH`` + 1 bytes in each. The runs' totals are dealt out by the two bytes before the last one: what lies
 deeper than two bytes of context is mixed there, and only sums per node of the upper two levels, at
 most 256 x 256 of them whatever the corpus, pass the driver. Each block then gets the code length of its own distinct
-runs back and scores its texts. Runs unseen in training are carried through with count 0. Words for
-the base score go the same way.
+runs back, packed into arrays before they are sent, and scores its texts. Runs unseen in training are
+carried through with count 0. Words for the base score go the same way. A block is many rows, of a chunk of texts
+or of ``SLICE`` keys: a row is held several times over where it passes between Spark and Python.
 """
 
 from __future__ import annotations
@@ -23,12 +24,15 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stage, text_chunks, tidy, words_of
+from .common import CHUNK_ROWS, give_back, stage, text_chunks, tidy, words_of
 
 DEPTH = 4
 MARK = 255  # ends a text, and stands before its first byte; no byte of UTF-8
 BLOCK_BYTES = 10 << 20
 RUNS_PER_TASK = 40_000
+SLICE = 1 << 15  # keys in a row
+MERGED_AT = 1 << 18  # keys that a block holds unmerged, or as many as it has merged
+PACKED_AT = 1 << 19  # rows that a task holds to pack them by block
 
 _HALF = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, 4096) - 0.5))))  # ln of 1/2 * 3/2 * ... (n - 1/2)
 _WHOLE = np.concatenate(([0.0], np.cumsum(np.log(np.arange(1, 4096)))))  # ln n!
@@ -143,52 +147,51 @@ class Roof:
         return np.log10(p).reshape(-1, 8).sum(1)
 
 
-def _counted(train: list[np.ndarray], rest: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct codes of both lists, and how often each occurs in the first."""
-    code, count = _merged(train)
-    more = np.setdiff1d(np.unique(np.concatenate(rest)), code, assume_unique=True) if rest else np.zeros(0, np.int64)
-    code, count = np.concatenate([code, more]), np.concatenate([count, np.zeros(len(more), np.int64)])
-    order = np.argsort(code)
-    return code[order], count[order]
+class _Counts:
+    """Distinct codes, and how often each occurs in training (0: never). What was added is merged as it comes."""
 
+    def __init__(self):
+        self.merged = np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.waiting = 0
 
-def _merged(parts: list) -> tuple[np.ndarray, np.ndarray]:
-    if not parts:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    code = np.concatenate([p[0] for p in parts])
-    count = np.concatenate([p[1] for p in parts])
-    code, place = np.unique(code, return_inverse=True)
-    return code, np.bincount(place, count, minlength=len(code)).astype(np.int64)
+    def add(self, codes: np.ndarray, trains: np.ndarray) -> None:
+        self.parts.append(np.unique(codes[trains], return_counts=True))
+        rest = np.unique(codes[~trains])
+        self.parts.append((rest, np.zeros(len(rest), np.int64)))
+        self.waiting += sum(len(code) for code, _ in self.parts[-2:])
+        if self.waiting > max(MERGED_AT, len(self.merged[0])):
+            self.merge()
+
+    def merge(self) -> tuple[np.ndarray, np.ndarray]:
+        code, count = (np.concatenate(x) for x in zip(self.merged, *self.parts))
+        self.parts, self.waiting = [], 0
+        code, place = np.unique(code, return_inverse=True)
+        self.merged = code, np.bincount(place, count, minlength=len(code)).astype(np.int64)
+        return self.merged
 
 
 class _Block:
-    """Texts of a block, and the distinct runs and words met so far."""
+    """The distinct runs and words of a block's texts met so far."""
 
     def __init__(self, depth: int):
         self.depth, self.bytes = depth, 0
-        self.rows: list[tuple] = []
-        self.runs: tuple[list, list] = ([], [])
-        self.words: tuple[list, list] = ([], [])
+        self.runs, self.words = _Counts(), _Counts()
 
     def add(self, raw: np.ndarray, cuts: np.ndarray, trains: np.ndarray) -> None:
         w = words_of(raw, cuts)
         code, first = byte_runs(w.buf, cuts, self.depth)
         for store, codes, starts in ((self.runs, code, first), (self.words, w.code.view(np.int64), w.first)):
-            own = np.repeat(trains, np.diff(starts))
-            store[0].append(np.unique(codes[own], return_counts=True))
-            store[1].append(np.unique(codes[~own]))
+            store.add(codes, np.repeat(trains, np.diff(starts)))
         self.bytes += len(raw) + len(cuts)
 
-    def keys(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        return (*_counted(*self.runs), *_counted(*self.words))
-
 
-_BLOCKS = ("block long, doc_id array<long>"
-           ", held_out array<boolean>, texts array<binary>, runs binary, run_counts binary, words binary, word_counts binary")
+_BLOCKS = "block long, doc_id array<long>, held_out array<boolean>, texts array<binary>, word boolean, keys binary, counts binary"
 
 
 def blocks(docs: DataFrame, held_out: Column, depth: int, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """Rows of about ``block_bytes`` of whole texts with their distinct byte runs and words."""
+    """Blocks of about ``block_bytes`` of whole texts: rows of texts, and rows of the distinct byte runs
+    (``word`` is false) and words (true) of the block with their counts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, k, now = None, 0, _Block(depth)
@@ -197,44 +200,88 @@ def blocks(docs: DataFrame, held_out: Column, depth: int, block_bytes: int = BLO
                 continue
             part = batch.column("_part")[0].as_py()
             ids, held = batch.column("doc_id").to_pylist(), np.array(batch.column("_held").to_pylist(), bool)
-            for lo, hi, raw, cuts in text_chunks(batch.column("text")):
-                now.add(raw, cuts, ~held[lo:hi])
-                data = raw.tobytes()
-                now.rows += [(ids[lo + i], bool(held[lo + i]), data[cuts[i]:cuts[i + 1]]) for i in range(hi - lo)]
-                if now.bytes >= block_bytes:
-                    yield _block_batch(part, k, now)
-                    k, now = k + 1, _Block(depth)
-        if now.rows:
-            yield _block_batch(part, k, now)
+            for begin in range(0, batch.num_rows, CHUNK_ROWS):
+                for lo, hi, raw, cuts in text_chunks(batch.column("text").slice(begin, CHUNK_ROWS)):
+                    at = slice(begin + lo, begin + hi)
+                    now.add(raw, cuts, ~held[at])
+                    data = raw.tobytes()
+                    texts = [data[cuts[i]:cuts[i + 1]] for i in range(hi - lo)]
+                    yield _block_rows((part << 32) + k, ids[at], held[at].tolist(), texts)
+                    if now.bytes >= block_bytes:
+                        yield from _key_rows((part << 32) + k, now)
+                        k, now = k + 1, _Block(depth)
+        if now.bytes:
+            yield from _key_rows((part << 32) + k, now)
 
     rows = docs.select(F.col("doc_id").cast("long"), "text", held_out.alias("_held"), F.spark_partition_id().alias("_part"))
     return rows.mapInArrow(tidy(run), _BLOCKS)
 
 
-def _block_batch(part: int, k: int, block: _Block) -> pa.RecordBatch:
-    ids, held, texts = zip(*block.rows)
-    runs, run_counts, words, word_counts = block.keys()
-    blobs = [x.astype(np.int64).tobytes() for x in (runs, run_counts, words, word_counts)]
-    return pa.RecordBatch.from_arrays(
-        [pa.array([(part << 32) + k]), pa.array([ids], pa.list_(pa.int64())), pa.array([held], pa.list_(pa.bool_())),
-         pa.array([texts], pa.list_(pa.binary())), *[pa.array([b], pa.binary()) for b in blobs]],
-        names=["block", "doc_id", "held_out", "texts", "runs", "run_counts", "words", "word_counts"])
+def _block_rows(block: int, ids: list | None = None, held: list | None = None, texts: list | None = None,
+                word: bool | None = None, keys: bytes | None = None, counts: bytes | None = None) -> pa.RecordBatch:
+    kinds = (pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.binary()), pa.bool_(), pa.binary(), pa.binary())
+    return pa.RecordBatch.from_arrays([pa.array([x], kind) for x, kind in zip((block, ids, held, texts, word, keys, counts), kinds)],
+                                      names=["block", "doc_id", "held_out", "texts", "word", "keys", "counts"])
+
 
+def _key_rows(block: int, found: _Block) -> Iterator[pa.RecordBatch]:
+    for word, store in ((False, found.runs), (True, found.words)):
+        keys, counts = store.merge()
+        for lo in range(0, len(keys), SLICE):
+            yield _block_rows(block, word=word, keys=keys[lo:lo + SLICE].tobytes(), counts=counts[lo:lo + SLICE].tobytes())
 
-def _keys(made: DataFrame, key: str, count: str) -> DataFrame:
+
+def _keys(made: DataFrame, word: bool) -> DataFrame:
     """(block, key, n): a row for every distinct run or word of every block."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block, keys, counts in zip(*[batch.column(i).to_pylist() for i in range(3)]):
-                keys, counts = np.frombuffer(keys, np.int64), np.frombuffer(counts, np.int64)
-                for lo in range(0, len(keys), 1 << 16):
-                    part = keys[lo:lo + (1 << 16)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(part), block)), pa.array(part), pa.array(counts[lo:lo + (1 << 16)])],
-                        names=["block", "key", "n"])
+            for block, keys, counts in zip(*batch.columns):
+                keys, counts = (np.frombuffer(x.as_buffer(), np.int64) for x in (keys, counts))
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(keys), block.as_py())), pa.array(keys), pa.array(counts)],
+                                                 names=["block", "key", "n"])
+
+    return made.where(F.col("word") == F.lit(word)).select("block", "keys", "counts").mapInArrow(
+        tidy(run), "block long, key long, n long")
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers of 8 bytes as the first bytes of all, then the second, and so on: equal ones get together and compress."""
+    return x.view(np.uint8).reshape(-1, 8).T.tobytes()
 
-    return made.select("block", key, count).mapInArrow(tidy(run), "block long, key long, n long")
+
+def _from_planes(parts: list, kind: type) -> np.ndarray:
+    out = [np.frombuffer(x, np.uint8).reshape(8, -1).T.copy().view(kind).ravel() for x in parts]
+    return np.concatenate(out) if out else np.zeros(0, kind)
+
+
+def packed(rows: DataFrame, word: bool, at_once: int = PACKED_AT) -> DataFrame:
+    """(block, word, keys, values) of rows (block, key, value): those of a block that a task meets among
+    ``at_once`` rows become one row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for batch in batches:
+            held.append([c.to_numpy(zero_copy_only=False) for c in batch.columns])
+            n += batch.num_rows
+            if n >= at_once:
+                yield _by_block(held, word)
+                held, n = [], 0
+        if n:
+            yield _by_block(held, word)
+
+    return rows.select("block", "key", "value").mapInArrow(tidy(run), "block long, word boolean, keys binary, values binary")
+
+
+def _by_block(held: list[list[np.ndarray]], word: bool) -> pa.RecordBatch:
+    block, key, value = (np.concatenate(x) for x in zip(*held))
+    order = np.argsort(block, kind="stable")
+    block, key, value = block[order], key[order], value[order]
+    cuts = np.concatenate(([0], np.flatnonzero(np.diff(block)) + 1, [len(block)]))
+    spans = list(zip(cuts[:-1], cuts[1:]))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(block[cuts[:-1]]), pa.array(np.full(len(spans), word)), pa.array([_planes(key[a:b]) for a, b in spans], pa.binary()),
+         pa.array([_planes(value[a:b]) for a, b in spans], pa.binary())], names=["block", "word", "keys", "values"])
 
 
 def model(totals: DataFrame, depth: int = DEPTH) -> DataFrame:
@@ -273,25 +320,22 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, block_bytes: in
     score: log10 of the probability of the text's bytes, A-Z lower-cased, and its end. base_score: sum
     over words and the end of log10((c + 0.1) / (N + 0.1 (V + 1))) with the training counts."""
     made = stage(blocks(docs, held_out, depth, block_bytes), "blocks")
-    totals = stage(_keys(made, "runs", "run_counts").groupBy("key").agg(F.sum("n").alias("n")), "runs")
-    lengths = model(totals, depth)
-    of_runs = _keys(made, "runs", "run_counts").join(lengths, "key").select(
-        "block", "key", "value", F.lit(False).alias("word"))
+    totals = stage(_keys(made, False).groupBy("key").agg(F.sum("n").alias("n")), "runs")
+    of_runs = _keys(made, False).join(model(totals, depth), "key")
     by_key = Window.partitionBy("key")
-    of_words = stage(_keys(made, "words", "word_counts").select(
+    of_words = stage(_keys(made, True).select(
         "block", "key", F.sum("n").over(by_key).alias("c"), (F.row_number().over(by_key.orderBy("block")) == 1).alias("once")), "words")
     words = of_words.where("once and c > 0").agg(F.sum("c"), F.count("*")).first()
     texts = made.select(F.explode("held_out").alias("h")).where("not h").count()
     n, v = (words[0] or 0) + texts, words[1] + (texts > 0)
     below = float(np.log10(n + 0.1 * (v + 1)))
-    tables = of_runs.unionByName(of_words.select("block", "key", F.col("c").cast("double").alias("value"), F.lit(True).alias("word")))
+    tables = packed(of_runs, False).unionByName(packed(of_words.select("block", "key", F.col("c").cast("double").alias("value")), True))
 
     def run(key: tuple, left: pa.Table, right: pa.Table) -> pa.Table:
-        word = np.asarray(right["word"])
-        keys, values = np.asarray(right["key"], np.int64), np.asarray(right["value"], float)
-        found = []
+        rows, found = list(zip(*(right[c].to_pylist() for c in ("word", "keys", "values")))), []
         for wanted in (False, True):
-            own, value = keys[word == wanted], values[word == wanted]
+            own = _from_planes([keys for word, keys, _ in rows if word == wanted], np.int64)
+            value = _from_planes([values for word, _, values in rows if word == wanted], np.float64)
             order = np.argsort(own)
             found.append((own[order], value[order]))
         (runs, length), (names, counts) = found
@@ -311,11 +355,13 @@ def score(docs: DataFrame, held_out: Column, depth: int = DEPTH, block_bytes: in
                 out["base_score"] += (np.bincount(own, np.log10(c + 0.1), minlength=hi - lo)
                                       + np.log10(texts + 0.1) - tokens * below).tolist()
                 out["n_bytes"] += np.diff(cuts).tolist()
+        give_back()
         return pa.table({"doc_id": pa.array(out["doc_id"], pa.int64()), "held_out": pa.array(out["held_out"], pa.bool_()),
                          **{k: pa.array(out[k], pa.int64()) for k in ("n_tokens", "n_known", "n_bytes")},
                          **{k: pa.array(out[k], pa.float64()) for k in ("base_score", "score")}})
 
-    scored = made.select("block", "doc_id", "held_out", "texts").groupBy("block").cogroup(tables.groupBy("block")).applyInArrow(
+    chunks = made.where("texts is not null").select("block", "doc_id", "held_out", "texts")
+    scored = chunks.groupBy("block").cogroup(tables.groupBy("block")).applyInArrow(
         run, "doc_id long, held_out boolean, n_tokens long, n_known long, n_bytes long, base_score double, score double")
     return scored.select(
         "doc_id", "held_out", "n_tokens", "n_known", F.lit(n).cast("long").alias("train_tokens"), "base_score", "score", "n_bytes",
